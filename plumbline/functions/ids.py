@@ -12,7 +12,7 @@ from plumbline.constants import MIN_SALT_CHARS, REVIEW_ID_VERSION, TRACKING_QUER
 
 _URL = r"^([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(?:#.*)?$"
 _WEB = r"^(?i)(https?|ftp|wss?)$"
-_DEFAULT_PORT = {"http": "80", "https": "443", "ws": "80", "wss": "443", "ftp": "21"}
+_DEFAULT_PORTS = [("http|ws", 80), ("https|wss", 443), ("ftp", 21)]
 
 
 def check_salt(salt: str) -> str:
@@ -92,11 +92,10 @@ def canonical_url(url: Column) -> Column:
     is_web = scheme.rlike(_WEB)
 
     user = F.regexp_extract(authority, r"^(.*@)?", 1)
-    host = F.lower(F.regexp_replace(authority, r"^.*@", ""))
-    for name, port in _DEFAULT_PORT.items():
-        host = F.when(scheme == name, F.regexp_replace(host, f":{port}$", "")).otherwise(host)
-    host = F.regexp_replace(host, ":$", "")
-    head = F.when(is_web, F.concat(scheme, F.lit("://"), user, host)).otherwise(
+    server = F.concat(scheme, F.lit("://"), user, F.lower(F.regexp_replace(authority, r"^.*@", "")))
+    for schemes, port in _DEFAULT_PORTS:
+        server = F.regexp_replace(server, f"^((?:{schemes})://.*):{port}$", "$1")
+    head = F.when(is_web, F.regexp_replace(server, ":$", "")).otherwise(
         F.concat(scheme, F.lit(":"), F.when(url.rlike("^[^:]+://"), F.concat(F.lit("//"), authority)).otherwise(""))
     )
     web_path = F.when(is_web & (path == ""), "/").otherwise(path)

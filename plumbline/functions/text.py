@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -23,7 +24,9 @@ _FORM_C_ONLY = (
 
 @F.arrow_udf(StringType())
 def _to_form_c(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFC")
+    # Not pyarrow.compute.utf8_normalize: its "NFC" decomposes.
+    fixed = [None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()]
+    return pa.array(fixed, pa.string())
 
 
 def form_c(text: Column) -> Column:
@@ -99,3 +102,12 @@ def stripped_length(text: Column, pattern: Column) -> Column:
         F.regexp_replace(text, F.coalesce(pattern, F.lit("$^")), F.lit(""))
     )
     return code_points(trim_spaces(cut))
+
+
+def strict_json(line: Column) -> Column:
+    """One JSON value as VARIANT, NULL when ``line`` is anything else. The parser
+    stops at the end of the first value, so the line is parsed inside a frame in
+    which trailing characters are an error or a second element."""
+    framed = F.try_parse_json(F.concat(F.lit('[{"v":['), line, F.lit("]}]")))
+    alone = F.variant_get(framed, "$[1]", "variant").isNull() & F.variant_get(framed, "$[0].v[1]", "variant").isNull()
+    return F.when(alone, F.variant_get(framed, "$[0].v[0]", "variant"))

@@ -22,7 +22,7 @@ from plumbline.constants import (
     UNLISTED_TEMPLATE,
 )
 from plumbline.functions.scoring import classify_error, token_cost
-from plumbline.functions.text import cut_utf16, utf16_units
+from plumbline.functions.text import cut_utf16, strict_json, utf16_units
 from plumbline.schemas import ASSESSMENTS
 from plumbline.session import durable
 
@@ -229,7 +229,7 @@ def sanitize_scores(df: DataFrame, allowed_templates: list[str], payload: str =
         wrong != "", F.concat(F.lit("missing or invalid: "), wrong)
     )
     return (
-        df.withColumn("doc", F.try_parse_json(payload))
+        df.withColumn("doc", strict_json(F.col(payload)))
         .withColumn("schema_error", error)
         .withColumns(
             {

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from plumbline.functions import text, vectors as V
 
@@ -60,7 +61,7 @@ def embed_pending(stage1: DataFrame, vectors: DataFrame, model: str) -> DataFram
 def run_embedder(df: DataFrame, text_column: str, embedder: Embedder) -> DataFrame:
     """``df`` plus ``embedding`` (empty, never NULL, on failure) and ``status_detail``."""
     kept = [c for c in df.columns if c != text_column]
-    schema = df.select(*kept).schema.add("embedding", "array<double>").add("status_detail", "string")
+    schema = df.select(*kept).schema.add("embedding", ArrayType(DoubleType())).add("status_detail", StringType())
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -76,8 +76,8 @@ def hist_l2(
     last = len(buckets)
     return counted.withColumn(
         "position",
-        F.when(F.col("bucket") == "no_distance", last)
-        .when(F.col("bucket") == "out_of_range", last - 1)
+        F.when(F.col("bucket") == "no_distance", last - 1)
+        .when(F.col("bucket") == "out_of_range", last - 2)
         .otherwise(F.col("position") - 2),
     )
 

@@ -11,6 +11,11 @@ from plumbline.functions import text
 MAX_PHRASES = 100_000
 
 
+def _check_size(n: int) -> None:
+    if n > MAX_PHRASES:
+        raise ValueError(f"more than {MAX_PHRASES} phrases cannot form one pattern")
+
+
 def active_phrases(phrases: DataFrame) -> DataFrame:
     return phrases.where(F.col("is_active") & F.col("match_type").isin("contains", "exact"))
 
@@ -19,8 +24,7 @@ def compile_phrases(phrases: DataFrame) -> DataFrame:
     """One row, one column: an alternation of all phrases, longest first, or NULL
     when there are none. The phrase list is a hand-kept dimension; one that could
     not work as a regular expression is refused before it is gathered."""
-    if phrases.limit(MAX_PHRASES + 1).count() > MAX_PHRASES:
-        raise ValueError(f"more than {MAX_PHRASES} phrases cannot form one pattern")
+    _check_size(phrases.limit(MAX_PHRASES + 1).count())
     longest_first = F.sort_array(F.collect_list(F.struct(-F.char_length("phrase"), F.col("phrase"))))
     alternatives = F.array_join(
         F.transform(longest_first, lambda p: text.regex_escape(p["phrase"])), "|"
@@ -30,9 +34,49 @@ def compile_phrases(phrases: DataFrame) -> DataFrame:
     )
 
 
+def search_pattern(phrases: list[str]) -> str | None:
+    """A pattern that cuts the same text as the plain alternation, but shares
+    prefixes: each position is settled by its first characters, however many
+    phrases there are. Of the phrases that match at a position the longest wins,
+    as in the longest-first alternation."""
+    tree: dict = {}
+    for phrase in filter(None, phrases):
+        node = tree
+        for c in phrase:
+            node = node.setdefault(_fold(c), {})
+        node[""] = {}
+    if not tree:
+        return None
+    first = "".join(_literal(c) for c in sorted(tree))
+    return f"(?iu)(?=[{first}]){_branches(tree)}"
+
+
+def _fold(c: str) -> str:
+    upper = c.upper() if len(c.upper()) == 1 else c
+    return upper.lower() if len(upper.lower()) == 1 else upper
+
+
+def _literal(c: str) -> str:
+    return "\\" + c if c.isascii() and not c.isalnum() and c != " " else c
+
+
+def _branches(node: dict) -> str:
+    """Longer phrases first; the end of a phrase is the empty, last alternative."""
+    options = []
+    for c, child in sorted(node.items(), reverse=True):
+        text = _literal(c) if c else ""
+        while len(child) == 1 and "" not in child:
+            (c, child), = child.items()
+            text += _literal(c)
+        options.append(text + _branches(child) if set(child) - {""} else text)
+    return options[0] if len(options) == 1 else "(?:" + "|".join(options) + ")"
+
+
 def pattern_of(phrases: DataFrame) -> Column:
-    """The compiled pattern as a scalar subquery: computed once, no join."""
-    return compile_phrases(active_phrases(phrases)).scalar()
+    """Search pattern of the active phrases as a constant; NULL when there are none."""
+    rows = active_phrases(phrases).select("phrase").distinct().limit(MAX_PHRASES + 1).collect()
+    _check_size(len(rows))
+    return F.lit(search_pattern([row.phrase for row in rows])).cast("string")
 
 
 def with_stripped_length(raw: DataFrame, pattern: Column) -> DataFrame:

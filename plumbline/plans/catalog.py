@@ -515,7 +515,7 @@ def score_counters(spark, folder):
 def token_cost(spark, folder):
     e, i = S.table(spark, folder, "events"), F.col("event_id")
     model = F.element_at(F.array(*[F.lit(m) for m in ("A-3.5-Flash", "a-3.5-flash-lite", "a-3.1-flash-lite", "other")]), (i % 4 + 1).cast("int"))
-    return e.select("event_id", scoring.token_cost(model, i % 900, i % 250).alias("usd"))
+    return e.select("event_id", (scoring.token_cost(model, i % 900, i % 250) * 1000).alias("usd_per_1000"))
 
 
 @query

@@ -187,7 +187,7 @@ _CONFUSION = """count(*) AS n_labeled, count(*) FILTER (label = 'shill') AS n_sh
   count(*) FILTER (label = 'shill' AND {yes}) AS n_true_positive, count(*) FILTER (label = 'not_shill' AND {yes}) AS n_false_positive,
   count(*) FILTER (label = 'shill' AND NOT coalesce({yes}, FALSE)) AS n_false_negative"""
 _RATES = """round(n_true_positive / nullif(n_true_positive + n_false_positive, 0), 6) AS precision,
-  round(n_true_positive / nullif(n_true_positive + n_false_negative, 0), 6) AS recall, n_predicted_stage2, round(n_predicted_stage2 * 0.0036, 6) AS estimated_usd"""
+  round(n_true_positive / nullif(n_true_positive + n_false_negative, 0), 6) AS recall, n_predicted_stage2, round(n_predicted_stage2 * 0.0036::DOUBLE, 6) AS estimated_usd"""
 _EDGES = """SELECT store_id_a AS src_store_id, store_id_b AS dst_store_id, count(*) AS weight,
   coalesce(array_to_string(list_sort(list_distinct(list(template_id) FILTER (template_id IS NOT NULL))), ','), '') AS template_ids FROM {pairs} GROUP BY 1, 2"""
 _FAMILY = "['a-3.5-flash', 'a-3.5-flash-lite', 'a-3.1-flash-lite', 'other'][event_id % 4 + 1]"
@@ -421,8 +421,8 @@ def oracle_sql(salt: str) -> dict[str, str]:
             CAST(sum(signal_span_mismatch_count) FILTER (vec_id % 10 <> 0) AS BIGINT) AS signal_span_mismatch_total, FALSE AS thinking_not_off,
             round(sum(input_tokens / 1e6 * 1.5 + output_tokens / 1e6 * 9.0), 6) AS cost_usd_est FROM mine""", "mine"
         ),
-        "token_cost": f"""SELECT event_id, round(CASE {_FAMILY} WHEN 'a-3.5-flash' THEN event_id % 900 / 1e6 * 1.5 + event_id % 250 / 1e6 * 9.0
-            WHEN 'a-3.1-flash-lite' THEN event_id % 900 / 1e6 * 0.25 + event_id % 250 / 1e6 * 1.5 END, 6) AS usd FROM events""",
+        "token_cost": f"""SELECT event_id, round(CASE {_FAMILY} WHEN 'a-3.5-flash' THEN event_id % 900 / 1e3 * 1.5 + event_id % 250 / 1e3 * 9.0
+            WHEN 'a-3.1-flash-lite' THEN event_id % 900 / 1e3 * 0.25 + event_id % 250 / 1e3 * 1.5 END, 6) AS usd_per_1000 FROM events""",
         "score_rule": _with(
             f"""SELECT doc_id, least(100, 30 * len(h)) AS shill_score, len(h) >= 2 AS template_detected,
             CASE WHEN len(h) >= 2 THEN CASE WHEN h[1] = 'the' THEN 'stock-the' ELSE 'unlisted_template' END END AS template_id
@@ -471,7 +471,7 @@ def oracle_sql(salt: str) -> dict[str, str]:
         "page_reviews": _with(
             f"""SELECT doc_id AS page_id, 'r' || doc_id AS native_review_id, store_id, language_hint AS product_id, 'u' || (doc_id % 97) AS reviewer_id_raw,
               doc_id % 5 + 1 AS star_rating, sha256(comment_text) AS text_hash, date_trunc('day', review_ts) - INTERVAL 8 HOUR AS review_ts, doc_id % 3 = 0 AS has_media {doc}
-            UNION ALL SELECT doc_id, 'x' || doc_id, store_id, language_hint, 'u' || (doc_id % 97), 5, sha256('short < text'),
+            UNION ALL SELECT doc_id, 'x' || doc_id, store_id, language_hint, 'u' || (doc_id % 97), 5, sha256('short &lt; text'),
               date_trunc('day', review_ts) - INTERVAL 8 HOUR, FALSE {doc} WHERE doc_id % 6 = 5""", "docs"
         ),
         "page_rejects": _with(
@@ -479,7 +479,7 @@ def oracle_sql(salt: str) -> dict[str, str]:
             {doc} WHERE doc_id % 6 < 5 GROUP BY 1""", "docs"
         ),
         "page_facts": "SELECT doc_id AS page_id, doc_id % 40 AS page_total, CASE WHEN doc_id % 2 = 0 THEN doc_id % 400 ELSE doc_id % 300 END AS n_declared_reviews FROM documents",
-        "crawl_completeness": """SELECT *, coalesce(page_total >= 1 AND page_total < by_count, FALSE) AS is_understated,
+        "crawl_completeness": """SELECT * EXCLUDE (by_count), coalesce(page_total >= 1 AND page_total < by_count, FALSE) AS is_understated,
               coalesce(stopped_reason IN ('end', 'unchanged_ids', 'next_disabled') AND n_pages < expected_pages, FALSE) AS is_short,
               stopped_reason = 'unchanged_ids' OR coalesce(n_accepted < n_declared_reviews, FALSE) AS is_incomplete
             FROM (SELECT *, greatest(CASE WHEN page_total >= 1 THEN page_total END, by_count) AS expected_pages

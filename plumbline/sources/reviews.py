@@ -96,11 +96,10 @@ def parse_reviews(lines: DataFrame) -> DataFrame:
     for check in checks[1:]:
         valid = valid & check
 
-    parsed = lines.withColumn("doc", F.try_parse_json("line"))
+    parsed = lines.withColumn("doc", text.strict_json(F.col("line")))
     reason = F.when(doc.isNull(), "json").when(~valid, "schema")
     order = [c for c in FILE_ORDER if c in lines.columns]
-    return parsed.select(
-        *order,
+    row = F.struct(
         reason.alias("reject_reason"),
         (doc.isNotNull() & F.schema_of_variant(doc).startswith("OBJECT") & ~star_ok).alias("reject_star"),
         F.coalesce(field["marketplace"].text(), F.lit("fixture")).alias("marketplace"),
@@ -116,6 +115,9 @@ def parse_reviews(lines: DataFrame) -> DataFrame:
         F.coalesce(field["has_media"].flag(), false).alias("has_media"),
         field["language_hint"].text().alias("language_hint"),
     )
+    # The one-element inline keeps later filters on these columns from being
+    # rewritten in terms of the JSON document and evaluating it again.
+    return parsed.select(*order, row.alias("row")).select(*order, F.inline(F.array("row")))
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
@@ -293,7 +295,7 @@ def read_normalized(spark: SparkSession, path: str) -> DataFrame:
             return f.number().cast("long").alias(name)
         return (f.flag() if kind == "boolean" else f.text()).alias(name)
 
-    lines = _numbered_lines(spark.read.text(path)).withColumn("doc", F.try_parse_json("line"))
+    lines = _numbered_lines(spark.read.text(path)).withColumn("doc", text.strict_json(F.col("line")))
     checked = lines.withColumn(
         "doc", F.when(problem.isNotNull(), F.raise_error(where)).otherwise(doc)
     )
