@@ -260,7 +260,7 @@ def semantic_collisions(
     max_distance: float = STORE_PAIR_DISTANCE_THRESHOLD,
     require_same_run: bool = True,
 ) -> DataFrame:
-    members = semantic_members(stage2, vectors, assessments, run_id, model, require_same_run)
+    members = durable(semantic_members(stage2, vectors, assessments, run_id, model, require_same_run))
     return collision_pairs(members, similar_vectors(members, max_distance), "embedding")
 
 

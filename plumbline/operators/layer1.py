@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.constants import EXCLUSION_REASONS, MIN_TEXT_CHARS, REQUIRED_STARS
 from plumbline.functions import text
+from plumbline.functions.phrases import stripped_length
 
 MAX_PHRASES = 100_000
 
@@ -34,53 +35,16 @@ def compile_phrases(phrases: DataFrame) -> DataFrame:
     )
 
 
-def search_pattern(phrases: list[str]) -> str | None:
-    """A pattern that cuts the same text as the plain alternation, but shares
-    prefixes: each position is settled by its first characters, however many
-    phrases there are. Of the phrases that match at a position the longest wins,
-    as in the longest-first alternation."""
-    tree: dict = {}
-    for phrase in filter(None, phrases):
-        node = tree
-        for c in phrase:
-            node = node.setdefault(_fold(c), {})
-        node[""] = {}
-    if not tree:
-        return None
-    first = "".join(_literal(c) for c in sorted(tree))
-    return f"(?iu)(?=[{first}]){_branches(tree)}"
-
-
-def _fold(c: str) -> str:
-    upper = c.upper() if len(c.upper()) == 1 else c
-    return upper.lower() if len(upper.lower()) == 1 else upper
-
-
-def _literal(c: str) -> str:
-    return "\\" + c if c.isascii() and not c.isalnum() and c != " " else c
-
-
-def _branches(node: dict) -> str:
-    """Longer phrases first; the end of a phrase is the empty, last alternative."""
-    options = []
-    for c, child in sorted(node.items(), reverse=True):
-        text = _literal(c) if c else ""
-        while len(child) == 1 and "" not in child:
-            (c, child), = child.items()
-            text += _literal(c)
-        options.append(text + _branches(child) if set(child) - {""} else text)
-    return options[0] if len(options) == 1 else "(?:" + "|".join(options) + ")"
-
-
-def pattern_of(phrases: DataFrame) -> Column:
-    """Search pattern of the active phrases as a constant; NULL when there are none."""
+def phrase_list(phrases: DataFrame) -> list[str]:
+    """The active phrases, which every task needs; their number is checked."""
     rows = active_phrases(phrases).select("phrase").distinct().limit(MAX_PHRASES + 1).collect()
     _check_size(len(rows))
-    return F.lit(search_pattern([row.phrase for row in rows])).cast("string")
+    return [row.phrase for row in rows]
 
 
-def with_stripped_length(raw: DataFrame, pattern: Column) -> DataFrame:
-    return raw.withColumn("stripped_char_length", text.stripped_length(F.col("comment_text"), pattern))
+def with_stripped_length(raw: DataFrame, phrases: DataFrame) -> DataFrame:
+    left = stripped_length(F.col("comment_text"), phrase_list(phrases))
+    return raw.withColumn("stripped_char_length", left)
 
 
 def exclusion_reason(stars: int = REQUIRED_STARS, min_chars: int = MIN_TEXT_CHARS) -> Column:
@@ -97,7 +61,7 @@ def l1_audit(
     raw: DataFrame, phrases: DataFrame, stars: int = REQUIRED_STARS, min_chars: int = MIN_TEXT_CHARS
 ) -> DataFrame:
     """Why each review was kept or dropped; one row per review."""
-    return with_stripped_length(raw, pattern_of(phrases)).select(
+    return with_stripped_length(raw, phrases).select(
         "pipeline_run_id",
         "review_id",
         "store_id",
@@ -111,11 +75,11 @@ def l1_audit(
 def l1_filter(
     raw: DataFrame, phrases: DataFrame, stars: int = REQUIRED_STARS, min_chars: int = MIN_TEXT_CHARS
 ) -> DataFrame:
-    """Reviews that pass. The two stored-column tests reach the scan, so the
-    pattern only runs on rows that survive them."""
+    """Reviews that pass. The two stored-column tests reach the scan, so phrases
+    are only looked for in rows that survive them."""
     candidates = raw.where((F.col("star_rating") == stars) & (F.col("char_length") >= min_chars))
     return (
-        with_stripped_length(candidates, pattern_of(phrases))
+        with_stripped_length(candidates, phrases)
         .where(F.col("stripped_char_length") >= min_chars)
         .select(
             "pipeline_run_id",

@@ -30,9 +30,11 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
 
 
 def last_write_wins(df: DataFrame, key: str, file_order: Sequence[str]) -> DataFrame:
-    """Last row per key in arrival order. A NULL or empty key never collapses."""
+    """Last row per key in arrival order. A NULL or empty key never collapses: such
+    rows are keyed by themselves."""
     keyed = F.coalesce(F.length(key) > 0, F.lit(False))
-    return latest_per_key(df.where(keyed), key, file_order).unionByName(df.where(~keyed))
+    alone = F.when(~keyed, F.monotonically_increasing_id())
+    return latest_per_key(df.withColumn("alone", alone), [key, "alone"], file_order).drop("alone")
 
 
 def merge_harvests(df: DataFrame, file_order: Sequence[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, TimestampType
 from plumbline.functions import ids, scoring, text, vectors as V
 from plumbline.operators import assess, bursts, calibrate, collisions, embed, histograms, layer1, layer2, stores, upsert
 from plumbline.plans import sample_views as S
-from plumbline.session import pin_runtime
+from plumbline.session import durable, pin_runtime
 from plumbline.sources import exports, pages, reviews, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,8 +226,10 @@ def template_pair_counts(spark, folder):
 
 
 def _semantic(spark, folder):
-    members = collisions.semantic_members(
-        _stage2(spark, folder), S.vectors(spark, folder), S.assessments(spark, folder), S.RUN, S.MODEL
+    members = durable(
+        collisions.semantic_members(
+            _stage2(spark, folder), S.vectors(spark, folder), S.assessments(spark, folder), S.RUN, S.MODEL
+        )
     )
     return members, collisions.similar_vectors(members, S.PAIR_DISTANCE)
 
@@ -549,7 +551,7 @@ def text_norm(spark, folder):
     for composed, base, mark in (("é", "e", "́"), ("è", "e", "̀"), ("ü", "u", "̈"), ("ñ", "n", "̃")):
         t = F.replace(t, F.lit(composed), F.lit(base + mark))
     mixed = F.when(F.col("doc_id") % 2 == 0, t).otherwise(F.concat(F.lit("　"), F.col("text"), F.lit("  ")))
-    return S.table(spark, folder, "documents").select("doc_id", text.content_hash(mixed).alias("content_hash"))
+    return S.spread(S.table(spark, folder, "documents")).select("doc_id", text.content_hash(mixed).alias("content_hash"))
 
 
 @query

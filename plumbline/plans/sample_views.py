@@ -26,6 +26,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over all cores where the input has fewer partitions than
+    cores, as a single small file has. Larger inputs are left as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def clean(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, r"[ \t\n\r\f]+", " "))
 
@@ -43,7 +50,7 @@ def docs(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as a review of ``RUN``."""
     d = F.col("doc_id")
     return (
-        table(spark, folder, "documents")
+        spread(table(spark, folder, "documents"))
         .select(
             d,
             F.lit(RUN).alias("pipeline_run_id"),
@@ -143,51 +150,54 @@ def seed_dimension(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _assessed(spark: SparkSession, folder: str, run: str, factor: int, day: str, member: Column) -> DataFrame:
+def assessments(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of this run and of two earlier ones, by two models and two prompts."""
     v = F.col("vec_id")
+
+    def scored_by(run: str, factor: int, day: str, member: Column) -> Column:
+        entry = F.struct(F.lit(run).alias("run"), F.lit(factor).alias("factor"), F.lit(day).alias("day"))
+        return F.when(member, entry)
+
+    entries = F.array_compact(
+        F.array(
+            scored_by(RUN, 37, "2024-03-01 00:00:00", v % 4 != 3),
+            scored_by(EARLIER, 53, "2024-02-01 00:00:00", v % 2 == 1),
+            scored_by(OLDEST, 71, "2024-01-01 00:00:00", v % 3 != 1),
+        )
+    )
     detected = v % 3 != 0
+    template = F.when(F.col("label") == 9, "unlisted_template").otherwise(
+        F.concat(F.lit("tpl-"), F.col("label").cast("string"))
+    )
+    signal = "array<struct<code:string,span:string,start_char:int,end_char:int>>"
     return (
         vectors(spark, folder)
-        .where(member)
+        .select("vec_id", "label", "review_id", "store_id", "product_id", "content_hash", F.explode(entries).alias("r"))
         .select(
             "vec_id",
             "review_id",
-            F.lit(run).alias("pipeline_run_id"),
+            F.col("r.run").alias("pipeline_run_id"),
             "store_id",
             "product_id",
             "content_hash",
-            (v * factor % 101).alias("shill_score"),
+            (v * F.col("r.factor") % 101).alias("shill_score"),
             detected.alias("template_detected"),
-            F.when(
-                detected,
-                F.when(F.col("label") == 9, "unlisted_template").otherwise(
-                    F.concat(F.lit("tpl-"), F.col("label").cast("string"))
-                ),
-            ).alias("template_id"),
+            F.when(detected, template).alias("template_id"),
             F.lit(None).cast("string").alias("template_name"),
             F.lit("unknown").alias("linguistic_style"),
-            F.array().cast("array<struct<code:string,span:string,start_char:int,end_char:int>>").alias("detected_signals"),
+            F.array().cast(signal).alias("detected_signals"),
             F.lit("text").alias("rationale_short"),
             F.when(v % 5 == 0, "m2").otherwise(MODEL).alias("model_id"),
             F.when(v % 7 == 0, "p2").otherwise(PROMPT).alias("prompt_version"),
             F.when(v % 8 == 1, "copied").otherwise("scored").alias("score_source"),
             (v % 900).alias("input_tokens"),
             (v % 250).alias("output_tokens"),
-            at(v, day).alias("assessed_at"),
+            F.timestamp_seconds(F.unix_seconds(F.col("r.day").cast("timestamp")) + v).alias("assessed_at"),
             (v % 2).alias("signal_span_mismatch_count"),
         )
     )
 
 
-def assessments(spark: SparkSession, folder: str) -> DataFrame:
-    v = F.col("vec_id")
-    return (
-        _assessed(spark, folder, RUN, 37, "2024-03-01 00:00:00", v % 4 != 3)
-        .unionByName(_assessed(spark, folder, EARLIER, 53, "2024-02-01 00:00:00", v % 2 == 1))
-        .unionByName(_assessed(spark, folder, OLDEST, 71, "2024-01-01 00:00:00", v % 3 != 1))
-    )
-
-
 def errors(spark: SparkSession, folder: str) -> DataFrame:
     d = F.col("doc_id")
     return docs(spark, folder).where(d % 6 == 5).select(

@@ -215,7 +215,9 @@ def run_analyze(
         store.write_run("bursts", bursts.burst_events(stores.of_run(raw, run_id)), run_id)
 
         by_template = collisions.template_members(assessments, run_id, min_score)
-        by_vector = collisions.semantic_members(stage2, store.current("review_vectors"), assessments, run_id, model)
+        by_vector = durable(
+            collisions.semantic_members(stage2, store.current("review_vectors"), assessments, run_id, model)
+        )
         template_matches = collisions.same_group(by_template)
         vector_matches = durable(collisions.similar_vectors(by_vector, pair_distance))
         pair_counts = collisions.store_pair_counts(by_template, template_matches, "template").unionByName(
