@@ -53,18 +53,20 @@ def _nearest_local(rows: list) -> Column:
     return nearest(F.col("embedding"))
 
 
-def _nearest_by_blocks(vectors: DataFrame, seeds: DataFrame, block: int, salts: int = 64) -> DataFrame:
+def _nearest_by_blocks(vectors: DataFrame, seeds: DataFrame, block: int, slice_rows: int = 20_000) -> DataFrame:
     """Same result for any number of seeds: every (seed block, review slice) pair
     is one bounded task, and the per-block winners are reduced per review."""
     blocks = -(-seeds.count() // block)
+    slices = max(1, -(-vectors.count() // slice_rows))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     lettered = seeds.withColumn("block", F.pmod(F.xxhash64("seed_id"), F.lit(blocks))).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        "slice", numbers(slices)
     )
     sliced = vectors.select(
         "review_id",
         "embedding",
-        F.pmod(F.xxhash64("review_id"), F.lit(salts)).cast("int").alias("salt"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(slices)).alias("slice"),
+        numbers(blocks).alias("block"),
     )
 
     def match(reviews: pa.Table, some_seeds: pa.Table) -> pa.Table:
@@ -81,10 +83,10 @@ def _nearest_by_blocks(vectors: DataFrame, seeds: DataFrame, block: int, salts:
         best = _closest(V.as_matrix(reviews["embedding"]), names, unit_seeds)
         return pa.table([reviews["review_id"].cast(pa.string()), best], schema=out)
 
-    keys = ["block", "salt"]
+    keys = ["block", "slice"]
     return (
         sliced.groupBy(*keys)
-        .cogroup(lettered.select("block", "salt", "seed_id", "category", "embedding").groupBy(*keys))
+        .cogroup(lettered.select(*keys, "seed_id", "category", "embedding").groupBy(*keys))
         .applyInArrow(match, f"review_id string, best {_NEAREST}")
     )
 

@@ -510,7 +510,8 @@ def score_counters(spark, folder):
         "output_tokens",
         F.lit(0).alias("thought_tokens"),
     )
-    return assess.score_counters(results, "x-3.5-flash")
+    counters = assess.score_counters(results, "x-3.5-flash")
+    return counters.select("*", (F.col("cost_usd_est") * 1000).alias("cost_milli_usd")).drop("cost_usd_est")
 
 
 @query

@@ -419,7 +419,7 @@ def oracle_sql(salt: str) -> dict[str, str]:
             """SELECT count(*) AS n_attempted, count(*) FILTER (vec_id % 10 <> 0) AS n_scored, count(*) FILTER (vec_id % 10 = 0) AS n_errors,
             round(count(*) FILTER (vec_id % 10 = 0) / count(*), 6) AS error_rate,
             CAST(sum(signal_span_mismatch_count) FILTER (vec_id % 10 <> 0) AS BIGINT) AS signal_span_mismatch_total, FALSE AS thinking_not_off,
-            round(sum(input_tokens / 1e6 * 1.5 + output_tokens / 1e6 * 9.0), 6) AS cost_usd_est FROM mine""", "mine"
+            round(sum(input_tokens / 1e3 * 1.5 + output_tokens / 1e3 * 9.0), 6) AS cost_milli_usd FROM mine""", "mine"
         ),
         "token_cost": f"""SELECT event_id, round(CASE {_FAMILY} WHEN 'a-3.5-flash' THEN event_id % 900 / 1e3 * 1.5 + event_id % 250 / 1e3 * 9.0
             WHEN 'a-3.1-flash-lite' THEN event_id % 900 / 1e3 * 0.25 + event_id % 250 / 1e3 * 1.5 END, 6) AS usd_per_1000 FROM events""",

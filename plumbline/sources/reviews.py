@@ -74,7 +74,8 @@ def parse_reviews(lines: DataFrame) -> DataFrame:
     stars = field["star_rating"].number()
     ts_text = field["review_ts"].text()
     url = field["source_url"].text()
-    instant = F.date_trunc("millisecond", F.try_to_timestamp(ts_text))
+    with_seconds = F.regexp_replace(ts_text, r"^(.{10}T\d{2}:\d{2})(Z|[+-])", "$1:00$2")
+    instant = F.date_trunc("millisecond", F.try_to_timestamp(with_seconds))
     false = F.lit(False)
 
     star_ok = F.coalesce((stars == F.floor(stars)) & stars.between(1, 5), false)
