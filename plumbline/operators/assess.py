@@ -7,6 +7,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -300,17 +301,18 @@ class RuleScorer:
 def call_scorer(pending: DataFrame, scorer: Scorer) -> DataFrame:
     """``pending`` plus the scorer's answer columns. Parallelism is the number of
     partitions; repartition ``pending`` to bound the calls in flight."""
-    whole_numbers = [f.name for f in _CALL.fields if f.dataType == LongType()]
+    kinds = {f.name: pa.int64() if f.dataType == LongType() else pa.string() for f in _CALL.fields}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                answers = scorer(batch).reindex(columns=_CALL.names)
-                answers.index = batch.index
-                answers[whole_numbers] = answers[whole_numbers].astype("Int64")
-                yield pd.concat([batch, answers], axis=1)
-
-    return pending.mapInPandas(run, StructType(pending.schema.fields + _CALL.fields))
+            if batch.num_rows:
+                answers = scorer(batch.to_pandas()).reindex(columns=_CALL.names)
+                columns = [
+                    pa.array([None if pd.isna(v) else v for v in answers[name]], kind) for name, kind in kinds.items()
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *kinds])
+
+    return pending.mapInArrow(run, StructType(pending.schema.fields + _CALL.fields))
 
 
 class OverBudget(RuntimeError):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,16 +27,29 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return pin_runtime(builder.getOrCreate())
 
 
 def pin_runtime(spark: SparkSession) -> SparkSession:
-    """Set the result-relevant options on a session somebody else built."""
+    """Set the result-relevant options on a session somebody else built, and send
+    this package to its workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    _ship_package(spark)
     return spark
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Workers run functions of this package, so they must be able to import it."""
+    context = spark.sparkContext
+    if getattr(context, "_plumbline_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="spark-", dir="/tmp"), "plumbline")
+    context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+    context._plumbline_shipped = True
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's checkpoint folder.
 

@@ -68,7 +68,7 @@ def test_histograms(run, spark):
 
 
 def test_distance_buckets_at_their_edges(spark):
-    values = [0.0, 0.07, 0.1399, 0.14, 0.21, 0.28, 0.2801, 1.0, 1.5, 2.0, 2.1, -0.1, float("nan")]
+    values = [0.0, 0.07, 0.1399, 0.14, 0.2101, 0.28, 0.2801, 1.0, 1.5, 2.0, 2.1, -0.1, float("nan")]
     df = spark.createDataFrame([(v,) for v in values], "d double")
     name = F.lit(None).cast("string")
     for label, condition in reversed(histograms.distance_buckets(F.col("d"), 0.28)):
