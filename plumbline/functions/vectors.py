@@ -26,7 +26,10 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def cosine_distance(a: Column, b: Column) -> Column:
-    return 1 - F.try_divide(dot(a, b), norm(a) * norm(b))
+    """Cosine distance, within 0 and 2 also where rounding would leave it; NULL
+    for a zero vector."""
+    d = 1 - F.try_divide(dot(a, b), norm(a) * norm(b))
+    return F.when(d < 0, 0.0).when(d > 2, 2.0).otherwise(d)
 
 
 def cosine_similarity(distance: Column) -> Column:
@@ -57,6 +60,11 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
         return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
+def distances(unit_a: np.ndarray, unit_b: np.ndarray) -> np.ndarray:
+    """All cosine distances between the rows of two matrices of unit vectors."""
+    return np.clip(1.0 - unit_a @ unit_b.T, 0.0, 2.0)
+
+
 _KEYED = StructType(
     [StructField("vector_key", StringType()), StructField("unit", ArrayType(DoubleType()))]
 )

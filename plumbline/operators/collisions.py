@@ -155,7 +155,7 @@ def similar_vectors(
             keys_a, keys_b = left["member_group"].to_pylist(), right["member_group"].to_pylist()
             unit_a, unit_b = V.as_matrix(left["unit"]), V.as_matrix(right["unit"])
             for start in range(0, len(unit_a), 512):
-                distance = 1.0 - unit_a[start : start + 512] @ unit_b.T
+                distance = V.distances(unit_a[start : start + 512], unit_b)
                 hit_a, hit_b = np.nonzero(distance <= max_distance)
                 for i, j in zip(hit_a, hit_b):
                     a, b = keys_a[start + i], keys_b[j]

@@ -26,7 +26,7 @@ def active_seeds(seed_vectors: DataFrame, seeds: DataFrame, version: str, model:
 
 def _closest(matrix: np.ndarray, seeds: list[tuple[str, str]], unit_seeds: np.ndarray) -> pa.StructArray:
     """Nearest seed per row; seeds come sorted by id, so the first minimum wins ties."""
-    distance = 1.0 - V.unit_rows(matrix) @ unit_seeds.T
+    distance = V.distances(V.unit_rows(matrix), unit_seeds)
     best = distance.argmin(axis=1)
     return pa.StructArray.from_arrays(
         [

@@ -113,7 +113,8 @@ def l1_filter(spark, folder):
 
 @query
 def l1_funnel(spark, folder):
-    return layer1.l1_funnel(_l1_audit(spark, folder), _stage1(spark, folder))
+    audit = _l1_audit(spark, folder)
+    return layer1.l1_funnel(audit, audit.where("exclusion_reason = 'pass'"))
 
 
 # -- distances ---------------------------------------------------------------
@@ -123,14 +124,14 @@ def _seeds(spark, folder):
     return layer2.active_seeds(S.seed_vectors(spark, folder), S.seed_dimension(spark, folder), S.SEEDS, S.MODEL)
 
 
-def _l2_audit(spark, folder):
+def _l2_audit(spark, folder, stage1=None):
     return layer2.distance_audit(
-        _stage1(spark, folder), S.vectors(spark, folder), _seeds(spark, folder), S.RUN, S.MODEL, S.SEED_DISTANCE
+        _stage1(spark, folder) if stage1 is None else stage1, S.vectors(spark, folder), _seeds(spark, folder), S.RUN, S.MODEL, S.SEED_DISTANCE
     )
 
 
-def _stage2(spark, folder):
-    return layer2.l2_filter(_l2_audit(spark, folder), S.SEED_DISTANCE)
+def _stage2(spark, folder, stage1=None):
+    return layer2.l2_filter(_l2_audit(spark, folder, stage1), S.SEED_DISTANCE)
 
 
 @query
@@ -168,7 +169,8 @@ def closest(spark, folder):
 
 @query
 def l2_funnel(spark, folder):
-    return layer2.l2_funnel(_stage1(spark, folder), S.vectors(spark, folder), _stage2(spark, folder), S.MODEL)
+    stage1 = _stage1(spark, folder)
+    return layer2.l2_funnel(stage1, S.vectors(spark, folder), _stage2(spark, folder, stage1), S.MODEL)
 
 
 @query
@@ -262,8 +264,9 @@ def edges_from_pairs(spark, folder):
 
 
 def _store_stats(spark, folder):
+    stage1 = _stage1(spark, folder)
     return stores.store_stats(
-        S.raw(spark, folder), _stage1(spark, folder), _stage2(spark, folder), S.assessments(spark, folder), S.RUN
+        S.raw(spark, folder), stage1, _stage2(spark, folder, stage1), S.assessments(spark, folder), S.RUN
     )
 
 
@@ -282,18 +285,23 @@ def top_stores(spark, folder):
     )
 
 
-@query
-def funnel(spark, folder):
+def _funnel(spark, folder):
+    stage1 = _stage1(spark, folder)
     return stores.funnel(
         S.raw(spark, folder),
-        _stage1(spark, folder),
-        _stage2(spark, folder),
+        stage1,
+        _stage2(spark, folder, stage1),
         S.assessments(spark, folder),
         S.errors(spark, folder),
         S.RUN,
     )
 
 
+@query
+def funnel(spark, folder):
+    return _funnel(spark, folder)
+
+
 @query
 def in_scope(spark, folder):
     return stores.in_scope(_l1_audit(spark, folder), S.raw(spark, folder), S.RUN).select("review_id", "exclusion_reason")
@@ -301,14 +309,6 @@ def in_scope(spark, folder):
 
 @query
 def run_summary(spark, folder):
-    found = stores.funnel(
-        S.raw(spark, folder),
-        _stage1(spark, folder),
-        _stage2(spark, folder),
-        S.assessments(spark, folder),
-        S.errors(spark, folder),
-        S.RUN,
-    )
     members = collisions.template_members(S.assessments(spark, folder), S.RUN, 50)
     counts = collisions.store_pair_counts(members, collisions.same_group(members), "template")
     return stores.run_summary(
@@ -316,7 +316,7 @@ def run_summary(spark, folder):
         bursts.burst_events(S.event_reviews(spark, folder, by_type=True)),
         counts,
         collisions.edges_from_counts(counts),
-        found,
+        _funnel(spark, folder),
         stores.of_run(S.assessments(spark, folder), S.RUN),
     )
 
@@ -336,8 +336,9 @@ def l1_coverage(spark, folder):
 
 @query
 def hist_l2(spark, folder):
+    stage1 = _stage1(spark, folder)
     return histograms.hist_l2(
-        _l2_audit(spark, folder), _stage1(spark, folder), S.raw(spark, folder), S.RUN, S.SEED_DISTANCE
+        _l2_audit(spark, folder, stage1), stage1, S.raw(spark, folder), S.RUN, S.SEED_DISTANCE
     )
 
 
@@ -361,12 +362,13 @@ def l3_totals(spark, folder):
 
 @query
 def calibration(spark, folder):
+    audit = _l2_audit(spark, folder)
     return calibrate.sweep_table(
         calibrate.calibrate(
             S.labels(spark, folder),
-            _l2_audit(spark, folder),
+            audit,
             S.assessments(spark, folder),
-            _stage2(spark, folder),
+            layer2.l2_filter(audit, S.SEED_DISTANCE),
             S.RUN,
             grid=S.GRID,
             current_threshold=S.SEED_DISTANCE,

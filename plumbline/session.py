@@ -18,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column makes building a plan several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

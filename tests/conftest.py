@@ -21,6 +21,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
+            **dict(kv.split("=") for kv in os.environ.get("TEST_CONF", "").split() if kv),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
