@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from plumbline.constants import SCORE_THRESHOLD, STORE_PAIR_DISTANCE_THRESHOLD, UNLISTED_TEMPLATE
 from plumbline.functions import vectors as V
+from plumbline.operators.sizing import small_side
 from plumbline.session import durable
 
 CHUNK_ROWS = 20_000
@@ -184,32 +185,35 @@ def similar_vectors(
 def _pair_up(members: DataFrame, matches: DataFrame, chunk_by: str, chunk_rows: int) -> DataFrame:
     """Members of matching groups from different stores, ``store_id_a < store_id_b``.
 
-    The list of groups above ``chunk_rows`` is short by construction, and AQE
-    measures it before it decides on a broadcast.
+    Groups above ``chunk_rows`` members are few by construction. They are counted
+    first, with map-side combining; only where there are any are members and
+    matches cut into chunks, by joining that short list broadcast after a check
+    of its size.
     """
-    large = (
+    large = durable(
         members.groupBy("member_group")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > chunk_rows)
         .select("member_group", F.ceil(F.col("n") / chunk_rows).cast("int").alias("chunks"))
     )
-    chunk = F.pmod(F.xxhash64(chunk_by), F.coalesce("chunks", F.lit(1))).cast("int")
-    chunked = members.join(large, "member_group", "left").withColumn("chunk", chunk).drop("chunks")
+    keys, grid = ["group"], matches
+    if not large.isEmpty():
+        keys = ["group", "chunk"]
+        sizes = small_side(large)
+        chunk = F.pmod(F.xxhash64(chunk_by), F.coalesce("chunks", F.lit(1))).cast("int")
+        members = members.join(sizes, "member_group", "left").withColumn("chunk", chunk).drop("chunks")
+        for s in ("a", "b"):
+            renamed = sizes.withColumnsRenamed({"member_group": f"group_{s}"})
+            parts = F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)
+            grid = grid.join(renamed, f"group_{s}", "left").withColumn(f"chunk_{s}", F.explode(parts)).drop("chunks")
 
     def side(s: str) -> DataFrame:
-        renamed = {c: f"{c}_{s}" for c in chunked.columns if c not in ("member_group", "chunk")}
-        return chunked.withColumnsRenamed({**renamed, "member_group": f"group_{s}", "chunk": f"chunk_{s}"})
+        named = members.withColumnRenamed("member_group", "group")
+        return named.withColumnsRenamed({c: f"{c}_{s}" for c in named.columns})
 
-    grid = matches
     for s in ("a", "b"):
-        sizes = large.withColumnsRenamed({"member_group": f"group_{s}", "chunks": f"chunks_{s}"})
-        parts = F.sequence(F.lit(0), F.coalesce(f"chunks_{s}", F.lit(1)) - 1)
-        grid = grid.join(sizes, f"group_{s}", "left").withColumn(f"chunk_{s}", F.explode(parts)).drop(f"chunks_{s}")
-    return (
-        grid.join(side("a"), ["group_a", "chunk_a"])
-        .join(side("b"), ["group_b", "chunk_b"])
-        .where("store_id_a < store_id_b")
-    )
+        grid = grid.join(side(s), [f"{key}_{s}" for key in keys])
+    return grid.where("store_id_a < store_id_b")
 
 
 def store_pair_counts(

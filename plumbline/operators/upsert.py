@@ -1,8 +1,9 @@
 """Keyed maintenance as DataFrame rewrites.
 
-A change set is small next to its table, so every rewrite joins the table to the
-changes with the changes on the side that AQE may broadcast: the large table is
-then streamed, not shuffled. Results go to a new snapshot or partition.
+A change set is small next to its table, so every rewrite keeps the changes on the
+side that can be broadcast, checks their size, and falls back to a shuffled join:
+a small load streams the table instead of shuffling it. Results go to a new
+snapshot or partition.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.sizing import matching, small_side, without
 from plumbline.schemas import RAW_REVIEWS, REWRITTEN_COLUMNS
 
 RUN = "pipeline_run_id"
@@ -44,7 +46,8 @@ def merge_harvests(df: DataFrame, file_order: Sequence[str]) -> DataFrame:
 
 def merge_preview(batch: DataFrame, target: DataFrame) -> DataFrame:
     """What a load would do to each row of ``batch``: insert, update or unchanged."""
-    stored = target.select("review_id", F.col("content_hash").alias("stored_hash"), F.lit(True).alias("known"))
+    hit = matching(target.select("review_id", "content_hash"), batch, ["review_id"])
+    stored = hit.select("review_id", F.col("content_hash").alias("stored_hash"), F.lit(True).alias("known"))
     op = (
         F.when(F.col("known").isNull(), "insert")
         .when(F.col("stored_hash") != F.col("content_hash"), "update")
@@ -69,16 +72,14 @@ def updated_ids(preview: DataFrame) -> DataFrame:
 
 def drop_vectors(vectors: DataFrame, ids: DataFrame) -> DataFrame:
     """Vectors without those of the given reviews."""
-    return vectors.join(ids, "review_id", "left_anti")
+    return without(vectors, ids, ["review_id"])
 
 
 def upsert_reviews(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored reviews after a load: new ids are added, known ids change only when
     their text did, and then only in the rewritable columns. Unchanged reviews
     keep everything, their run included."""
-    changes = batch.select(
-        "review_id", F.struct(*REWRITTEN_COLUMNS).alias("new")
-    )
+    changes = small_side(batch.select("review_id", F.struct(*REWRITTEN_COLUMNS).alias("new")))
     changed = F.coalesce(F.col("new.content_hash") != F.col("content_hash"), F.lit(False))
     kept = target.join(changes, "review_id", "left").select(
         *[
@@ -86,13 +87,14 @@ def upsert_reviews(target: DataFrame, batch: DataFrame) -> DataFrame:
             for c in RAW_REVIEWS.names
         ]
     )
-    added = batch.join(target.select("review_id"), "review_id", "left_anti").select(*RAW_REVIEWS.names)
+    known = matching(target.select("review_id"), batch, ["review_id"])
+    added = batch.join(known, "review_id", "left_anti").select(*RAW_REVIEWS.names)
     return kept.unionByName(added)
 
 
 def replace_keys(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``rows`` replace the target rows that have the same keys."""
-    kept = target.join(rows.select(*keys).distinct(), list(keys), "left_anti")
+    kept = without(target, rows, list(keys))
     return kept.select(*target.columns).unionByName(rows.select(*target.columns))
 
 

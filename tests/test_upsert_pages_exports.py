@@ -185,3 +185,17 @@ def test_report_json(spark, folder):
     row = json.loads(spark.read.text(f"{folder}/report/summary").first().value)
     assert row["funnel"] == {"n_raw": 3, "pct_stage1": None} and row["layer1"] == [{"bucket": "a", "n": 1}, {"bucket": "b", "n": 2}]
     assert row["disclaimer_en"].startswith("Statistics") and spark.read.json(f"{folder}/report/edges").count() == 1
+
+
+# -- sizes -------------------------------------------------------------------
+
+
+def test_small_changes_stream_the_table(spark):
+    from plumbline.operators.sizing import small_side
+
+    target = table(spark, [("a", "h1", 5, "s1", "r1", "2024-01-01")])
+    plan = upsert.upsert_reviews(target, target)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("Union")[0]
+    beyond = small_side(spark.range(11), max_rows=10)
+    assert "ResolvedHint" not in beyond._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in small_side(spark.range(10), max_rows=10)._jdf.queryExecution().analyzed().toString()
