@@ -86,41 +86,43 @@ def canonical_url(url: Column) -> Column:
     Scheme and host are lower-cased and a default port goes, as URL parsers do.
     The query is only re-encoded when something was removed from it.
     """
-    part = lambda i: F.regexp_extract(url, _URL, i)
-    raw_scheme, authority, path, query = part(1), part(2), part(3), part(4)
-    scheme = F.lower(raw_scheme)
-    is_web = scheme.rlike(_WEB)
+    names = ("scheme", "authority", "path", "query")
+    parts = F.struct(url.alias("url"), *[F.regexp_extract(url, _URL, i + 1).alias(n) for i, n in enumerate(names)])
+    # Bound as the one element of an array: the parts are used many times below,
+    # and as plain expressions would be generated as often.
+    return F.when(url.isNotNull(), F.transform(F.array(parts), _rebuilt)[0])
+
 
+def _rebuilt(parts: Column) -> Column:
+    scheme, authority, path, query = F.lower(parts["scheme"]), parts["authority"], parts["path"], parts["query"]
+    is_web = scheme.rlike(_WEB)
     user = F.regexp_extract(authority, r"^(.*@)?", 1)
     server = F.concat(scheme, F.lit("://"), user, F.lower(F.regexp_replace(authority, r"^.*@", "")))
     for schemes, port in _DEFAULT_PORTS:
         server = F.regexp_replace(server, f"^((?:{schemes})://.*):{port}$", "$1")
-    head = F.when(is_web, F.regexp_replace(server, ":$", "")).otherwise(
-        F.concat(scheme, F.lit(":"), F.when(url.rlike("^[^:]+://"), F.concat(F.lit("//"), authority)).otherwise(""))
-    )
+    slashes = F.when(parts["url"].rlike("^[^:]+://"), F.concat(F.lit("//"), authority)).otherwise("")
+    head = F.when(is_web, F.regexp_replace(server, ":$", "")).otherwise(F.concat(scheme, F.lit(":"), slashes))
     web_path = F.when(is_web & (path == ""), "/").otherwise(path)
 
     pairs = F.filter(F.split(F.substring(query, 2, 2**31 - 1), "&"), lambda p: p != "")
-    key_of = lambda p: F.substring_index(p, "=", 1)
+    kept = F.transform(F.filter(pairs, lambda p: ~_is_tracking(p)), _form_pair)
+    rebuilt = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
+    new_query = F.when(F.exists(pairs, _is_tracking), rebuilt).otherwise(query)
+    return F.when(is_url(parts["url"]), F.concat(head, web_path, new_query)).otherwise(
+        F.raise_error(F.concat(F.lit("not a URL: "), parts["url"]))
+    )
 
-    def is_tracking(pair: Column) -> Column:
-        raw = key_of(pair)
-        key = F.lower(F.coalesce(F.try_url_decode(raw), raw))
-        return key.startswith("utm_") | key.isin(TRACKING_QUERY_KEYS)
 
-    def encoded(pair: Column) -> Column:
-        value = F.when(F.contains(pair, F.lit("=")), F.substring(pair, F.length(key_of(pair)) + 2, F.length(pair)))
-        return F.concat(_form_value(key_of(pair)), F.lit("="), _form_value(F.coalesce(value, F.lit(""))))
+def _is_tracking(pair: Column) -> Column:
+    raw = F.substring_index(pair, "=", 1)
+    key = F.lower(F.coalesce(F.try_url_decode(raw), raw))
+    return key.startswith("utm_") | key.isin(TRACKING_QUERY_KEYS)
 
-    kept = F.transform(F.filter(pairs, lambda p: ~is_tracking(p)), encoded)
-    rebuilt = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
-    new_query = F.when(F.exists(pairs, is_tracking), rebuilt).otherwise(query)
-    return F.when(
-        url.isNotNull(),
-        F.when(is_url(url), F.concat(head, web_path, new_query)).otherwise(
-            F.raise_error(F.concat(F.lit("not a URL: "), url))
-        ),
-    )
+
+def _form_pair(pair: Column) -> Column:
+    key = F.substring_index(pair, "=", 1)
+    value = F.substring(pair, F.length(key) + 2, F.length(pair))
+    return F.concat(_form_value(key), F.lit("="), _form_value(value))
 
 
 def url_hash(url: Column) -> Column:
