@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe_transducer
+from plumbline.llm import bpe_transducer, pii
 from plumbline.llm.common import read
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
@@ -15,11 +15,16 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(read(spark, sf_dir, "documents"))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.digests(read(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_pii": op4_pii,
     "op9_bpe_codec": op9_bpe_codec,
 }
 
