@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe_transducer, pii
+from plumbline.llm import bpe_transducer, near_dedup, pii
 from plumbline.llm.common import read
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
@@ -19,13 +19,42 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(read(spark, sf_dir, "documents"))
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.digests(read(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op9_bpe_codec": op9_bpe_codec,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_minhash_dedup": r"""
+        WITH RECURSIVE cut AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+          FROM documents
+        ), sets AS (
+          SELECT DISTINCT doc_id, unnest(CASE
+            WHEN len(words) >= 5 THEN [array_to_string(words[i : i + 4], ' ') FOR i IN range(1, len(words) - 3)]
+            WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+          FROM cut
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        shared AS (
+          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+          FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+        ), links AS (
+          SELECT a, b FROM shared JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * both >= 75 * (s.n + t.n - both)
+        ), reach AS (
+          SELECT doc_id AS a, doc_id AS b FROM cut
+          UNION
+          SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        )
+        SELECT cut.doc_id, coalesce(n, 0) AS n_shingles, least_id AS component_id, cut.doc_id = least_id AS kept
+        FROM cut LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS least_id FROM reach GROUP BY a) ON a = cut.doc_id""",
+}

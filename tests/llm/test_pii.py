@@ -84,7 +84,7 @@ def test_base_spans_equal_a_plain_scan(results):
 
 def test_method_adds_accounts_and_ibans(results):
     _, got, _ = results
-    assert "account:8:24" in got[7]["spans"] and got[7]["n_card"] == 0
+    assert got[7]["spans"] == "account:8:24,card:29:45" and got[7]["n_card"] == 1
     assert got[8]["spans"].count("iban") == 2
 
 
