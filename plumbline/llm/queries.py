@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumbline.llm import bpe_transducer, near_dedup, pii
+from plumbline.llm import bpe_transducer, exact_topk, near_dedup, pii
 from plumbline.llm.common import read
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
@@ -15,6 +16,10 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(read(spark, sf_dir, "documents"))
 
@@ -28,12 +33,23 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_exact_topk": op3_exact_topk,
     "op4_pii": op4_pii,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op9_bpe_codec": op9_bpe_codec,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_exact_topk": """
+        WITH v AS (
+          SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x FROM embeddings
+          WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+          SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score
+          FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x) WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 5""",
     "op7_minhash_dedup": r"""
         WITH RECURSIVE cut AS (
           SELECT doc_id, list_filter(regexp_split_to_array(
