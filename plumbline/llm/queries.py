@@ -8,14 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe_transducer, exact_topk, near_dedup, pii
-from plumbline.llm.common import read
+from plumbline.llm import bpe_transducer, exact_topk, near_dedup, pii, token_store
+from plumbline.llm.common import read, shared_folder
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return token_store.digests(docs, TOKENIZER, shared_folder(spark, "tokens"))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -33,6 +39,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_store": op2_token_store,
     "op3_exact_topk": op3_exact_topk,
     "op4_pii": op4_pii,
     "op7_minhash_dedup": op7_minhash_dedup,
