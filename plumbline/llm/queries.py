@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe_transducer, exact_topk, near_dedup, pii, token_store, toxicity
+from plumbline.llm import bpe_transducer, decontaminate, exact_topk, near_dedup, pii, token_store, toxicity
 from plumbline.llm.common import read, shared_folder
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
@@ -30,6 +30,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(read(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
     "op3_exact_topk": op3_exact_topk,
     "op4_pii": op4_pii,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op9_bpe_codec": op9_bpe_codec,
