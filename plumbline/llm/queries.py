@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe_transducer, decontaminate, exact_topk, near_dedup, pii, token_store, toxicity
+from plumbline.llm import bpe_transducer, decontaminate, exact_topk, html_extract, near_dedup, pii, token_store, toxicity
 from plumbline.llm.common import read, shared_folder
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
@@ -42,6 +42,11 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn_weights(pages))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.digests(read(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_html_main_text": op8_html_main_text,
     "op9_bpe_codec": op9_bpe_codec,
 }
 
