@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe_transducer, decontaminate, exact_topk, html_extract, near_dedup, pii, token_store, toxicity
+from plumbline.llm import bpe_transducer, decontaminate, exact_topk, html_extract, language_id, near_dedup, pii, token_store, toxicity
 from plumbline.llm.common import read, shared_folder
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
@@ -17,6 +17,10 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "pages"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return token_store.digests(docs, TOKENIZER, shared_folder(spark, "tokens"))
@@ -52,6 +56,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_token_store": op2_token_store,
     "op3_exact_topk": op3_exact_topk,
     "op4_pii": op4_pii,
