@@ -3,13 +3,14 @@
 A document's set holds the hashes of its distinct shingles of five words. Documents with equal sets form a class and
 are compared as one. Minhashes come in two collections of ``SIDE`` short tuples of ``DEPTH`` values each; a table key
 combines a tuple of the first with one of the second, so SIDE * SIDE tables cost 2 * SIDE * DEPTH minhashes. A pair
-shares a table exactly if it agrees in a tuple of either collection: for a similarity of 0.75 that fails in 4 of a
-million pairs. Most documents share no tuple of the first collection with any other; they are left out before keys
+shares a table exactly if it agrees in a tuple of either collection: that fails in one of ten thousand pairs at a
+similarity of 0.75, in one of a million at 0.82. Most documents share no tuple of the first collection with any other; they are left out before keys
 are made.
 
 The members of a table are not paired with each other. Each is compared with the member that shares most tables with
-others, the pivot, on full sets; links between them make components. What then lies in one table but in different
-components is compared through minhash bytes in blocks, and what those can't rule out is confirmed on full sets too.
+others, the pivot, on full sets; links between them make components. Tables whose members then lie in different
+components are joined to groups of what may still be linked. In a group, all that lies outside its largest component is
+compared with all of it on full sets, block by block of bounded size; a block reports only links that join components.
 So every pair that shares a table is either in one component or was compared. Tables with the same members count once.
 
 Defined results: a text without words has an empty set and links with nothing; fewer than five words are one shingle;
@@ -33,12 +34,10 @@ from plumbline.llm.words import mix, word_hashes
 WORDS = 5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-SIDE, DEPTH = 16, 2
+SIDE, DEPTH = 18, 3
 HASHES = 2 * SIDE * DEPTH
-#: Two documents at the threshold agree in 48 of 64 minhash bytes on average; fewer than this are 4 deviations off.
-LEAST_EQUAL = 34
-#: Members of a table compared in one block.
-BLOCK = 1024
+#: Shingles of a group's members in one block, unless one member has more.
+BLOCK = 1 << 19
 #: Bytes of text hashed at a time.
 SLICE = 1 << 20
 
@@ -76,27 +75,26 @@ def minhashes(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, h1, h2, a, b, bits): set size and hashes, tuples of both collections, minhash bytes."""
+    """(doc_id, n, h1, h2, a, b): set size and hashes, tuples of both collections."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, h1, h2, tuples, bits = [], [], [], [], []
+            n, h1, h2, tuples = [], [], [], []
             for shingles in shingle_sets(batch.column(1)):
                 n.append(len(shingles))
                 h1.append(mix(shingles).sum(dtype=np.uint64))
                 h2.append(mix(shingles ^ _PLACE[0]).sum(dtype=np.uint64))
                 own = minhashes(shingles)
                 tuples.append(mix((mix(own) * _TABLE).reshape(2 * SIDE, DEPTH).sum(axis=1, dtype=np.uint64)).view(np.int64))
-                bits.append((mix(own) >> np.uint64(32)).astype(np.uint8).tobytes())
             tuples = np.array(tuples, np.int64).reshape(len(n), 2, SIDE)
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(tuples[:, k]).ravel()), SIDE).cast(pa.list_(pa.int64())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(np.array(h, np.uint64).view(np.int64)) for h in (h1, h2)), *lists, pa.array(bits, pa.binary())],
-                ["doc_id", "n", "h1", "h2", "a", "b", "bits"],
+                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(np.array(h, np.uint64).view(np.int64)) for h in (h1, h2)), *lists],
+                ["doc_id", "n", "h1", "h2", "a", "b"],
             )
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, a array<long>, b array<long>, bits binary")
+    return slim.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, a array<long>, b array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,46 +147,63 @@ def _sized(n_a: str, n_b: str):
     return (100 * F.col(n_a) >= PERCENT * F.col(n_b)) & (100 * F.col(n_b) >= PERCENT * F.col(n_a))
 
 
-def _undecided(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``members`` (key, rep, n, bits, label, main) of one table but two components that minhash bytes
-    don't rule out. ``main`` marks the component of the pivot; its members are compared with the others only."""
-    counts = members.groupBy("key").agg(F.count("*").alias("all"), F.sum(F.when(F.col("main"), 0).otherwise(1)).alias("rest"))
-    members = members.join(counts.filter("rest > 0"), "key")
+def link_groups(members: DataFrame) -> DataFrame:
+    """Links (a, b) that join components of ``members`` (group, rep, label, n, shingles), on full sets.
+
+    Within a group, all members outside of its largest component meet all members, in blocks of about BLOCK shingles.
+    """
+    sizes = members.groupBy("group", "label").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    totals = sizes.groupBy("group").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("s").alias("all"))
+    rest = sizes.join(totals, "group").filter("label <> main").groupBy("group").agg(F.sum("s").alias("rest"))
+    members = members.join(totals.join(rest, "group"), "group")
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     own = lambda c: F.pmod(F.xxhash64("rep"), blocks(c)).cast("int")
-    columns = ["key", "i", "j", "side", "rep", "n", "bits", "label"]
-    left = members.filter("not main").select("*", own("rest").alias("i"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("j"), F.lit(0).alias("side"))
+    columns = ["group", "i", "j", "side", "rep", "label", "shingles"]
+    left = members.filter("label <> main").select("*", own("rest").alias("i"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("j"), F.lit(0).alias("side"))
     right = members.select("*", own("all").alias("j"), F.explode(F.sequence(F.lit(0), blocks("rest") - 1)).alias("i"), F.lit(1).alias("side"))
-    sides = left.select(columns).unionByName(right.select(columns)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-
-    def compare(group: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        side, rep, n, bits, label = (np.concatenate(c) for c in zip(*group, strict=True))
-        lefts, rights = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        for at in lefts:
-            other = rights[(label[rights] != label[at]) & (100 * n[rights] >= PERCENT * n[at]) & (100 * n[at] >= PERCENT * n[rights])]
-            other = other[(bits[other] == bits[at]).sum(axis=1) >= LEAST_EQUAL]
-            if len(other):
-                yield np.minimum(rep[at], rep[other]), np.maximum(rep[at], rep[other])
+    sides = left.select(columns).unionByName(right.select(columns)).repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "side")
+
+    def compare(rows: list[tuple[int, int, int, np.ndarray]]) -> list[tuple[int, int]]:
+        lefts, rights = [r for r in rows if r[0] == 0], [r for r in rows if r[0] == 1]
+        if not lefts or not rights:
+            return []
+        sets = [r[3] for r in rights]
+        sizes_ = np.array(list(map(len, sets)))
+        known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(sizes_) - sizes_
+        names, at = np.unique([r[2] for r in rows], return_inverse=True)  # components seen here, joined as links turn up
+        joined = np.arange(len(names))
+        label_left, label_right = at[: len(lefts)], at[len(lefts) :]
+        out = []
+        for (_, rep, _, shingles), label in zip(lefts, label_left, strict=True):
+            place = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+            held = np.zeros(len(known), bool)
+            held[place[known[place] == shingles]] = True
+            both = np.add.reduceat(held[flat], starts, dtype=np.int64)
+            for k in np.flatnonzero(100 * both >= PERCENT * (len(shingles) + sizes_ - both)).tolist():
+                mine, other = joined[label], joined[label_right[k]]
+                if mine != other:
+                    joined[joined == other] = mine
+                    out.append((rep, rights[k][1]))
+        return out
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, name = [], None
+        rows, name = [], None
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for a, b in compare(group) if group else ():
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        def found() -> pa.RecordBatch:
+            links = compare(rows)
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, i, j, side, rep, n, label = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 4, 5, 7))
-            bits = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, HASHES)
-            cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-            for s, e in zip([0, *cuts], [*cuts, len(key)], strict=True):
-                if name != (key[s], i[s], j[s]):
-                    yield from out()
-                    group, name = [], (key[s], i[s], j[s])
-                group.append((side[s:e], rep[s:e], n[s:e], bits[s:e], label[s:e]))
-        yield from out()
+            names = zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), strict=True)
+            ends = batch.column(6).offsets.to_numpy()
+            flat = batch.column(6).values.to_numpy()
+            for k, (where, *row) in enumerate(zip(names, *(batch.column(c).to_pylist() for c in (3, 4, 5)), strict=True)):
+                if where != name:
+                    yield found()
+                    rows, name = [], where
+                rows.append((*row, flat[ends[k] : ends[k + 1]].copy()))
+        yield found()
 
     return sides.mapInArrow(run, "a long, b long").distinct()
 
@@ -197,7 +212,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     own = common.kept(sketches(docs, id_col=id_col, text_col=text_col), "sketches")
     classes = own.filter("n > 0 and doc_id is not null").groupBy("n", "h1", "h2")
-    classes = classes.agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("a", "b", "bits")))
+    classes = classes.agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("a", "b")))
     classes = common.kept(classes, "classes")
 
     firsts = classes.select("rep", F.explode("a").alias("ak"))
@@ -223,11 +238,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     labels = components(links)
     named = members.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    named = common.kept(named.join(mixed, "key", "left_semi"), "open")
-    mains = named.join(pivots, "key").filter("rep = pivot").select("key", F.col("label").alias("main_label"))
-    named = named.join(mains, "key").join(likely.select("rep", "n", "bits"), "rep")
-    rest = _undecided(named.withColumn("main", F.col("label") == F.col("main_label"))).join(pairs, ["a", "b"], "left_anti")
-    more = common.kept(confirm(common.kept(rest, "rest"), sets), "confirmed")
+    open_ = common.kept(named.join(mixed, "key", "left_semi").join(pivots, "key"), "open")
+    groups = components(open_.select(F.col("rep").alias("a"), F.col("pivot").alias("b"))).select(F.col("node").alias("rep"), F.col("label").alias("group"))
+    open_ = open_.select("rep", "label").distinct().join(groups, "rep").join(sets, "rep")
+    more = common.kept(link_groups(open_), "more")
     labels = components(links.union(more)) if not more.isEmpty() else labels
 
     groups = classes.select("n", "h1", "h2", "rep").join(labels, F.col("rep") == F.col("node"), "left")
