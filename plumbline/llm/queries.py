@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe_transducer, decontaminate, exact_topk, html_extract, language_id, near_dedup, pii, token_store, toxicity
+from plumbline.llm import bpe_transducer, decontaminate, exact_topk, html_extract, language_id, license_scan, near_dedup, pii, token_store, toxicity
 from plumbline.llm.common import read, shared_folder
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
@@ -55,6 +55,11 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.digests(read(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_store": op2_token_store,
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_html_main_text": op8_html_main_text,
     "op9_bpe_codec": op9_bpe_codec,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
