@@ -174,6 +174,19 @@ def digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def _shown(kind: str):
+    """What comes before a match and what is shown in its place."""
+
+    def piece(match: Column, i: Column) -> Column:
+        gap, before, after = F.get(F.col("__g"), i), F.right(F.get(F.col("__g"), i), F.lit(BEFORE)), F.left(F.get(F.col("__g"), i + 1), F.lit(AFTER))
+        shown = F.when(score(kind, match, before, after) >= ENOUGH, f"[{kind.upper()}]")
+        if kind == "card":
+            shown = shown.when(score("account", match, before, after) >= ENOUGH, "[ACCOUNT]")
+        return F.concat(gap, shown.otherwise(match))
+
+    return piece
+
+
 def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of ``text_col`` replaced by its kind in brackets; null stays null.
 
@@ -183,13 +196,6 @@ def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
         text = F.col(text_col)
         out = docs.withColumn("__m", _matches(text, kind)).withColumn("__g", F.when(F.size("__m") > 0, F.split(text, PATTERNS[kind], -1)))
 
-        def piece(match: Column, i: Column, kind: str = kind) -> Column:
-            gap, before, after = F.get(F.col("__g"), i), F.right(F.get(F.col("__g"), i), F.lit(BEFORE)), F.left(F.get(F.col("__g"), i + 1), F.lit(AFTER))
-            shown = F.when(score(kind, match, before, after) >= ENOUGH, f"[{kind.upper()}]")
-            if kind == "card":
-                shown = shown.when(score("account", match, before, after) >= ENOUGH, "[ACCOUNT]")
-            return F.concat(gap, shown.otherwise(match))
-
-        joined = F.concat(F.array_join(F.transform("__m", piece), ""), F.element_at("__g", -1))
+        joined = F.concat(F.array_join(F.transform("__m", _shown(kind)), ""), F.element_at("__g", -1))
         docs = out.withColumn(text_col, F.when(F.size("__m") > 0, joined).otherwise(text)).drop("__m", "__g")
     return docs
