@@ -198,7 +198,10 @@ class Words:
         self.known = Recent(most)
 
     def encode(self, text: str) -> bytes:
-        parts = text.split(" ")
+        return self.encode_parts(text.split(" "))
+
+    def encode_parts(self, parts: list[str]) -> bytes:
+        """Ids of a text that is cut at its single spaces."""
         found = list(map(self.known.get, parts))
         found[0], at = None, 0
         while True:

@@ -14,12 +14,14 @@ from plumbline.session import pin_runtime
 
 #: Rows of one Arrow batch. Texts may be long, so a batch holds few of them.
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin result-relevant options, ship the package to the workers and keep Arrow batches small."""
     pin_runtime(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

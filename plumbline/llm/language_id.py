@@ -158,15 +158,16 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     sums = [F.sum(F.col("text_share")[i]).alias(f"s{i}") for i in range(n)]
     counts = each.groupBy("level", "key").agg(*sums, F.min("of").alias("of")).select("level", "key", "of", F.array(*(F.col(f"s{i}") for i in range(n))).alias("counts"))
     counts = common.kept(counts, "counts")
-    every = counts.filter("level = 'all'").select(F.lit(1).alias("one"), F.col("counts").alias("every"))
+    # A number for each language.
+    total = counts.filter("level = 'all'").first()
+    total = total["counts"] if total else [0.0] * n
+    overall = F.array(*(F.lit((c + 1) / (sum(total) + n)) for c in total))
 
     def mixed(counts_: Column, above: Column) -> Column:
         total = F.aggregate(counts_, F.lit(0.0), lambda a, b: a + b)
         return F.zip_with(counts_, above, lambda c, p: (F.greatest(c, F.lit(0.0)) + SMOOTH * p) / (total + SMOOTH))
 
-    overall = F.transform("every", lambda c: (c + 1) / (F.aggregate("every", F.lit(0.0), lambda a, b: a + b) + n))
-    base = every.select("one", overall.alias("overall"))
-    at = lambda level: counts.filter(F.col("level") == level).withColumn("one", F.lit(1)).join(base, "one").drop("one", "level")
+    at = lambda level: counts.filter(F.col("level") == level).drop("level").withColumn("overall", overall)
     domains = at("domain").select(F.col("key").alias("of"), mixed(F.col("counts"), F.col("overall")).alias("domain_prior"))
     hosts = at("host").join(domains, "of", "left").select(F.col("key").alias("host"), F.col("counts").alias("host_counts"), F.coalesce("domain_prior", "overall").alias("above"))
     hosts = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -176,8 +177,8 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
         smooth = F.zip_with("counts", "overall", lambda c, p: weight * F.log((c + SMOOTH * p) / p))
         return at(level).select(F.col("key").alias(level), smooth.alias(f"{level}_log"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
 
-    own = own.withColumns({"salt": F.pmod(F.xxhash64("text_log", F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"), "one": F.lit(1)})
-    own = own.join(base, "one").drop("one").join(hosts, ["host", "salt"], "left")
+    own = own.withColumns({"salt": F.pmod(F.xxhash64("text_log", F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"), "overall": overall})
+    own = own.join(hosts, ["host", "salt"], "left")
     own = own.join(likelihood("declared", DECLARED_WEIGHT), ["declared", "salt"], "left").join(likelihood("suffix", SUFFIX_WEIGHT), ["suffix", "salt"], "left")
     others = F.zip_with("host_counts", "text_share", lambda c, s: c - s)
     own = own.withColumn("prior", F.coalesce(mixed(others, F.col("above")), F.col("overall")))

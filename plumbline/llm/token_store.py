@@ -20,6 +20,8 @@ may fill several shards; the index has the place of the first and their number;
 from __future__ import annotations
 
 import functools
+import itertools
+import string
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -31,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.llm import common
-from plumbline.llm.bpe_transducer import Words
+from plumbline.llm.bpe_transducer import Recent, Words
 from plumbline.llm.words import mix
 
 MAGIC = b"TOK1"
@@ -43,12 +45,18 @@ BUCKET_KEYS = 32_768
 END_ID = 2
 #: Bits of a level for each key left.
 GAMMA = 2
-MOST_WORDS = 250_000
+MOST_WORDS = 200_000
+#: Bytes of text encoded at a time.
+TEXT_SLICE = 1 << 19
 PAYLOAD = "shard int, block int, rows int, keys array<long>, data binary"
 
 
 class Encoder:
-    """A vocabulary of the tokenizers library. Words met before are remembered with their ids, see ``Words``."""
+    """A vocabulary of the tokenizers library. Words met before are remembered with their ids, see ``Words``.
+
+    Words of several texts that are new are encoded by one call, each on a line of its own: a single line break behind a
+    word is a token of its own, so the ids between line breaks are those of the words.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -57,12 +65,62 @@ class Encoder:
         self.library.encode_special_tokens = True
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.words = Words(self._ids, MOST_WORDS)
+        self.stems, self.marks = Recent(MOST_WORDS), Recent(MOST_WORDS // 8)
+        self.line_break = self.library.encode("\n", add_special_tokens=False).ids[0]
+        self.break_ids = self._ids("\n")
 
     def _ids(self, run: str) -> bytes:
         return np.array(self.library.encode(run, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        return self.words.encode(text)
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        parts, known, stems = [text.split(" ") for text in texts], self.words.known, self.stems
+        asked, made_of, none, marks_ = {}, [], [], string.punctuation
+
+        def piece(word: str, lead: str) -> tuple[str, str, bytes | None]:
+            """What is looked up, the marks behind it, and its ids. Letters and marks are split by the pattern anyway."""
+            stem = word.rstrip(string.punctuation)
+            if not stem.isalpha():
+                asked[lead + word] = None
+                return lead + word, "", None
+            key = lead + stem
+            ids = stems.get(key) or stems.old(key)
+            if ids is None:
+                asked[key] = None
+            return key, word[len(stem) :], ids
+
+        for word in set(itertools.chain.from_iterable(parts)).difference(known):
+            if known.old(word) is not None:
+                continue
+            stem = word.rstrip(marks_)
+            if stem.isalpha() and (ids := stems.get(" " + stem)) is not None:  # by far the most
+                if len(word) > len(stem):
+                    tail = self.marks.get(word[len(stem) :])
+                    ids += tail if tail is not None else self.marks.put(word[len(stem) :], self._ids(word[len(stem) :]))
+                known.put(word, ids)
+                continue
+            first, *rest = word.split("\n") if "\n" in word else (word,)
+            if all(line.split() == [line] for line in rest or none) and first.split() == [first]:
+                made_of.append((word, [piece(first, " "), *(piece(line, "") for line in rest)]))
+        if asked:
+            ids = np.array(self.library.encode_batch_fast(["\n".join(asked)], add_special_tokens=False)[0].ids, f"<u{self.width}")
+            ends = [*np.flatnonzero(ids == self.line_break).tolist(), len(ids)]
+            data, begin, w = ids.tobytes(), 0, self.width
+            for key, end in zip(asked, ends, strict=True):
+                asked[key] = data[begin * w : end * w]
+                begin = end + 1
+        for word, pieces in made_of:
+            out = []
+            for key, marks, ids in pieces:
+                if ids is None:
+                    ids = asked[key]
+                    if marks or key[-1].isalpha():
+                        stems.put(key, ids)
+                if marks:
+                    tail = self.marks.get(marks)
+                    ids += tail if tail is not None else self.marks.put(marks, self._ids(marks))
+                out.append(ids)
+            known.put(word, out[0] if len(out) == 1 else self.break_ids.join(out))
+        return [self.words.encode_parts(p) for p in parts]
 
 
 @functools.lru_cache(maxsize=1)
@@ -128,9 +186,8 @@ FIELDS = ("shard", "block", "place", "start", "rows")
 
 def build_index(entries: DataFrame) -> DataFrame:
     """Index table of ``entries`` (key and ``FIELDS``), one row per bucket."""
-    entries = entries.withColumn("one", F.lit(1))
-    buckets = entries.groupBy("one").agg(F.ceil(F.count("*") / BUCKET_KEYS).cast("int").alias("buckets"))
-    dealt = entries.join(buckets, "one").withColumn("bucket", F.pmod(F.xxhash64("key"), "buckets").cast("int")).drop("one")
+    buckets = max(1, -(-entries.count() // BUCKET_KEYS))
+    dealt = entries.withColumn("buckets", F.lit(buckets)).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
 
     def build(table: pa.Table) -> pa.Table:
         hashed = key_hash(table["key"].to_numpy())
@@ -154,9 +211,9 @@ def build_index(entries: DataFrame) -> DataFrame:
 
 def look_up(index: DataFrame, keys: DataFrame) -> DataFrame:
     """(key and ``FIELDS``) for each row of ``keys`` (key) that the index holds."""
-    count = index.select(F.lit(1).alias("one"), "buckets").limit(1)
-    asked = keys.filter("key is not null").withColumn("one", F.lit(1)).join(count, "one")
-    asked = asked.select("key", F.pmod(F.xxhash64("key"), "buckets").cast("int").alias("bucket"))
+    one = index.select("buckets").first()
+    buckets = one["buckets"] if one else 1
+    asked = keys.filter("key is not null").select("key", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"))
     kinds = "key long, " + ", ".join(f"{name} long" for name in FIELDS)
 
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -178,8 +235,11 @@ def look_up(index: DataFrame, keys: DataFrame) -> DataFrame:
 # --- Writing and reading a store ---------------------------------------------------------------------------------
 
 
-def write(docs: DataFrame, path: str, folder: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
-    """Encode the texts of ``docs`` with the tokenizer file ``path`` (same place on every worker) into ``folder``."""
+def write(docs: DataFrame, path: str, folder: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
+    """Encode the texts of ``docs`` with the tokenizer file ``path`` (same place on every worker) into ``folder``.
+
+    Returns what ``documents`` reads from the files written, with ``at``, the first id of each row.
+    """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text"))
     shards = max(1, -(-slim.count() // SHARD_ROWS))
@@ -197,8 +257,9 @@ def write(docs: DataFrame, path: str, folder: str, *, id_col: str = "doc_id", te
             )
 
         for batch in batches:
-            for part, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.texts(batch.column(2)), strict=True):
-                encoded = own.encode(text) + end
+            encoded_texts = (ids for b, e in common.slices(batch.column(2), TEXT_SLICE) for ids in own.encode_many(common.texts(batch.column(2).slice(b, e - b))))
+            for part, key, ids_of_text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoded_texts, strict=True):
+                encoded = ids_of_text + end
                 if keys and (part != shard or size + len(encoded) > BLOCK_BYTES):
                     yield out()
                     block, keys, counts, ids, size = block + 1 if part == shard else 0, [], [], [], 0
@@ -217,15 +278,18 @@ def write(docs: DataFrame, path: str, folder: str, *, id_col: str = "doc_id", te
     payload = ordered.select(F.spark_partition_id().alias("shard"), "key", "text").mapInArrow(run, PAYLOAD)
     payload.write.option("compression", "zstd").option("parquet.block.size", 8 << 20).parquet(f"{folder}/payload")
 
-    rows = documents(spark, folder)
+    rows = common.kept(documents(spark, folder), "rows")
     totals = rows.groupBy("shard").agg(F.count("*").alias("rows"), F.sum("n_tokens").alias("ids"))
     # One row per shard: slim however large the store.
     before = F.sum("ids").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("ids")
     totals.withColumn("first", before).coalesce(1).write.parquet(f"{folder}/shards")
     base = spark.read.parquet(f"{folder}/shards").select("shard", "first")
-    placed = rows.join(base, "shard").select("key", "shard", "block", "place", (F.col("first") + F.col("within")).alias("start"))
+    rows = rows.join(base, "shard").withColumn("at", F.col("first") + F.col("within"))
+    placed = rows.select("key", "shard", "block", "place", F.col("at").alias("start"))
     first = placed.filter("key is not null").groupBy("key").agg(F.min(F.struct("start", "shard", "block", "place")).alias("at"), F.count("*").alias("rows"))
+    first = common.kept(first, "firsts")
     build_index(first.select("key", "at.shard", "at.block", "at.place", "at.start", "rows")).write.parquet(f"{folder}/index")
+    return rows
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -278,10 +342,7 @@ def digests(docs: DataFrame, path: str, folder: str, *, id_col: str = "doc_id",
     Every key is looked up in the index, and what lies at its place in the payload is checked against it.
     """
     spark = docs.sparkSession
-    write(docs, path, folder, id_col=id_col, text_col=text_col)
-    rows = common.kept(documents(spark, folder), "rows")
-    base = spark.read.parquet(f"{folder}/shards").select("shard", "first")
-    rows = rows.join(base, "shard").withColumn("at", F.col("first") + F.col("within"))
+    rows = write(docs, path, folder, id_col=id_col, text_col=text_col)
     found = look_up(spark.read.parquet(f"{folder}/index"), docs.select(F.col(id_col).cast("long").alias("key")))
     ids = found.select(F.col("key").alias("asked"), F.col("start").alias("from"), F.col("rows"))
     own = rows.join(ids, F.col("key") == F.col("asked"), "left")
