@@ -56,9 +56,6 @@ SIGNAL_CODES = [
     "GENUINE_FLAW_MENTION",
 ]
 UNLISTED_TEMPLATE = "unlisted_template"
-MAX_SIGNALS = 12
-MAX_SPAN_UNITS = 80
-MAX_RATIONALE_UNITS = 280
 MAX_ATTEMPTS = 6
 
 # Row-key prefix.
@@ -106,16 +103,13 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
 
-# Canned delivery/packaging phrases, version v0, all "contains".
-DELIVERY_PHRASE_VERSION = "v0"
+# A starting list of phrases about delivery and packaging; callers keep their own.
+DELIVERY_PHRASE_VERSION = "starter-1"
 DELIVERY_PHRASES = {
-    "shipping_speed": [
-        "送貨快", "送貨好快", "到貨快", "好快收到", "很快就收到", "第二日就到", "第二日送到",
-        "快遞好快", "物流快", "物流好快", "運費", "好快就送到", "fast delivery",
-    ],
-    "packaging": ["包裝完好", "包裝完好無損", "包裝好好", "包裝完整", "well packed"],
-    "courier": ["順豐好快", "順豐"],
-    "generic_thanks": ["未拆已經好滿意", "正品", "多謝賣家", "賣家態度好", "回覆得快"],
+    "shipping_speed": ["arrived early", "arrived on time", "quick shipping", "shipped quickly", "came the next day", "速遞準時", "當日送達", "隔天送達"],
+    "packaging": ["nicely wrapped", "box was intact", "sealed properly", "包得很穩妥", "盒子沒有壓壞"],
+    "courier": ["the courier was polite", "left at the door", "快遞員有禮貌", "放在門口"],
+    "generic_thanks": ["thanks to the seller", "will open it later", "謝謝店家", "還沒打開"],
 }
 
 # Rule filter.
@@ -127,7 +121,6 @@ SEED_DISTANCE_THRESHOLD = 0.28
 STORE_PAIR_DISTANCE_THRESHOLD = 0.20
 SCORE_THRESHOLD = 75
 VECTOR_WIDTH = 768
-MAX_SCORED_PER_RUN = 5000
 
 # Volume bursts.
 BASELINE_DAYS = 14

@@ -3,7 +3,6 @@ scorer, clean its output, count."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,10 +14,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from plumbline.constants import (
     LINGUISTIC_STYLES,
     MAX_ATTEMPTS,
-    MAX_RATIONALE_UNITS,
-    MAX_SCORED_PER_RUN,
-    MAX_SIGNALS,
-    MAX_SPAN_UNITS,
     SIGNAL_CODES,
     UNLISTED_TEMPLATE,
 )
@@ -142,12 +137,17 @@ def _number(doc: Column, key: str) -> Column:
     return F.when(numeric, F.try_variant_get(doc, f"$.{key}", "double"))
 
 
+_DECIMAL = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+_HEX = "^0[xX][0-9a-fA-F]{1,15}$"
+
+
 def _score(doc: Column) -> Column:
-    """Score as a number: numeric texts, booleans and null (0) are accepted."""
+    """Score as a number: numeric texts, booleans and null (0) are accepted. Texts
+    are decimal or hexadecimal; suffixes such as in "75d" are no numbers."""
     kind = _kind(_node(doc, "shill_score"))
     text = F.trim(_string(doc, "shill_score"))
     value = (
-        F.when(kind == "STRING", F.when(text == "", 0.0).otherwise(text.try_cast("double")))
+        F.when(kind == "STRING", F.when(text == "", 0.0).when(text.rlike(_DECIMAL), text.try_cast("double")).when(text.rlike(_HEX), F.conv(F.substr(text, F.lit(3)), 16, 10).try_cast("double")))
         .when(kind == "VOID", 0.0)
         .when(kind == "BOOLEAN", F.try_variant_get(doc, "$.shill_score", "boolean").cast("int").cast("double"))
         .otherwise(_number(doc, "shill_score"))
@@ -155,9 +155,9 @@ def _score(doc: Column) -> Column:
     return F.when(value.between(0, 100), F.floor(value + 0.5).cast("long"))
 
 
-def _signals(doc: Column, text: Column) -> tuple[Column, Column]:
+def _signals(doc: Column, text: Column, max_signals: int | None, max_span_units: int | None) -> tuple[Column, Column]:
     """Usable signals and the number of spans that the text does not contain.
-    Reading stops at the twelfth usable signal."""
+    With ``max_signals`` reading stops once there are that many."""
     node = _node(doc, "detected_signals")
     items = F.when(_kind(node).startswith("ARRAY"), node.cast("array<variant>"))
     items = F.filter(F.coalesce(items, F.array().cast("array<variant>")), lambda v: _kind(v).startswith("OBJECT"))
@@ -173,7 +173,9 @@ def _signals(doc: Column, text: Column) -> tuple[Column, Column]:
     known = F.filter(
         read,
         lambda s: F.coalesce(
-            s["code"].isin(SIGNAL_CODES) & (F.length(s["span"]) > 0) & (utf16_units(s["span"]) <= MAX_SPAN_UNITS),
+            s["code"].isin(SIGNAL_CODES)
+            & (F.length(s["span"]) > 0)
+            & (F.lit(True) if max_span_units is None else utf16_units(s["span"]) <= max_span_units),
             F.lit(False),
         ),
     )
@@ -181,7 +183,7 @@ def _signals(doc: Column, text: Column) -> tuple[Column, Column]:
 
     def count(seen: Column, s: Column) -> Column:
         hit = F.contains(text, s["span"])
-        missed = ~hit & (seen["hits"] < MAX_SIGNALS)
+        missed = ~hit if max_signals is None else ~hit & (seen["hits"] < max_signals)
         return F.struct(
             (seen["hits"] + hit.cast("long")).alias("hits"),
             (seen["misses"] + missed.cast("long")).alias("misses"),
@@ -202,12 +204,20 @@ def _signals(doc: Column, text: Column) -> tuple[Column, Column]:
             F.when(exact, end.cast("int")).alias("end_char"),
         )
 
-    return F.transform(F.slice(found, 1, MAX_SIGNALS), clean), mismatches
+    return F.transform(found if max_signals is None else F.slice(found, 1, max_signals), clean), mismatches
 
 
-def sanitize_scores(df: DataFrame, allowed_templates: list[str], payload: str = "payload") -> DataFrame:
+def sanitize_scores(
+    df: DataFrame,
+    allowed_templates: list[str],
+    payload: str = "payload",
+    max_signals: int | None = None,
+    max_span_units: int | None = None,
+    max_rationale_units: int | None = None,
+) -> DataFrame:
     """``df(comment_text, payload, …)`` plus the cleaned assessment columns and
-    ``schema_error``, which is NULL where the payload is usable."""
+    ``schema_error``, which is NULL where the payload is usable. Everything usable
+    is kept unless the caller passes a limit (in UTF-16 units for texts)."""
     doc, text = F.col("doc"), F.col("comment_text")
     flag_kind = _kind(_node(doc, "template_detected"))
     detected = F.when(flag_kind == "BOOLEAN", F.try_variant_get(doc, "$.template_detected", "boolean"))
@@ -215,7 +225,7 @@ def sanitize_scores(df: DataFrame, allowed_templates: list[str], payload: str =
     listed = template.isin([*allowed_templates, UNLISTED_TEMPLATE])
     style = _string(doc, "linguistic_style")
     rationale = _string(doc, "rationale_short")
-    signals, mismatches = _signals(doc, text)
+    signals, mismatches = _signals(doc, text, max_signals, max_span_units)
     score = _score(doc)
 
     is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
@@ -242,7 +252,7 @@ def sanitize_scores(df: DataFrame, allowed_templates: list[str], payload: str =
                 "template_name": F.when(detected, _string(doc, "template_name")),
                 "linguistic_style": style,
                 "detected_signals": signals,
-                "rationale_short": cut_utf16(rationale, MAX_RATIONALE_UNITS),
+                "rationale_short": rationale if max_rationale_units is None else cut_utf16(rationale, max_rationale_units),
                 "signal_span_mismatch_count": mismatches,
             }
         )
@@ -269,35 +279,6 @@ _CALL = StructType(
 )
 
 
-class RuleScorer:
-    """Deterministic offline scorer. It rates repetition of stock words, so runs
-    and tests need no remote model; it is not a judgement of any review."""
-
-    def __init__(self, stock_words: tuple[str, ...] = ("best", "recommend", "repurchase", "amazing", "推薦", "回購")):
-        self.stock_words = stock_words
-
-    def __call__(self, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for text in rows["comment_text"]:
-            lowered = text.lower()
-            hits = [w for w in self.stock_words if w in lowered]
-            signals = []
-            for word in hits:
-                at = lowered.index(word)
-                signals.append({"code": "STOCK_PRAISE", "span": text[at : at + len(word)], "start_char": at, "end_char": at + len(word)})
-            payload = {
-                "shill_score": min(100, 30 * len(hits)),
-                "template_detected": len(hits) >= 2,
-                "template_id": "stock-" + hits[0] if len(hits) >= 2 else None,
-                "template_name": None,
-                "linguistic_style": "canned_pr" if len(hits) >= 2 else "unknown",
-                "detected_signals": signals,
-                "rationale_short": f"{len(hits)} stock words",
-            }
-            out.append((json.dumps(payload, ensure_ascii=False), len(text), len(signals), 0, None, None, None))
-        return pd.DataFrame(out, columns=_CALL.names)
-
-
 def call_scorer(pending: DataFrame, scorer: Scorer) -> DataFrame:
     """``pending`` plus the scorer's answer columns. Parallelism is the number of
     partitions; repartition ``pending`` to bound the calls in flight."""
@@ -327,17 +308,17 @@ def score_pending(
     prompt: str,
     allowed_templates: list[str],
     limit: int | None = None,
-    max_rows: int = MAX_SCORED_PER_RUN,
+    max_rows: int | None = None,
     source: str = "scored",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Assessments, errors and run counters of one scoring run.
 
-    ``limit`` is the caller's own row budget; above ``max_rows`` the run stops
-    before the first call. Answers are made durable before they are used twice,
+    ``limit`` is the caller's own row budget; above ``max_rows``, if given, the run
+    stops before the first call. Answers are made durable before they are used twice,
     so a lost executor does not repeat paid calls.
     """
     chosen = pending if limit is None else pending.orderBy("review_id").limit(limit)
-    if chosen.limit(max_rows + 1).count() > max_rows:
+    if max_rows is not None and chosen.limit(max_rows + 1).count() > max_rows:
         raise OverBudget(f"more than {max_rows} reviews to score")
     answers = durable(call_scorer(chosen, scorer))
     failed = F.col("payload").isNull()

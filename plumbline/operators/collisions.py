@@ -5,9 +5,9 @@ vector. Edge weights come from per-store counts of a group, so no review pair is
 ever listed for them: a group with n_a reviews in store a and n_b in store b adds
 n_a * n_b. Listing the pairs themselves is a separate step for those who want it.
 
-Both steps pair a group's members with ``_pair_up``. It cuts groups above
-``chunk_rows`` members into chunks and pairs chunk with chunk, so that no task
-receives a whole hot group.
+Both steps pair a group's members with ``_pair_up``. It cuts groups into chunks of
+about ``chunk_rows`` members and pairs chunk with chunk, one pair to a task's key,
+so that no task receives a whole hot group.
 """
 
 from __future__ import annotations
@@ -19,10 +19,9 @@ from pyspark.sql import functions as F
 
 from plumbline.constants import SCORE_THRESHOLD, STORE_PAIR_DISTANCE_THRESHOLD, UNLISTED_TEMPLATE
 from plumbline.functions import vectors as V
-from plumbline.operators.sizing import small_side
 from plumbline.session import durable
 
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 2_000
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 256
 
@@ -147,27 +146,27 @@ def similar_vectors(
         "member_group", "unit", F.col("p.block").alias("block"), F.explode("p.partners").alias("partner")
     )
 
+    names = ["group_a", "group_b", "cosine_distance"]
+    schema = pa.schema([(names[0], pa.string()), (names[1], pa.string()), (names[2], pa.float64())])
+
     def compare(rows: pa.Table) -> pa.Table:
         low, high = pa.compute.min(rows["low"]).as_py(), pa.compute.max(rows["high"]).as_py()
         of = lambda b: rows.filter(pa.compute.equal(rows["block"], b))
         left, right = of(low), of(high)
-        found_a, found_b, found_d = [], [], []
+        found = []
         if left.num_rows and right.num_rows:
-            keys_a, keys_b = left["member_group"].to_pylist(), right["member_group"].to_pylist()
+            keys_a, keys_b = left["member_group"].combine_chunks(), right["member_group"].combine_chunks()
             unit_a, unit_b = V.as_matrix(left["unit"]), V.as_matrix(right["unit"])
             for start in range(0, len(unit_a), 512):
                 distance = V.distances(unit_a[start : start + 512], unit_b)
                 hit_a, hit_b = np.nonzero(distance <= max_distance)
-                for i, j in zip(hit_a, hit_b):
-                    a, b = keys_a[start + i], keys_b[j]
-                    if a < b or (a > b and low != high):
-                        found_a.append(a)
-                        found_b.append(b)
-                        found_d.append(distance[i, j])
-        return pa.table(
-            [pa.array(found_a, pa.string()), pa.array(found_b, pa.string()), pa.array(found_d, pa.float64())],
-            names=["group_a", "group_b", "cosine_distance"],
-        )
+                if low == high:
+                    once = hit_a + start < hit_b
+                    hit_a, hit_b = hit_a[once], hit_b[once]
+                a, b = keys_a.take(pa.array(hit_a + start)), keys_b.take(pa.array(hit_b))
+                apart = pa.array(distance[hit_a, hit_b])
+                found += [pa.table([x, y, apart], names=names) for x, y in ((a, b), (b, a))]
+        return pa.concat_tables([schema.empty_table(), *(t.cast(schema) for t in found)])
 
     found = (
         placed.withColumn("low", F.least("block", "partner"))
@@ -175,8 +174,7 @@ def similar_vectors(
         .groupBy("low", "high")
         .applyInArrow(compare, "group_a string, group_b string, cosine_distance double")
     )
-    swapped = found.select(F.col("group_b").alias("group_a"), F.col("group_a").alias("group_b"), "cosine_distance")
-    return found.unionByName(swapped).unionByName(itself)
+    return found.unionByName(itself)
 
 
 # -- pairing -----------------------------------------------------------------
@@ -185,35 +183,25 @@ def similar_vectors(
 def _pair_up(members: DataFrame, matches: DataFrame, chunk_by: str, chunk_rows: int) -> DataFrame:
     """Members of matching groups from different stores, ``store_id_a < store_id_b``.
 
-    Groups above ``chunk_rows`` members are few by construction. They are counted
-    first, with map-side combining; only where there are any are members and
-    matches cut into chunks, by joining that short list broadcast after a check
-    of its size.
+    A group of n members is cut into n / ``chunk_rows`` chunks by hash. Every member
+    goes once to each chunk of the matching group, and both sides meet in a single
+    join on the two groups and the two chunks. A task therefore pairs at most about
+    ``chunk_rows`` members with as many others, however hot a group is.
     """
-    large = durable(
-        members.groupBy("member_group")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > chunk_rows)
-        .select("member_group", F.ceil(F.col("n") / chunk_rows).cast("int").alias("chunks"))
-    )
-    keys, grid = ["group"], matches
-    if not large.isEmpty():
-        keys = ["group", "chunk"]
-        sizes = small_side(large)
-        chunk = F.pmod(F.xxhash64(chunk_by), F.coalesce("chunks", F.lit(1))).cast("int")
-        members = members.join(sizes, "member_group", "left").withColumn("chunk", chunk).drop("chunks")
-        for s in ("a", "b"):
-            renamed = sizes.withColumnsRenamed({"member_group": f"group_{s}"})
-            parts = F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)
-            grid = grid.join(renamed, f"group_{s}", "left").withColumn(f"chunk_{s}", F.explode(parts)).drop("chunks")
-
-    def side(s: str) -> DataFrame:
-        named = members.withColumnRenamed("member_group", "group")
-        return named.withColumnsRenamed({c: f"{c}_{s}" for c in named.columns})
-
+    chunks = members.groupBy("member_group").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks"))
+    grid = matches
     for s in ("a", "b"):
-        grid = grid.join(side(s), [f"{key}_{s}" for key in keys])
-    return grid.where("store_id_a < store_id_b")
+        grid = grid.join(chunks.withColumnsRenamed({"member_group": f"group_{s}", "chunks": f"chunks_{s}"}), f"group_{s}")
+
+    def side(s: str, other: str) -> DataFrame:
+        named = members.withColumn("own", F.xxhash64(chunk_by)).withColumnRenamed("member_group", "group")
+        named = named.withColumnsRenamed({c: f"{c}_{s}" for c in named.columns}).join(grid, f"group_{s}")
+        mine = F.pmod(f"own_{s}", f"chunks_{s}").cast("int").alias(f"chunk_{s}")
+        theirs = F.explode(F.sequence(F.lit(0), F.col(f"chunks_{other}") - 1)).alias(f"chunk_{other}")
+        return named.select("*", mine, theirs).drop("chunks_a", "chunks_b", f"own_{s}")
+
+    left, right = side("a", "b"), side("b", "a").drop("cosine_distance")
+    return left.join(right, ["group_a", "group_b", "chunk_a", "chunk_b"]).where("store_id_a < store_id_b")
 
 
 def store_pair_counts(

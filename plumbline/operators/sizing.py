@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it really is small, else as it is, which
-    leaves an ordinary shuffled join. The count stops at the limit; plan
-    statistics cannot tell, as checkpoints and aggregates have none."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its values really are small, else as it is,
+    which leaves an ordinary shuffled join. Plan statistics cannot tell, as
+    checkpoints and aggregates have none, so the values are measured."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("n")).first()["n"]
+    return F.broadcast(df) if (size or 0) <= max_bytes else df
 
 
 def matching(large: DataFrame, keys: DataFrame, names: list[str]) -> DataFrame:

@@ -121,7 +121,7 @@ def latest_funnel(funnel_rows: DataFrame, run_id: str) -> DataFrame:
     return (
         of_run(funnel_rows, run_id)
         .groupBy(RUN)
-        .agg(F.max_by(F.struct(*rest), "computed_at").alias("f"), F.max("computed_at").alias("computed_at"))
+        .agg(F.max_by(F.struct(*rest), F.struct("computed_at", *rest)).alias("f"), F.max("computed_at").alias("computed_at"))
         .select(RUN, "f.*", "computed_at")
     )
 

@@ -523,14 +523,6 @@ def token_cost(spark, folder):
     return e.select("event_id", (scoring.token_cost(model, i % 900, i % 250) * 1000).alias("usd_per_1000"))
 
 
-@query
-def score_rule(spark, folder):
-    """Offline scorer over all documents."""
-    scorer = assess.RuleScorer(("the", "and", "que", "der"))
-    answers = assess.call_scorer(S.docs(spark, folder).select("doc_id", "comment_text"), scorer)
-    return assess.sanitize_scores(answers, ["stock-the"]).select("doc_id", "shill_score", "template_detected", "template_id")
-
-
 # -- keys and text -----------------------------------------------------------
 
 
@@ -638,13 +630,19 @@ def reject_counts(spark, folder):
 @query
 def normalize_reviews(spark, folder):
     good, _ = reviews.split_rejects(reviews.parse_reviews(_json_lines(spark, folder)))
-    wanted = reviews.filter_reviews(good, since="2024-01-05 00:00:00", until="2024-01-20 00:00:00")
-    made = reviews.normalize_reviews(wanted, S.SALT, "b1", S.RUN, "2024-06-01 00:00:00")
+    made = reviews.normalize_reviews(good, S.SALT, "b1", S.RUN, "2024-06-01 00:00:00")
     return made.select(
         "review_id", "store_id", "star_rating", "content_hash", "review_ts", "source_url_hash", "language_hint", "char_length"
     )
 
 
+@query
+def filter_reviews(spark, folder):
+    good, _ = reviews.split_rejects(reviews.parse_reviews(_json_lines(spark, folder)))
+    wanted = reviews.filter_reviews(good, since="2024-01-05 00:00:00", until="2024-01-20 00:00:00")
+    return wanted.select("source_line", "review_ts")
+
+
 # -- pages -------------------------------------------------------------------
 
 
@@ -667,6 +665,12 @@ def page_facts(spark, folder):
     return pages.page_facts(S.review_pages(spark, folder)).drop("url")
 
 
+@query
+def page_facts_given(spark, folder):
+    """The same over the pages as they are given, which have no pager."""
+    return pages.page_facts(S.table(spark, folder, "pages")).drop("url")
+
+
 def _page_log(spark, folder):
     """Orders as a page log: every order is one committed page of a customer's product."""
     o, c = F.col("o_orderkey"), F.col("o_custkey")

@@ -26,7 +26,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT event_type AS store_id, event_type || '/u' || (user_id % 3) AS product_id,
           CASE WHEN value < 150 THEN 5 ELSE 3 END AS star_rating, ts AS review_ts FROM events"""),
     "phrases": ([], r"""
-        SELECT CASE WHEN item_id % 2 = 0 THEN array_to_string(string_split(t, ' ')[1:3], ' ') ELSE t END AS phrase,
+        SELECT t AS phrase,
           CASE WHEN item_id % 7 = 0 THEN 'regexp' WHEN item_id % 3 = 0 THEN 'exact' ELSE 'contains' END AS match_type,
           item_id % 5 <> 0 AS is_active
         FROM (SELECT item_id, trim(regexp_replace(text, '[ \t\n\r\f]+', ' ', 'g')) AS t FROM benchmark)"""),
@@ -86,7 +86,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT a.store_id AS store_id_a, b.store_id AS store_id_b, a.review_id AS review_id_a, b.review_id AS review_id_b,
           CAST(NULL AS VARCHAR) AS template_id, list_cosine_distance(a.embedding, b.embedding) AS cosine_distance,
           a.shill_score AS shill_score_a, b.shill_score AS shill_score_b, 'embedding' AS pair_type
-        FROM suspects a JOIN suspects b ON a.store_id < b.store_id WHERE list_cosine_distance(a.embedding, b.embedding) <= 0.55"""),
+        FROM suspects a JOIN suspects b ON a.store_id < b.store_id WHERE list_cosine_distance(a.embedding, b.embedding) <= 0.85"""),
     "known": (["docs"], """
         SELECT review_id, 'docs' AS marketplace, CAST(doc_id AS VARCHAR) AS native_review_id, store_id, product_id, reviewer_id_hash, star_rating,
           content_hash, review_ts, TIMESTAMP '2024-04-01' AS ingested_at, 'b1' AS crawl_batch_id, 'run-1' AS pipeline_run_id,
@@ -402,10 +402,10 @@ def oracle_sql(salt: str) -> dict[str, str]:
         "sanitize": _with(
             f"""SELECT doc_id, schema_error, CASE WHEN ok THEN CASE WHEN doc_id % 8 = 1 THEN doc_id % 100 + 1 ELSE doc_id % 101 END END AS shill_score,
               CASE WHEN ok AND doc_id % 8 <> 1 THEN CASE doc_id % 8 WHEN 5 THEN 'unlisted_template' WHEN 3 THEN NULL ELSE 'tpl-1' END END AS template_id,
-              CASE WHEN ok AND doc_id % 8 <> 1 THEN 'name' END AS template_name, CASE WHEN ok THEN least(doc_id % 300, 280) END AS rationale_chars,
-              CASE WHEN ok THEN CASE doc_id % 8 WHEN 7 THEN 12 ELSE 1 END END::BIGINT AS n_signals,
-              CASE WHEN ok THEN CASE doc_id % 8 WHEN 7 THEN 12 WHEN 5 THEN 0 ELSE 1 END END::BIGINT AS n_placed,
-              CASE WHEN ok THEN CASE WHEN doc_id % 8 IN (2, 7) THEN 1 ELSE 0 END END::BIGINT AS n_mismatched
+              CASE WHEN ok AND doc_id % 8 <> 1 THEN 'name' END AS template_name, CASE WHEN ok THEN doc_id % 300 END AS rationale_chars,
+              CASE WHEN ok THEN CASE doc_id % 8 WHEN 7 THEN 13 ELSE 1 END END::BIGINT AS n_signals,
+              CASE WHEN ok THEN CASE doc_id % 8 WHEN 7 THEN 13 WHEN 5 THEN 0 ELSE 1 END END::BIGINT AS n_placed,
+              CASE WHEN ok THEN CASE doc_id % 8 WHEN 2 THEN 1 WHEN 7 THEN 2 ELSE 0 END END::BIGINT AS n_mismatched
             FROM (SELECT *, schema_error IS NULL AS ok FROM (SELECT doc_id, CASE WHEN doc_id % 40 IN (4, 12) THEN 'assessment JSON is not an object'
               WHEN doc_id % 8 = 6 THEN 'missing or invalid: shill_score' WHEN doc_id % 16 = 0 THEN 'missing or invalid: linguistic_style' END AS schema_error {doc}))""",
             "docs",
@@ -423,11 +423,6 @@ def oracle_sql(salt: str) -> dict[str, str]:
         ),
         "token_cost": f"""SELECT event_id, round(CASE {_FAMILY} WHEN 'a-3.5-flash' THEN event_id % 900 / 1e3 * 1.5 + event_id % 250 / 1e3 * 9.0
             WHEN 'a-3.1-flash-lite' THEN event_id % 900 / 1e3 * 0.25 + event_id % 250 / 1e3 * 1.5 END, 6) AS usd_per_1000 FROM events""",
-        "score_rule": _with(
-            f"""SELECT doc_id, least(100, 30 * len(h)) AS shill_score, len(h) >= 2 AS template_detected,
-            CASE WHEN len(h) >= 2 THEN CASE WHEN h[1] = 'the' THEN 'stock-the' ELSE 'unlisted_template' END END AS template_id
-            FROM (SELECT doc_id, list_filter(['the', 'and', 'que', 'der'], lambda w: contains(lower(comment_text), w)) AS h {doc})""", "docs"
-        ),
         "review_ids": _with(
             f"""SELECT doc_id, sha256(CASE WHEN doc_id % 3 = 2 THEN 'v1|docs|' || doc_id ELSE concat_ws('|', 'v1', marketplace, store_id, product_id,
             reviewer_id_hash, content_hash, strftime(review_ts, '%Y-%m-%dT%H:%M:%S.%gZ')) END) AS review_id {doc}""", "docs"
@@ -466,7 +461,10 @@ def oracle_sql(salt: str) -> dict[str, str]:
             f"""SELECT sha256('v1|fixture|' || doc_id) AS review_id, store_id, star_rating, content_hash, ts AS review_ts,
             CASE WHEN doc_id % 9 = 6 THEN sha256('https://shop.example.com/?b=2') END AS source_url_hash,
             CASE WHEN regexp_matches(comment_text, '[A-Za-z]') THEN 'en' ELSE 'unknown' END AS language_hint, char_length
-            FROM lines WHERE reject_reason IS NULL AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""", "lines"
+            FROM lines WHERE reject_reason IS NULL""", "lines"
+        ),
+        "filter_reviews": _with(
+            "SELECT doc_id AS source_line, ts AS review_ts FROM lines WHERE reject_reason IS NULL AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'", "lines"
         ),
         "page_reviews": _with(
             f"""SELECT doc_id AS page_id, 'r' || doc_id AS native_review_id, store_id, language_hint AS product_id, 'u' || (doc_id % 97) AS reviewer_id_raw,
@@ -478,7 +476,10 @@ def oracle_sql(salt: str) -> dict[str, str]:
             f"""SELECT ['missing_review_id', 'missing_reviewer_id', 'star_rating', 'empty_comment', 'bad_date'][doc_id % 6 + 1] AS reject_reason, count(*) AS n
             {doc} WHERE doc_id % 6 < 5 GROUP BY 1""", "docs"
         ),
-        "page_facts": "SELECT doc_id AS page_id, doc_id % 40 AS page_total, CASE WHEN doc_id % 2 = 0 THEN doc_id % 400 ELSE doc_id % 300 END AS n_declared_reviews FROM documents",
+        "page_facts": """SELECT doc_id AS page_id, CASE WHEN doc_id % 10 <> 9 THEN doc_id % 40 END AS page_total,
+            CASE WHEN doc_id % 2 = 0 THEN doc_id % 400 ELSE doc_id % 300 END AS n_declared_reviews FROM documents""",
+        "page_facts_given": r"""SELECT page_id, list_max([TRY_CAST(x AS BIGINT) FOR x IN regexp_extract_all(regexp_replace(html, '<[^>]+>', ' ', 'g'), '共\s*(\d+)\s*頁', 1)]) AS page_total,
+            TRY_CAST(nullif(regexp_extract(regexp_replace(html, '<[^>]+>', ' ', 'g'), '(\d+)\s*則評論', 1), '') AS BIGINT) AS n_declared_reviews FROM pages""",
         "crawl_completeness": """SELECT * EXCLUDE (by_count), coalesce(page_total >= 1 AND page_total < by_count, FALSE) AS is_understated,
               coalesce(stopped_reason IN ('end', 'unchanged_ids', 'next_disabled') AND n_pages < expected_pages, FALSE) AS is_short,
               stopped_reason = 'unchanged_ids' OR coalesce(n_accepted < n_declared_reviews, FALSE) AS is_incomplete

@@ -18,7 +18,7 @@ RUN, EARLIER, OLDEST, MOVED = "run-1", "run-0", "run-00", "run-2"
 MODEL, PROMPT, SEEDS = "m1", "p1", "v1"
 MIN_CHARS = 500
 SEED_DISTANCE = 0.75
-PAIR_DISTANCE = 0.55
+PAIR_DISTANCE = 0.85
 GRID = [0.60, 0.65, 0.70, 0.75, 0.80, 0.90]
 SALT = "sample-salt-0123456789"
 
@@ -96,9 +96,8 @@ def event_reviews(spark: SparkSession, folder: str, by_type: bool = False) -> Da
 
 def phrases(spark: SparkSession, folder: str) -> DataFrame:
     i, text = F.col("item_id"), clean(F.col("text"))
-    opening = F.array_join(F.slice(F.split(text, " "), 1, 3), " ")
     return table(spark, folder, "benchmark").select(
-        F.when(i % 2 == 0, opening).otherwise(text).alias("phrase"),
+        text.alias("phrase"),
         F.when(i % 7 == 0, "regexp").when(i % 3 == 0, "exact").otherwise("contains").alias("match_type"),
         (i % 5 != 0).alias("is_active"),
     )
@@ -306,7 +305,9 @@ def review_pages(spark: SparkSession, folder: str) -> DataFrame:
         (d % 5 + 1).cast("int"),
         escaped(F.col("comment_text")),
         day,
-        F.when(d % 3 == 0, F.lit('<img alt="" src="/photos/1.jpg">')).otherwise('<img src="/_ui/icon.png">'),
+        F.when(d % 3 == 0, F.when(d % 2 == 0, F.lit('<img alt="" src="/photos/1.jpg">')).otherwise('<img src="/_ui/ph.gif" data-src="/photos/1.jpg">'))
+        .when(d % 2 == 0, '<img src="/_ui/icon.png">')
+        .otherwise('<img data-src="/photos/1.jpg" src="/_ui/ph.gif">'),
     )
     bad = block(
         wrapper(
@@ -322,7 +323,9 @@ def review_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
     unclosed = F.when(d % 7 == 0, F.lit('<div class="product-review-wrapper" data-reviewid="lost">')).otherwise("")
     pager = F.concat(
-        F.lit('<span class="total">共 '), s(d % 40), F.lit(" 頁</span><p>共1頁</p>"),
+        F.when(d % 10 == 9, F.lit('<span class="total">共 99999999999999999999 頁</span>')).otherwise(
+            F.concat(F.lit('<span class="total">共 '), s(d % 40), F.lit(" 頁</span><p>共1頁</p>"))
+        ),
         F.when(d % 2 == 0, F.concat(F.lit('<span class="comment__count"> '), s(d % 400), F.lit(" </span>"))).otherwise(
             F.concat(F.lit("<b>"), s(d % 300), F.lit("</b> 則評論"))
         ),
@@ -354,7 +357,7 @@ def payloads(spark: SparkSession, folder: str) -> DataFrame:
         .when(d % 8 == 5, F.array(shifted))
         .otherwise(F.array(ok))
     )
-    score = F.when(d % 8 == 6, "101").when(d % 8 == 1, F.concat((d % 100).cast("string"), F.lit(".5"))).otherwise(
+    score = F.when(d % 24 == 6, "75d").when(d % 8 == 6, "101").when(d % 8 == 3, F.concat(F.lit("0x"), F.hex(d % 101))).when(d % 8 == 1, F.concat((d % 100).cast("string"), F.lit(".5"))).otherwise(
         (d % 101).cast("string")
     )
     document = F.to_json(

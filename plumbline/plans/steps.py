@@ -26,7 +26,7 @@ def _phase(store: ReviewStore, run_id: str, phase: str, **fields):
     try:
         yield counts
     except Exception as problem:
-        store.record(run_id, phase, "failed", error_message=str(problem)[:2000], **fields)
+        store.record(run_id, phase, "failed", error_message=str(problem), **fields)
         raise
     store.record(run_id, phase, "succeeded", **fields, **counts)
 
@@ -163,7 +163,7 @@ def run_audit(
     skip_existing: bool = True,
     force: bool = False,
     limit: int | None = None,
-    max_rows: int = C.MAX_SCORED_PER_RUN,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Copy earlier scores forward, score the rest, store results and failures."""
     with _phase(store, run_id, "audit", scorer_model=model) as counts:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,10 +120,13 @@ def run_states(events: DataFrame) -> DataFrame:
     sticky = [c for c in events.columns if c not in (RUN, "phase", "status", "started_at")]
     replaced = ["phase", "status", "finished_at", "rows_in", "rows_out", "error_message"]
     kept = [c for c in sticky if c not in replaced and c != "heartbeat_at"]
+    # Events of one moment: the later status wins, then the later phase by name.
+    done = F.col("status").isin("succeeded", "failed")
+    newest = F.struct("heartbeat_at", done, "status", "phase", F.coalesce("error_message", F.lit("")))
     return events.groupBy(RUN).agg(
-        *[F.max_by(c, "heartbeat_at").alias(c) for c in replaced],
+        *[F.max_by(c, newest).alias(c) for c in replaced],
         *[
-            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("heartbeat_at"))).alias(c)
+            F.max_by(c, F.when(F.col(c).isNotNull(), newest)).alias(c)
             for c in kept
         ],
         F.max("heartbeat_at").alias("heartbeat_at"),
@@ -151,7 +153,3 @@ def reload_version(dimension: DataFrame, rows: DataFrame, version: str, column:
     """Dimension with one version replaced."""
     kept = dimension.where(F.col(column) != version)
     return kept.unionByName(rows.withColumn(column, F.lit(version)))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -7,9 +7,9 @@ import pandas as pd
 import pytest
 from pyspark import cloudpickle
 
-
 from plumbline.operators import assess, upsert
 from plumbline.schemas import ASSESSMENT_ERRORS, ASSESSMENTS
+from scorers import RuleScorer
 
 # Workers cannot import test modules.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -205,6 +205,6 @@ def test_pending(spark):
 
 def test_rule_scorer_output_is_usable(spark):
     df = pending(spark, "the best, I recommend", "plain words")
-    rows = assess.sanitize_scores(assess.call_scorer(df, assess.RuleScorer()), ["stock-best"]).orderBy("review_id").collect()
+    rows = assess.sanitize_scores(assess.call_scorer(df, RuleScorer()), ["stock-best"]).orderBy("review_id").collect()
     assert [(r.shill_score, r.template_id, r.schema_error) for r in rows] == [(60, "stock-best", None), (0, None, None)]
     assert [s.start_char for s in rows[0].detected_signals] == [4, 12]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.constants import SEED_CATEGORIES
 from plumbline.operators import upsert
-from plumbline.operators.assess import RuleScorer
+from scorers import RuleScorer
 from plumbline.operators.embed import HashedTrigrams
 from plumbline.plans import steps
 from plumbline.plans.store import ReviewStore

@@ -196,6 +196,6 @@ def test_small_changes_stream_the_table(spark):
     target = table(spark, [("a", "h1", 5, "s1", "r1", "2024-01-01")])
     plan = upsert.upsert_reviews(target, target)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("Union")[0]
-    beyond = small_side(spark.range(11), max_rows=10)
+    beyond = small_side(spark.range(11), max_bytes=80)
     assert "ResolvedHint" not in beyond._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in small_side(spark.range(10), max_rows=10)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in small_side(spark.range(5), max_bytes=80)._jdf.queryExecution().analyzed().toString()
