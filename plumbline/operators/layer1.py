@@ -9,13 +9,6 @@ from plumbline.constants import EXCLUSION_REASONS, MIN_TEXT_CHARS, REQUIRED_STAR
 from plumbline.functions import text
 from plumbline.functions.phrases import stripped_length
 
-MAX_PHRASES = 100_000
-
-
-def _check_size(n: int) -> None:
-    if n > MAX_PHRASES:
-        raise ValueError(f"more than {MAX_PHRASES} phrases cannot form one pattern")
-
 
 def active_phrases(phrases: DataFrame) -> DataFrame:
     return phrases.where(F.col("is_active") & F.col("match_type").isin("contains", "exact"))
@@ -23,9 +16,7 @@ def active_phrases(phrases: DataFrame) -> DataFrame:
 
 def compile_phrases(phrases: DataFrame) -> DataFrame:
     """One row, one column: an alternation of all phrases, longest first, or NULL
-    when there are none. The phrase list is a hand-kept dimension; one that could
-    not work as a regular expression is refused before it is gathered."""
-    _check_size(phrases.limit(MAX_PHRASES + 1).count())
+    when there are none. The phrase list is a hand-kept dimension."""
     longest_first = F.sort_array(F.collect_list(F.struct(-F.char_length("phrase"), F.col("phrase"))))
     alternatives = F.array_join(
         F.transform(longest_first, lambda p: text.regex_escape(p["phrase"])), "|"
@@ -36,10 +27,8 @@ def compile_phrases(phrases: DataFrame) -> DataFrame:
 
 
 def phrase_list(phrases: DataFrame) -> list[str]:
-    """The active phrases, which every task needs; their number is checked."""
-    rows = active_phrases(phrases).select("phrase").distinct().limit(MAX_PHRASES + 1).collect()
-    _check_size(len(rows))
-    return [row.phrase for row in rows]
+    """The active phrases, which every task holds: a hand-kept dimension of any number."""
+    return [row.phrase for row in active_phrases(phrases).select("phrase").distinct().collect()]
 
 
 def with_stripped_length(raw: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -72,32 +61,38 @@ def l1_audit(
     )
 
 
+def _stage1_columns(kept: DataFrame) -> DataFrame:
+    return kept.select(
+        "pipeline_run_id",
+        "review_id",
+        "marketplace",
+        "store_id",
+        "product_id",
+        "reviewer_id_hash",
+        "star_rating",
+        "comment_text",
+        "content_hash",
+        "review_ts",
+        "language_hint",
+        "char_length",
+        "stripped_char_length",
+        F.lit("pass").alias("filter_reason"),
+    )
+
+
 def l1_filter(
     raw: DataFrame, phrases: DataFrame, stars: int = REQUIRED_STARS, min_chars: int = MIN_TEXT_CHARS
 ) -> DataFrame:
     """Reviews that pass. The two stored-column tests reach the scan, so phrases
     are only looked for in rows that survive them."""
     candidates = raw.where((F.col("star_rating") == stars) & (F.col("char_length") >= min_chars))
-    return (
-        with_stripped_length(candidates, phrases)
-        .where(F.col("stripped_char_length") >= min_chars)
-        .select(
-            "pipeline_run_id",
-            "review_id",
-            "marketplace",
-            "store_id",
-            "product_id",
-            "reviewer_id_hash",
-            "star_rating",
-            "comment_text",
-            "content_hash",
-            "review_ts",
-            "language_hint",
-            "char_length",
-            "stripped_char_length",
-            F.lit("pass").alias("filter_reason"),
-        )
-    )
+    return _stage1_columns(with_stripped_length(candidates, phrases).where(F.col("stripped_char_length") >= min_chars))
+
+
+def passed(raw: DataFrame, audit: DataFrame) -> DataFrame:
+    """The same reviews by a stored audit of ``raw``."""
+    fit = audit.where(F.col("exclusion_reason") == EXCLUSION_REASONS[-1]).select("review_id", "stripped_char_length")
+    return _stage1_columns(raw.join(fit, "review_id"))
 
 
 def l1_funnel(audit: DataFrame, stage1: DataFrame) -> DataFrame:

@@ -110,7 +110,9 @@ def run_layer1(store: ReviewStore, run_id: str, min_chars: int = C.MIN_TEXT_CHAR
         raw = stores.of_run(store.current("raw_reviews"), run_id)
         phrases = store.current("phrases")
         store.write_run("l1_audit", layer1.l1_audit(raw, phrases, min_chars=min_chars), run_id)
-        store.write_run("stage1", layer1.l1_filter(raw, phrases, min_chars=min_chars), run_id)
+        # Phrases are looked for once: what passed is read from the audit.
+        stage1 = layer1.passed(raw, store.read_run("l1_audit", run_id))
+        store.write_run("stage1", stage1, run_id)
         summary = layer1.l1_funnel(store.read_run("l1_audit", run_id), store.read_run("stage1", run_id))
         row = summary.first()
         counts.update(rows_in=row.n_in, rows_out=row.n_out)

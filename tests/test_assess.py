@@ -85,20 +85,25 @@ def test_signals(spark):
     assert [(s.span, s.start_char, s.end_char) for s in row.detected_signals] == [
         ("really", at, at + 6), ("really", None, None), ("really", None, None), ("Great", None, None), ("😀", None, None),
     ]
-    assert row.signal_span_mismatch_count == 1
+    assert row.signal_span_mismatch_count == 2
     for other in (None, "text", {"a": 1}, "absent"):
         assert clean(spark, but(detected_signals=other))[0].detected_signals == []
 
 
-def test_reading_signals_stops_after_twelve(spark):
-    many = [signal("gone")] + [signal("rice")] * 12 + [signal("gone")]
-    row = clean(spark, but(detected_signals=many))[0]
-    assert len(row.detected_signals) == 12 and row.signal_span_mismatch_count == 1
+def test_everything_is_kept_unless_a_limit_is_given(spark):
+    many = [signal("gone")] + [signal("rice")] * 13 + [signal("gone"), signal("y" * 81)]
+    payload = but(detected_signals=many, rationale_short="😀" * 150)
+    row = clean(spark, payload)[0]
+    assert (len(row.detected_signals), row.signal_span_mismatch_count, len(row.rationale_short)) == (13, 3, 150)
+    df = spark.createDataFrame([(TEXT, json.dumps(payload))], "comment_text string, payload string")
+    row = assess.sanitize_scores(df, ["t1"], max_signals=12, max_span_units=80, max_rationale_units=280).first()
+    assert (len(row.detected_signals), row.signal_span_mismatch_count, len(row.rationale_short)) == (12, 1, 140)
 
 
-def test_rationale_is_cut(spark):
-    rows = clean(spark, but(rationale_short="r" * 300), but(rationale_short="😀" * 150))
-    assert [len(r.rationale_short) for r in rows] == [280, 140]
+def test_score_texts(spark):
+    values = ["75d", "75f", "0x4B", " 75 ", "7.5e1", "NaN", "0x"]
+    got = [(r.shill_score if r.schema_error is None else None) for r in clean(spark, *[but(shill_score=v) for v in values])]
+    assert got == [None, None, 75, 75, 75, None, None]
 
 
 PENDING = "review_id string, comment_text string, store_id string, product_id string, matched_seed_id string, matched_seed_category string, content_hash string"
