@@ -32,7 +32,7 @@ SLICE_WORDS = 1_000_000
 #: Points of a matching word, another word in its place, and a word left out or put in.
 MATCH, OTHER, GAP = 2, -1, -1
 #: A leak has at least this share of the points of a verbatim copy of the item.
-LEAK = 0.5
+LEAK = 0.4
 #: Bytes of text hashed at a time.
 TEXT_SLICE = 1 << 20
 LEAKS = "array<struct<item_id:long,score:double,start:int,end:int>>"
