@@ -77,7 +77,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
           SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x FROM embeddings
-          WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
           SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score
           FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x) WHERE q.vec_id % 50 = 0
@@ -87,7 +87,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_minhash_dedup": r"""
         WITH RECURSIVE cut AS (
           SELECT doc_id, list_filter(regexp_split_to_array(
-            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
           FROM documents
         ), sets AS (
           SELECT DISTINCT doc_id, unnest(CASE
@@ -96,10 +96,10 @@ ORACLE_SQL: dict[str, str] = {
           FROM cut
         ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
         shared AS (
-          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
           FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
         ), links AS (
-          SELECT a, b FROM shared JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * both >= 75 * (s.n + t.n - both)
+          SELECT a, b FROM shared JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * n_both >= 75 * (s.n + t.n - n_both)
         ), reach AS (
           SELECT doc_id AS a, doc_id AS b FROM cut
           UNION
