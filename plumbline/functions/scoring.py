@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +37,17 @@ def classify_error(status: Column, message: Column, kind: Column | None = None)
     )
 
 
+def is_retryable(status: int | None, message: str | None, kind: str | None = None) -> bool:
+    """The same decision for one failed call, where it is made between calls."""
+    if status is not None and (status == 429 or 500 <= status <= 504):
+        return True
+    if status == 400:
+        return False
+    if kind in _TIMEOUT_KINDS or re.search(_TIMEOUT, message or ""):
+        return True
+    return not (status is not None and 401 <= status <= 499)
+
+
 def token_cost(
     model: Column, tokens_in: Column, tokens_out: Column, prices: list[dict] | None = None
 ) -> Column:

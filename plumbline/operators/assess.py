@@ -3,6 +3,8 @@ scorer, clean its output, count."""
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,7 +19,7 @@ from plumbline.constants import (
     SIGNAL_CODES,
     UNLISTED_TEMPLATE,
 )
-from plumbline.functions.scoring import classify_error, token_cost
+from plumbline.functions.scoring import classify_error, is_retryable, token_cost
 from plumbline.functions.text import cut_utf16, strict_json, utf16_units
 from plumbline.schemas import ASSESSMENTS
 from plumbline.session import durable
@@ -264,7 +266,7 @@ def sanitize_scores(
 
 # A scorer takes a pandas frame of pending rows and returns, row for row,
 # payload (JSON text), input_tokens, output_tokens, thought_tokens, and for a
-# failed call http_status, error_kind and error_message.
+# failed call http_status, error_kind, error_message and, if known, retry_after.
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 _CALL = StructType(
     [
@@ -275,13 +277,50 @@ _CALL = StructType(
         StructField("http_status", LongType()),
         StructField("error_kind", StringType()),
         StructField("error_message", StringType()),
+        StructField("attempt_count", LongType()),
     ]
 )
 
 
-def call_scorer(pending: DataFrame, scorer: Scorer) -> DataFrame:
-    """``pending`` plus the scorer's answer columns. Parallelism is the number of
-    partitions; repartition ``pending`` to bound the calls in flight."""
+def retry_delay(attempt: int, retry_after: float | None, jitter: Callable[[], float] = random.random) -> float:
+    """Seconds to wait after failed attempt ``attempt`` (from 0): what the service asks for, else doubling."""
+    return retry_after if retry_after is not None else min(30.0, 0.5 * 2**attempt) + 0.25 * jitter()
+
+
+def with_retry(
+    scorer: Scorer, attempts: int = MAX_ATTEMPTS, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random
+) -> Scorer:
+    """``scorer``, called again for the rows of a batch that failed for a passing reason, ``attempts`` times at most.
+    Answers gain ``attempt_count``; a scorer may say ``retry_after`` in seconds, the longest of a batch counts."""
+    columns = [*_CALL.names, "retry_after"]
+
+    def passing(answer: pd.Series) -> bool:
+        text = lambda name: None if pd.isna(answer[name]) else str(answer[name])
+        status = None if pd.isna(answer["http_status"]) else int(answer["http_status"])
+        return pd.isna(answer["payload"]) and is_retryable(status, text("error_message"), text("error_kind"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.reset_index(drop=True)
+        answers = scorer(rows).reset_index(drop=True).reindex(columns=columns).astype(object)
+        answers["attempt_count"] = 1
+        for attempt in range(attempts - 1):
+            again = [i for i in range(len(answers)) if passing(answers.iloc[i])]
+            if not again:
+                break
+            asked = [float(v) for v in answers.loc[again, "retry_after"] if not pd.isna(v)]
+            sleep(retry_delay(attempt, max(asked) if asked else None, jitter))
+            fresh = scorer(rows.iloc[again].reset_index(drop=True)).reset_index(drop=True).reindex(columns=columns).astype(object)
+            fresh["attempt_count"] = attempt + 2
+            fresh.index = again
+            answers.loc[again] = fresh
+        return answers
+
+    return run
+
+
+def call_scorer(pending: DataFrame, scorer: Scorer, partitions: int | None = None) -> DataFrame:
+    """``pending`` plus the scorer's answer columns. A partition has one call in
+    flight; ``partitions`` bounds their number."""
     kinds = {f.name: pa.int64() if f.dataType == LongType() else pa.string() for f in _CALL.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,7 +332,8 @@ def call_scorer(pending: DataFrame, scorer: Scorer) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *kinds])
 
-    return pending.mapInArrow(run, StructType(pending.schema.fields + _CALL.fields))
+    dealt = pending if partitions is None else pending.repartition(partitions)
+    return dealt.mapInArrow(run, StructType(pending.schema.fields + _CALL.fields))
 
 
 class OverBudget(RuntimeError):
@@ -310,6 +350,9 @@ def score_pending(
     limit: int | None = None,
     max_rows: int | None = None,
     source: str = "scored",
+    attempts: int = MAX_ATTEMPTS,
+    sleep: Callable[[float], None] = time.sleep,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Assessments, errors and run counters of one scoring run.
 
@@ -320,7 +363,7 @@ def score_pending(
     chosen = pending if limit is None else pending.orderBy("review_id").limit(limit)
     if max_rows is not None and chosen.limit(max_rows + 1).count() > max_rows:
         raise OverBudget(f"more than {max_rows} reviews to score")
-    answers = durable(call_scorer(chosen, scorer))
+    answers = durable(call_scorer(chosen, with_retry(scorer, attempts, sleep), partitions))
     failed = F.col("payload").isNull()
     clean = sanitize_scores(answers.where(~failed), allowed_templates)
     assessments = clean.where("schema_error IS NULL").select(
@@ -338,11 +381,11 @@ def score_pending(
     outcome = classify_error(F.col("http_status"), F.col("error_message"), F.col("error_kind"))
     thrown = answers.where(failed).withColumn("o", outcome)
 
-    def error_row(attempts: int, error_class: Column, message: Column, retryable: Column, status: Column) -> list[Column]:
+    def error_row(error_class: Column, message: Column, retryable: Column, status: Column) -> list[Column]:
         return [
             F.col("review_id"),
             F.lit(run_id).alias(RUN),
-            F.lit(attempts).cast("long").alias("attempt_count"),
+            F.coalesce("attempt_count", F.lit(1)).cast("long").alias("attempt_count"),
             status.cast("long").alias("http_status"),
             error_class.alias("error_class"),
             message.alias("error_message"),
@@ -350,12 +393,11 @@ def score_pending(
             F.current_timestamp().alias("failed_at"),
         ]
 
-    # The stored attempt count is nominal: 1 for unusable output, the maximum for failed calls.
     errors = clean.where("schema_error IS NOT NULL").select(
-        *error_row(1, F.lit("schema"), F.col("schema_error"), F.lit(False), F.lit(None))
+        *error_row(F.lit("schema"), F.col("schema_error"), F.lit(False), F.lit(None))
     ).unionByName(
         thrown.select(
-            *error_row(MAX_ATTEMPTS, F.col("o.error_class"), F.col("error_message"), F.col("o.retryable"), F.col("o.http_status"))
+            *error_row(F.col("o.error_class"), F.col("error_message"), F.col("o.retryable"), F.col("o.http_status"))
         )
     )
     graded = clean.select("input_tokens", "output_tokens", "thought_tokens", "schema_error", "signal_span_mismatch_count").unionByName(

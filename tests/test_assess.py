@@ -132,17 +132,49 @@ def pending(spark, *texts):
 
 def test_scoring_run(spark):
     rows, errors, counters = assess.score_pending(
-        pending(spark, "good one", "bad one", "fail429 x", "fail400 x", "good two"), Scripted(), "run", "x-3.5-flash", "p1", ["t1"]
+        pending(spark, "good one", "bad one", "fail429 x", "fail400 x", "good two"), Scripted(), "run", "x-3.5-flash", "p1", ["t1"], sleep=lambda s: None, partitions=2
     )
     assert rows.columns == ASSESSMENTS.names and errors.columns == ASSESSMENT_ERRORS.names
     assert {r.review_id for r in rows.collect()} == {"r0", "r4"}
     got = {r.review_id: (r.attempt_count, r.http_status, r.error_class, r.retryable) for r in errors.collect()}
-    assert got == {"r1": (1, None, "schema", False), "r2": (6, 429, "rate_limit", True), "r3": (6, 400, "unknown", False)}
+    assert got == {"r1": (1, None, "schema", False), "r2": (6, 429, "rate_limit", True), "r3": (1, 400, "unknown", False)}
     c = counters.first()
     assert (c.n_attempted, c.n_scored, c.n_errors, c.error_rate, c.signal_span_mismatch_total) == (5, 2, 3, 0.6, 2)
     assert c.cost_usd_est == pytest.approx(3 * 0.0036)
 
 
+class Flaky:
+    """Fails the first calls of a text with what the text lists."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __call__(self, rows):
+        out = []
+        for text in rows["comment_text"]:
+            n = self.calls[text] = self.calls.get(text, 0) + 1
+            failures = text.split()
+            if n <= len(failures):
+                status, _, after = failures[n - 1].partition(":")
+                out.append({"http_status": int(status), "retry_after": float(after) if after else None})
+            else:
+                out.append({"payload": "{}"})
+        return pd.DataFrame(out)
+
+
+def test_retry_waits_and_stops():
+    waits = []
+    run = assess.with_retry(Flaky(), 6, waits.append, lambda: 0.0)
+    answers = run(pd.DataFrame({"comment_text": ["429 503", "400", "429:7", "", " ".join(["500"] * 9)]}))
+    assert answers["attempt_count"].tolist() == [3, 1, 2, 1, 6]
+    assert [p == "{}" for p in answers["payload"]] == [True, False, True, True, False]
+    assert waits == [7.0, 1.0, 2.0, 4.0, 8.0]
+    assert assess.retry_delay(9, None, lambda: 1.0) == 30.25
+    from plumbline.functions.scoring import is_retryable
+
+    assert [is_retryable(404, "x"), is_retryable(404, "Timeout"), is_retryable(None, None), is_retryable(505, "")] == [False, True, True, True]
+
+
 def test_budget_and_limit(spark):
     todo = pending(spark, "good 1", "good 2", "good 3")
     with pytest.raises(assess.OverBudget):
