@@ -114,23 +114,29 @@ def full_sets(docs: DataFrame, ids: DataFrame, *, id_col: str = "doc_id", text_c
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label) with the smallest node that can be reached, for every node of ``edges`` (a, b).
+    """(node, label) with the smallest node that can be reached, for every node of ``edges`` (a, b) with a neighbour.
 
-    Labels spread to neighbours and then jump to the label of their label, so rounds grow with the logarithm of the
-    longest path. Each round is written, which cuts lineage.
+    Each round every node takes its smallest neighbour's name, or the name that one takes, and the links are then drawn
+    between names: what is left shrinks by half or more. Each round is written, which cuts lineage.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
-    both = common.kept(both, "links")
-    labels = common.kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
-    while True:
-        seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("seen"))
-        near = labels.join(seen, labels["node"] == seen["a"]).select("node", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        after = near.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label"))
-        after = common.kept(after, "labels")
-        labels = after.select("node", "label")
-        if after.filter("label <> old").isEmpty():
-            return labels
+    edges = common.kept(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "links")
+    names = edges.sparkSession.createDataFrame([], "node long, label long")
+    started = False
+    while not edges.isEmpty():
+        ends = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
+        near = ends.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label"))
+        near = common.kept(near, "near")
+        further = near.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        step = common.kept(near.join(further, "label").select("node", F.col("further").alias("label")), "step")
+        if started:
+            renamed = step.select(F.col("node").alias("label"), F.col("label").alias("newer"))
+            names = common.kept(names.join(renamed, "label", "left").select("node", F.coalesce("newer", "label").alias("label")), "names")
+        else:
+            names, started = step, True
+        for end in ("a", "b"):
+            edges = edges.join(step.select(F.col("node").alias(end), F.col("label").alias(f"new_{end}")), end)
+        edges = common.kept(edges.select(F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b")).filter("a <> b").distinct(), "links")
+    return names
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -239,8 +245,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     named = members.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
     open_ = common.kept(named.join(mixed, "key", "left_semi").join(pivots, "key"), "open")
-    groups = components(open_.select(F.col("rep").alias("a"), F.col("pivot").alias("b"))).select(F.col("node").alias("rep"), F.col("label").alias("group"))
-    open_ = open_.select("rep", "label").distinct().join(groups, "rep").join(sets, "rep")
+    mains = open_.filter("rep = pivot").select("key", F.col("label").alias("main"))
+    groups = components(open_.join(mains, "key").select(F.col("label").alias("a"), F.col("main").alias("b")))
+    groups = groups.select(F.col("node").alias("label"), F.col("label").alias("group"))
+    open_ = open_.select("rep", "label").distinct().join(groups, "label").join(sets, "rep")
     more = common.kept(link_groups(open_), "more")
     labels = components(links.union(more)) if not more.isEmpty() else labels
 

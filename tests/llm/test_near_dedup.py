@@ -65,3 +65,22 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs).collect()), key=str)
     assert got == [(5, 5, True), (5, 5, True), (9, 5, False), (None, None, True)]
     assert near_dedup.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_components_equal_a_plain_search(spark):
+    random.seed(11)
+    edges = [(random.randrange(300), random.randrange(300)) for _ in range(180)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5000, 5000 + i) for i in range(1, 40)]
+    label = {}
+
+    def top(i):
+        while label.setdefault(i, i) != i:
+            i = label[i]
+        return i
+
+    for a, b in edges:
+        if a != b:
+            lo, hi = sorted((top(a), top(b)))
+            label[hi] = lo
+    got = {r["node"]: r["label"] for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: top(i) for i in label}
+    assert near_dedup.components(spark.createDataFrame([(4, 4)], "a long, b long")).collect() == []
