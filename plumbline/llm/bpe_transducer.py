@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from plumbline.llm import common
 
 #: Words kept with their ids by each worker; beyond it the table starts anew.
-MOST_WORDS = 250_000
-MOST_STATES = 400_000
+MOST_WORDS = 120_000
+MOST_STATES = 200_000
 #: Ids decoded at a time.
 DECODE_IDS = 65_536
 
@@ -71,6 +71,7 @@ class Transducer:
         self.numbers = {start: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.ends: list[tuple[int, ...]] = [()]
+        self.shared: dict[tuple, tuple] = {}
         self.pairs: dict[int, bool] = {}
 
     def last_merge(self, token: int) -> tuple[int, int] | None:
@@ -144,14 +145,17 @@ class Transducer:
             chains = [(-2, *chain[certain + 1 :]) for chain in chains]
         elif certain:
             chains = [chain[certain:] for chain in chains]
-        following = tuple(zip(nodes, chains, strict=True))
+        shared = self.shared  # states have most of their parts in common
+        following = tuple([shared.setdefault(part, part) for part in zip(nodes, chains, strict=True)])
         number = self.numbers.get(following)
         if number is None:
             number = self.numbers[following] = len(self.states)
             self.states.append(following)
-            self.ends.append(chains[-1][1:])
-        self.steps[state << 8 | byte] = number, emitted
-        return number, emitted
+            end = chains[-1][1:]
+            self.ends.append(shared.setdefault(end, end))
+        step = (number, shared.setdefault(emitted, emitted))
+        self.steps[state << 8 | byte] = step
+        return step
 
     def encode(self, word: bytes) -> list[int]:
         if len(self.states) > self.most_states:
@@ -366,6 +370,7 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"doc_id {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

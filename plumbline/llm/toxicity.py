@@ -59,7 +59,7 @@ class Codes(dict):
 
     def __init__(self, lexicon: dict[str, float]):
         super().__init__()
-        self.lexicon, self.recent = lexicon, Recent(200_000)
+        self.lexicon, self.recent = lexicon, Recent(50_000)
 
     def weight(self, word: str) -> float:
         found = self.lexicon.get(word, 0.0)
