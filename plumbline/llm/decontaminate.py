@@ -1,20 +1,25 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: pairs of near words find passages, Smith-Waterman alignment scores them.
 
-Words are runs of letters and digits in lower case. A first pass counts how often each run of ``N`` words of the test
-items occurs in all documents. In every ``WINDOW`` consecutive runs of an item the rarest becomes a seed, so a copy that
-keeps N + WINDOW - 1 words in a row has one, however common its passage is. The second pass finds seeds in whole
-documents and aligns the item with the words around them; edits, insertions and omissions lower the score.
+Words are runs of letters and digits in lower case. A link is a pair of words that match one after the other in both
+texts, with at most one word between them in either. Links without a word between cost no points, others of one word at
+most one, all further steps two or more; so an alignment of P points has links of a weight (two if adjacent in both
+texts, else one) of P - 2 or more. Every passage of a document in which links reach that weight is aligned with the
+item: leaks are those of an alignment of everything with everything, whatever was edited, inserted or left out.
+
+A first pass counts the word pairs of the items in all documents. Up to half of the links that a leak could lack are not
+looked for, the most common ones, and the weight that is needed is lowered by what they could add.
 
 Test items are sent to all tasks, in slices of at most ``SLICE_WORDS`` words, one after the other; that bounds what is
 broadcast and collected, not the number of items. Documents are never shuffled.
 
-Defined results: null and empty texts and texts without seeds have no leaks; items that are null, have no id or fewer
+Defined results: null and empty texts and texts without links have no leaks; items that are null, have no id or fewer
 than N words are left out, as they can't be told from chance; items that repeat an id are each compared, the best
 counts; rows with null or repeated ids are compared like any other; other columns are kept by ``annotate``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,7 +32,6 @@ from plumbline.llm import common
 from plumbline.llm.words import ASCII_FOLD, ASCII_PUNCTUATION, mix, word_hashes
 
 N = 3
-WINDOW = 3
 SLICE_WORDS = 1_000_000
 #: Points of a matching word, another word in its place, and a word left out or put in.
 MATCH, OTHER, GAP = 2, -1, -1
@@ -35,6 +39,8 @@ MATCH, OTHER, GAP = 2, -1, -1
 LEAK = 0.4
 #: Bytes of text hashed at a time.
 TEXT_SLICE = 1 << 20
+#: Links looked at together, unless one document has more.
+LINKS = 1 << 20
 LEAKS = "array<struct<item_id:long,score:double,start:int,end:int>>"
 
 
@@ -42,14 +48,14 @@ def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(pc.utf8_lower(pc.fill_null(column, "")), ASCII_PUNCTUATION, ASCII_FOLD)
 
 
-def runs_of(words: np.ndarray) -> np.ndarray:
-    """Hashes of all runs of N words; those across rows are to be left out by the caller."""
-    if len(words) < N:
-        return np.zeros(0, np.uint64)
-    total = np.zeros(len(words) - N + 1, np.uint64)
-    for k in range(N):
-        total = mix(total + words[k : k + len(total)])
-    return total
+def pairs_of(words: np.ndarray, step: int) -> np.ndarray:
+    """Hashes of all words with the one ``step`` further; those across rows are to be left out by the caller."""
+    return mix(mix(words[: max(0, len(words) - step)]) + words[step:])
+
+
+def points_of(n: int) -> int:
+    """Points from which on an alignment with an item of ``n`` words is a leak."""
+    return math.ceil(LEAK * MATCH * n - 1e-9)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -85,78 +91,121 @@ class Items:
         ends = np.cumsum(counts)
         whole = [(i, words[e - c : e]) for i, c, e in zip(ids, counts.tolist(), ends.tolist(), strict=True) if c >= N]
         self.ids, self.words = [i for i, _ in whole], [w for _, w in whole]
-        self.runs = [runs_of(w) for w in self.words]
-        self.all_runs = np.unique(np.concatenate([*self.runs, np.zeros(0, np.uint64)]))
+        self.all_pairs = np.unique(np.concatenate([*(pairs_of(w, step) for w in self.words for step in (1, 2)), np.zeros(0, np.uint64)]))
 
     def choose(self, counts: dict[int, int]) -> None:
-        """Keep as seeds the rarest run of each window: (run, item, place)."""
-        rows = []
-        for item, runs in enumerate(self.runs):
-            often = np.array([counts.get(int(r), 0) for r in runs.view(np.int64)])
-            for at in range(max(1, len(runs) - WINDOW + 1)):
-                rows.append((item, at + int(often[at : at + WINDOW].argmin())))
-        rows = sorted(set(rows))
-        runs = np.array([self.runs[item][at] for item, at in rows], np.uint64)
-        order = np.argsort(runs, kind="stable")
-        self.seeds, self.places = runs[order], np.array(rows, np.int64).reshape(-1, 2)[order]
-        self.runs = []
-
-    def leaks(self, words: np.ndarray, runs: np.ndarray) -> list[dict]:
-        """Leaks in one document, best first."""
-        low, high = np.searchsorted(self.seeds, runs, "left"), np.searchsorted(self.seeds, runs, "right")
-        starts: dict[int, list[int]] = {}
-        for at in np.flatnonzero(high > low).tolist():
-            for item, place in self.places[low[at] : high[at]].tolist():
-                starts.setdefault(item, []).append(at - place)
-        found: dict[int, dict] = {}
-        for item, begins in starts.items():
-            own = self.words[item]
-            reach = len(own)
-            begins, spans = sorted(begins), []
-            for b in begins:  # a stretch of the document per group of seeds
-                lo, hi = max(0, b - reach // 2), min(len(words), b + reach + reach // 2)
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][1] = max(hi, spans[-1][1])
+        """Keep the links to be looked for: (pair, item, place, words between)."""
+        pairs, rows, needed = [], [], []
+        for item, words in enumerate(self.words):
+            near, far = pairs_of(words, 1), pairs_of(words, 2)
+            often = np.array([counts.get(int(p), 0) for p in near.view(np.int64)])
+            often[: len(far)] += [counts.get(int(p), 0) for p in far.view(np.int64)]
+            weight = points_of(len(words)) - 2
+            spared = max(0, (weight - 1) // 4)
+            places = np.sort(np.argsort(often, kind="stable")[: len(often) - spared])
+            needed.append(max(1, weight - 2 * spared))
+            for step, own in ((1, near), (2, far)):
+                at = places[places < len(own)]
+                pairs.append(own[at])
+                rows.append(np.stack([np.full(len(at), item), at, np.full(len(at), step)], axis=1))
+        pairs, rows = np.concatenate(pairs), np.concatenate(rows)
+        order = np.argsort(pairs, kind="stable")
+        self.pairs, self.links = pairs[order], rows[order]
+        self.needed = np.array(needed)
+        lengths = np.array([len(w) for w in self.words])
+        #: Points that a leak can lose at most, and words of a document that it can cover.
+        self.loss = MATCH * lengths - np.array([points_of(n) for n in lengths.tolist()])
+        self.cover = lengths + self.loss
+
+    def places(self, words: np.ndarray, rows: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+        """(item, first word, end) of the stretches of ``words`` in which links reach the weight, sorted."""
+        found = []
+        for step, pairs in zip((1, 2), steps, strict=True):
+            low, high = np.searchsorted(self.pairs, pairs, "left"), np.searchsorted(self.pairs, pairs, "right")
+            at = np.flatnonzero((high > low) & (rows[: len(pairs)] == rows[step:]))
+            often = high[at] - low[at]
+            link = np.arange(often.sum()) - np.repeat(np.cumsum(often) - often, often) + np.repeat(low[at], often)
+            item, place, own = self.links[link].T
+            found.append((np.repeat(at, often), item, place, np.where((own == 1) & (step == 1), 2, 1)))
+        at, item, place, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+        key = item * (len(words) + self.cover.max() + 1) + at
+        order = np.argsort(key, kind="stable")
+        at, item, place, weight, key = at[order], item[order], place[order], weight[order], key[order]
+        total = np.concatenate([[0], np.cumsum(weight)])
+        reached = total[np.searchsorted(key, key + self.cover[item], "right")] - total[np.searchsorted(key, key, "left")] >= self.needed[item]
+        at, item, place = at[reached], item[reached], place[reached]
+        begin = at - place - self.loss[item]
+        return at, item, begin, begin + self.cover[item] + self.loss[item]
+
+    def leaks(self, counts: np.ndarray, words: np.ndarray) -> list[list[dict]]:
+        """Leaks in each of some documents, best first."""
+        ends = np.cumsum(counts)
+        rows = np.repeat(np.arange(len(counts)), counts)
+        found: list[dict[int, dict]] = [{} for _ in range(len(counts))]
+        spans: dict[tuple[int, int], list[list[int]]] = {}
+        steps = (pairs_of(words, 1), pairs_of(words, 2))
+        for first, last in self.parts(ends, steps):
+            where = slice(first, last)
+            at, item, begin, end = self.places(words[where], rows[where], tuple(p[first : max(first, last - step)] for step, p in zip((1, 2), steps, strict=True)))
+            for row, k, lo, hi in sorted(zip(rows[where][at].tolist(), item.tolist(), (begin + first).tolist(), (end + first).tolist(), strict=True)):
+                lo, hi = max(int(ends[row] - counts[row]), lo), min(int(ends[row]), hi)
+                own = spans.setdefault((row, k), [])
+                if own and lo <= own[-1][1]:  # a stretch of the document per group of links
+                    own[-1][1] = max(hi, own[-1][1])
                 else:
-                    spans.append([lo, hi])
-            for lo, hi in spans:
+                    own.append([lo, hi])
+        for (row, k), own in spans.items():
+            item, name, zero = self.words[k], self.ids[k], int(ends[row] - counts[row])
+            for lo, hi in own:
                 passage = words[lo:hi]
-                if MATCH * np.isin(own, passage).sum() < LEAK * MATCH * reach:
+                if MATCH * np.isin(item, passage).sum() < points_of(len(item)):
                     continue  # even all words in order would not be enough
-                points, begin, end = align(own, passage)
-                score = points / (MATCH * reach)
-                name = self.ids[item]
-                if score >= LEAK and (name not in found or score > found[name]["score"]):
-                    found[name] = {"item_id": name, "score": score, "start": lo + begin, "end": lo + end}
-        return sorted(found.values(), key=lambda x: (-x["score"], x["item_id"]))
+                points, begin, end = align(item, passage)
+                score = points / (MATCH * len(item))
+                if points >= points_of(len(item)) and (name not in found[row] or score > found[row][name]["score"]):
+                    found[row][name] = {"item_id": name, "score": score, "start": lo - zero + begin, "end": lo - zero + end}
+        return [sorted(x.values(), key=lambda leak: (-leak["score"], leak["item_id"])) for x in found]
+
+    def parts(self, ends: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, int]]:
+        """Words of whole documents that have about LINKS links together."""
+        links = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int64)
+        for pairs in steps:
+            links[: len(pairs)] += np.searchsorted(self.pairs, pairs, "right") - np.searchsorted(self.pairs, pairs, "left")
+        total = np.concatenate([[0], np.cumsum(links)])
+        first = last = 0
+        for end in ends.tolist():
+            if last > first and total[end] - total[first] > LINKS:
+                yield first, last
+                first = last
+            last = end
+        if last > first:
+            yield first, last
 
 
 def documents_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Words and runs of each row."""
+    """Words per row, and all words, of slices of ``column``."""
     for begin, end in common.slices(column, TEXT_SLICE):
-        counts, words = words_of(column.slice(begin, end - begin))
-        runs, at = runs_of(words), 0
-        for n in counts.tolist():
-            yield words[at : at + n], runs[at : at + max(0, n - N + 1)]
-            at += n
+        yield words_of(column.slice(begin, end - begin))
 
 
-def run_counts(docs: DataFrame, runs: np.ndarray, text_col: str) -> dict[int, int]:
-    """How often each of ``runs`` (sorted) occurs in all documents."""
+def pair_counts(docs: DataFrame, pairs: np.ndarray, text_col: str) -> dict[int, int]:
+    """How often each of ``pairs`` (sorted) occurs in all documents."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(runs), np.int64)
+        total = np.zeros(len(pairs), np.int64)
         for batch in batches:
-            for _, own in documents_of(batch.column(0)):
-                at = np.minimum(np.searchsorted(runs, own), len(runs) - 1)
-                hit = at[runs[at] == own] if len(runs) else at[:0]
-                np.add.at(total, hit, 1)
+            for counts, words in documents_of(batch.column(0)):
+                rows = np.repeat(np.arange(len(counts)), counts)
+                for step in (1, 2):
+                    own = pairs_of(words, step)
+                    at = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
+                    total += np.bincount(at[(pairs[at] == own) & (rows[: len(own)] == rows[step:])], minlength=len(pairs))
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(runs[seen].view(np.int64)), pa.array(total[seen])], ["run", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[seen].view(np.int64)), pa.array(total[seen])], ["pair", "n"])
 
-    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
-    # At most one row for each run of one slice of items.
-    return {r["run"]: r["n"] for r in counted.collect()}
+    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    # At most one row for each pair of one slice of items.
+    return {r["pair"]: r["n"] for r in counted.collect()}
 
 
 def annotate(docs: DataFrame, items: DataFrame, *, text_col: str = "text", name: str = "leaks") -> DataFrame:
@@ -171,14 +220,15 @@ def annotate(docs: DataFrame, items: DataFrame, *, text_col: str = "text", name:
         part = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
         if not part.ids:
             continue
-        part.choose(run_counts(docs, part.all_runs, text_col))
+        part.choose(pair_counts(docs, part.all_pairs, text_col))
         sent = docs.sparkSession.sparkContext.broadcast(part)
 
         def search(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             own = sent.value
             for batch in batches:
                 before = batch.column(batch.num_columns - 1).to_pylist()
-                found = [old + own.leaks(words, runs) for old, (words, runs) in zip(before, documents_of(batch.column(text_at).cast(pa.string())), strict=True)]
+                new = (leaks for counts, words in documents_of(batch.column(text_at).cast(pa.string())) for leaks in own.leaks(counts, words))
+                found = [old + leaks for old, leaks in zip(before, new, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, batch.schema.types[-1])], batch.schema.names)
 
         out = out.mapInArrow(search, out.schema)

@@ -71,6 +71,27 @@ def test_leaks_equal_all_alignments(spark, data):
     assert {k: v for k, v in got.items() if k not in long} == want
 
 
+def test_edits_at_regular_places_equal_all_alignments(spark):
+    random.seed(8)
+    vocabulary = [f"v{i}" for i in range(2_000)]
+    text = lambda n: [random.choice(vocabulary) for _ in range(n)]
+    items = [(i, " ".join(text(n))) for i, n in enumerate([3, 4, 5, 8, 16, 20, 35, 60])]
+    docs = []
+    for _, source in items:
+        own = source.split()
+        for step in (2, 3, 5):
+            docs.append([w if i % step else "other" for i, w in enumerate(own)])  # every second, third, fifth word replaced
+            docs.append([w for i, w in enumerate(own) if i % step])  # or left out
+            docs.append([x for i, w in enumerate(own) for x in ([w] if (i + 1) % step else [w, "more"])])  # or one put in
+        docs.append([x for w in own for x in (w, "more")])
+        docs.append([w if random.random() < 0.6 else "other" for w in own])
+    docs = list(enumerate(" ".join(text(90) + copy + text(70)) for copy in docs)) + [(1000, items[7][1])] * 4
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    scores = {(i, item): plain_points(words(source), words(t)) / (2 * len(words(source))) for i, t in docs for item, source in items}
+    want = {k: v for k, v in scores.items() if v >= decontaminate.LEAK}
+    assert len(want) > 60 and got == want
+
+
 def test_annotate_keeps_columns_and_empty_tables(spark, data):
     docs = spark.createDataFrame([(1, "x", [2])], "doc_id long, text string, start array<int>")
     items = spark.createDataFrame(data[1], "item_id long, text string")
