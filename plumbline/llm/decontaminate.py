@@ -1,6 +1,8 @@
 """Benchmark decontamination: pairs of near words find passages, Smith-Waterman alignment scores them.
 
-Words are runs of letters and digits in lower case. A link is a pair of words that match one after the other in both
+Words are runs of letters and digits in lower case; in scripts without spaces each character is a word. A leak is an
+alignment with ``LEAK`` of the points of a verbatim copy, or with ``LEAK_POINTS`` if that is less; items under N words
+leak as whole phrases only. A link is a pair of words that match one after the other in both
 texts, with at most one word between them in either. Links without a word between cost no points, others of one word at
 most one, all further steps two or more; so an alignment of P points has links of a weight (two if adjacent in both
 texts, else one) of P - 2 or more. Every passage of a document in which links reach that weight is aligned with the
@@ -12,14 +14,14 @@ looked for, the most common ones, and the weight that is needed is lowered by wh
 Test items are sent to all tasks, in slices of at most ``SLICE_WORDS`` words, one after the other; that bounds what is
 broadcast and collected, not the number of items. Documents are never shuffled.
 
-Defined results: null and empty texts and texts without links have no leaks; items that are null, have no id or fewer
-than N words are left out, as they can't be told from chance; items that repeat an id are each compared, the best
-counts; rows with null or repeated ids are compared like any other; other columns are kept by ``annotate``.
+Defined results: null and empty texts and texts without links have no leaks; items that are null or
+have no words are left out; items that repeat an id, or have none, are each compared, the best counts; rows with null or repeated ids are compared like any other; other columns are kept by ``annotate``.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,6 +39,10 @@ SLICE_WORDS = 1_000_000
 MATCH, OTHER, GAP = 2, -1, -1
 #: A leak has at least this share of the points of a verbatim copy of the item.
 LEAK = 0.4
+#: Points from which on a passage of a long item is a leak, whatever its share: those of 30 words in a row.
+LEAK_POINTS = 60
+#: Letters of scripts that put no spaces between words.
+SPACELESS = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 #: Bytes of text hashed at a time.
 TEXT_SLICE = 1 << 20
 #: Links looked at together, unless one document has more.
@@ -45,7 +51,10 @@ LEAKS = "array<struct<item_id:long,score:double,start:int,end:int>>"
 
 
 def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return word_hashes(pc.utf8_lower(pc.fill_null(column, "")), ASCII_PUNCTUATION, ASCII_FOLD)
+    column = pc.fill_null(column, "")
+    if pc.any(pc.match_substring_regex(column, SPACELESS)).as_py():
+        column = pc.replace_substring_regex(column.cast(pa.large_string()), f"({SPACELESS})", r" \1 ")
+    return word_hashes(pc.utf8_lower(column), ASCII_PUNCTUATION, ASCII_FOLD)
 
 
 def pairs_of(words: np.ndarray, step: int) -> np.ndarray:
@@ -55,7 +64,7 @@ def pairs_of(words: np.ndarray, step: int) -> np.ndarray:
 
 def points_of(n: int) -> int:
     """Points from which on an alignment with an item of ``n`` words is a leak."""
-    return math.ceil(LEAK * MATCH * n - 1e-9)
+    return min(math.ceil(LEAK * MATCH * n - 1e-9), LEAK_POINTS) if n >= N else MATCH * n
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -89,25 +98,30 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str]):
         counts, words = words_of(pa.array(texts, pa.string()))
         ends = np.cumsum(counts)
-        whole = [(i, words[e - c : e]) for i, c, e in zip(ids, counts.tolist(), ends.tolist(), strict=True) if c >= N]
+        whole = [(i, words[e - c : e]) for i, c, e in zip(ids, counts.tolist(), ends.tolist(), strict=True) if c]
         self.ids, self.words = [i for i, _ in whole], [w for _, w in whole]
+        #: Words further of what is looked up; 0, a word by itself, only for items of one word.
+        self.steps = (0, 1, 2) if any(len(w) == 1 for w in self.words) else (1, 2)
         self.all_pairs = np.unique(np.concatenate([*(pairs_of(w, step) for w in self.words for step in (1, 2)), np.zeros(0, np.uint64)]))
 
     def choose(self, counts: dict[int, int]) -> None:
-        """Keep the links to be looked for: (pair, item, place, words between)."""
+        """Keep the links to be looked for: (pair, item, place, words further)."""
         pairs, rows, needed = [], [], []
         for item, words in enumerate(self.words):
             near, far = pairs_of(words, 1), pairs_of(words, 2)
-            often = np.array([counts.get(int(p), 0) for p in near.view(np.int64)])
-            often[: len(far)] += [counts.get(int(p), 0) for p in far.view(np.int64)]
+            often = np.array([counts.get(int(p), 0) for p in near.view(np.int64)], np.int64)
+            often[: len(far)] += np.array([counts.get(int(p), 0) for p in far.view(np.int64)], np.int64)
             weight = points_of(len(words)) - 2
             spared = max(0, (weight - 1) // 4)
             places = np.sort(np.argsort(often, kind="stable")[: len(often) - spared])
             needed.append(max(1, weight - 2 * spared))
-            for step, own in ((1, near), (2, far)):
+            for step, own in ((1, near), (2, far)) if len(words) > 1 else ():
                 at = places[places < len(own)]
                 pairs.append(own[at])
                 rows.append(np.stack([np.full(len(at), item), at, np.full(len(at), step)], axis=1))
+            if len(words) == 1:
+                pairs.append(pairs_of(words, 0))
+                rows.append(np.array([[item, 0, 0]]))
         pairs, rows = np.concatenate(pairs), np.concatenate(rows)
         order = np.argsort(pairs, kind="stable")
         self.pairs, self.links = pairs[order], rows[order]
@@ -117,10 +131,10 @@ class Items:
         self.loss = MATCH * lengths - np.array([points_of(n) for n in lengths.tolist()])
         self.cover = lengths + self.loss
 
-    def places(self, words: np.ndarray, rows: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+    def places(self, words: np.ndarray, rows: np.ndarray, steps: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
         """(item, first word, end) of the stretches of ``words`` in which links reach the weight, sorted."""
         found = []
-        for step, pairs in zip((1, 2), steps, strict=True):
+        for step, pairs in zip(self.steps, steps, strict=True):
             low, high = np.searchsorted(self.pairs, pairs, "left"), np.searchsorted(self.pairs, pairs, "right")
             at = np.flatnonzero((high > low) & (rows[: len(pairs)] == rows[step:]))
             often = high[at] - low[at]
@@ -143,10 +157,10 @@ class Items:
         rows = np.repeat(np.arange(len(counts)), counts)
         found: list[dict[int, dict]] = [{} for _ in range(len(counts))]
         spans: dict[tuple[int, int], list[list[int]]] = {}
-        steps = (pairs_of(words, 1), pairs_of(words, 2))
+        steps = tuple(pairs_of(words, step) for step in self.steps)
         for first, last in self.parts(ends, steps):
             where = slice(first, last)
-            at, item, begin, end = self.places(words[where], rows[where], tuple(p[first : max(first, last - step)] for step, p in zip((1, 2), steps, strict=True)))
+            at, item, begin, end = self.places(words[where], rows[where], tuple(p[first : max(first, last - step)] for step, p in zip(self.steps, steps, strict=True)))
             for row, k, lo, hi in sorted(zip(rows[where][at].tolist(), item.tolist(), (begin + first).tolist(), (end + first).tolist(), strict=True)):
                 lo, hi = max(int(ends[row] - counts[row]), lo), min(int(ends[row]), hi)
                 own = spans.setdefault((row, k), [])
@@ -164,9 +178,9 @@ class Items:
                 score = points / (MATCH * len(item))
                 if points >= points_of(len(item)) and (name not in found[row] or score > found[row][name]["score"]):
                     found[row][name] = {"item_id": name, "score": score, "start": lo - zero + begin, "end": lo - zero + end}
-        return [sorted(x.values(), key=lambda leak: (-leak["score"], leak["item_id"])) for x in found]
+        return [sorted(x.values(), key=lambda leak: (-leak["score"], leak["item_id"] is None, leak["item_id"] or 0)) for x in found]
 
-    def parts(self, ends: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, int]]:
+    def parts(self, ends: np.ndarray, steps: tuple[np.ndarray, ...]) -> Iterator[tuple[int, int]]:
         """Words of whole documents that have about LINKS links together."""
         links = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int64)
         for pairs in steps:
@@ -210,8 +224,10 @@ def pair_counts(docs: DataFrame, pairs: np.ndarray, text_col: str) -> dict[int,
 
 def annotate(docs: DataFrame, items: DataFrame, *, text_col: str = "text", name: str = "leaks") -> DataFrame:
     """``docs`` with ``name``: its leaks as (item_id, score, start, end), in words, best first."""
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("item_id is not null and text is not null")
-    size = items.agg(F.sum(F.size(F.split("text", " "))).alias("n")).first()["n"] or 0
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    spaceless = "".join(rf"\p{{Is{x}}}" for x in re.findall(r"\w{3,}", SPACELESS))
+    words = F.size(F.split("text", " ")) + F.length(F.regexp_replace("text", f"[^{spaceless}]", ""))
+    size = items.agg(F.sum(words).alias("n")).first()["n"] or 0
     slices = -(-size // SLICE_WORDS)
     out = docs.withColumn(name, F.array().cast(LEAKS))
     text_at = docs.columns.index(text_col)

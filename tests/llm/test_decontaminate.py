@@ -92,6 +92,18 @@ def test_edits_at_regular_places_equal_all_alignments(spark):
     assert len(want) > 60 and got == want
 
 
+def test_short_long_and_spaceless_items(spark):
+    random.seed(9)
+    text = lambda n: [f"u{random.randrange(3_000)}" for _ in range(n)]
+    long = text(130)
+    items = [(1, "東京の首都はどこですか"), (2, "ประเทศไทยมีกี่จังหวัด"), (3, "blue whale"), (4, "ytterbium"), (None, " ".join(text(20))), (5, " ".join(long)), (6, "  ")]
+    around = lambda x: " ".join([*text(60), x, *text(50)])
+    docs = [items[0][1], "これは" + items[0][1] + "問題", around(items[1][1]), around("The Blue, whale"), around("blue old whale"), around("Ytterbium"), around(items[4][1]), around(" ".join(long[40:90])), around(" ".join(long[40:60])), "東西南北", ""]
+    found = decontaminate.leaks(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["start_word"], r["end_word"], r["score"]) for r in found}
+    assert got == {(0, 1): (0, 11, 1.0), (1, 1): (3, 14, 1.0), (2, 2): (60, 81, 1.0), (3, 3): (61, 63, 1.0), (5, 4): (60, 61, 1.0), (6, None): (60, 80, 1.0), (7, 5): (60, 110, 100 / 260)}
+
+
 def test_annotate_keeps_columns_and_empty_tables(spark, data):
     docs = spark.createDataFrame([(1, "x", [2])], "doc_id long, text string, start array<int>")
     items = spark.createDataFrame(data[1], "item_id long, text string")
