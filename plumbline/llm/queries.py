@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe_transducer, chat_format, collocations, decontaminate, exact_topk, html_extract, language_id, license_scan, near_dedup, pii, token_store, toxicity
+from plumbline.llm import bpe_transducer, chat_format, chat_repair, collocations, decontaminate, exact_topk, html_extract, language_id, license_scan, near_dedup, pii, token_store, toxicity
 from plumbline.llm.common import read, shared_folder
 
 #: Vocabulary files; a caller with files elsewhere uses the operators' own parameters.
@@ -60,6 +60,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, license_scan.fit(docs))
 
 
+def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    return chat_repair.digests(chat_repair.damage(conversations), conversations)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_main_text": op8_html_main_text,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_license_scan": op10_license_scan,
+    "op11_chat_repair": op11_chat_repair,
     "op12_collocations": op12_collocations,
     "op13_chat_formatting": op13_chat_formatting,
 }
