@@ -3,7 +3,7 @@
 The corpus becomes a weighted de Bruijn graph per language. Every word of a piece of text emits one record: the run of
 ``longest`` words that starts there, or what is left of the piece. Full runs are edges from the node of their first
 ``longest - 1`` words to that of their last; shorter records are piece ends. One aggregation of these records, combined
-before its shuffle, is all that is counted over the corpus. Everything shorter is derived from it: a phrase starts once
+before its shuffle and dealt by node, is all that is counted over the corpus. Everything shorter is derived from it: a phrase starts once
 in every record that begins with it, so its count is the flow out of its node plus the pieces that end with it.
 
 Unary paths are compacted. A node is unary if a single edge enters and a single edge leaves it and both carry its whole
@@ -21,14 +21,17 @@ with those one word longer only, as what lies between occurs at least as often a
 
 from __future__ import annotations
 
-import string
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import kept
+from plumbline.llm.common import kept, slices
 
 LONGEST = 3
 LEAST = 10
@@ -39,7 +42,14 @@ STRETCH = 64
 #: Parts in which one language's phrases are ranked before their best are ranked together.
 PARTS = 64
 
-_WORD = r"[^ .,;:!?\n\x0B\f\r]++"
+#: Text bytes cut into words at a time, and words whose runs are counted together before they are shuffled.
+SLICE_BYTES, WINDOW_WORDS, GATHER_WORDS = 2 << 20, 1 << 20, 1 << 17
+
+#: A-Z to a-z, a tab to a space, the ends of pieces to line feeds. No byte of a longer character is concerned.
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_FOLD[9] = 32
+_FOLD[[ord(c) for c in ".,;:!?\x0b\x0c\r"]] = 10
 
 
 def _first(phrase: Column | str, n: int) -> Column:
@@ -55,23 +65,96 @@ def _words(phrase: Column | str) -> Column:
     return F.length(phrase) - F.length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1
 
 
+def _runs(texts: pa.Array, longest: int) -> tuple[np.ndarray, list[pa.Array]]:
+    """Row of each word of ``texts``, and the run of up to ``longest`` words of its piece that starts with it."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if not len(texts) or offsets[-1] == offsets[0]:
+        return np.zeros(0, np.int64), []
+    data = _FOLD[np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]]
+    offsets = offsets - offsets[0]
+    # One space between words, so that a run is one stretch of bytes.
+    space = data == 32
+    spare = np.flatnonzero(space[1:] & space[:-1]) + 1
+    offsets = offsets - np.searchsorted(spare, offsets)
+    data = np.delete(data, spare)
+    solid = (data != 32) & (data != 10)
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    first[edges], last[edges - 1] = solid[edges], solid[edges - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    row = np.searchsorted(offsets, starts, "right") - 1
+    piece = np.searchsorted(np.flatnonzero(data == 10), starts) + row
+    final = np.append(np.flatnonzero(np.diff(piece)), len(starts) - 1)
+    stop = np.minimum(np.arange(len(starts)) + longest - 1, np.repeat(final, np.diff(final, prepend=-1)))
+    out = []
+    for i in range(0, len(starts), GATHER_WORDS):
+        begin = starts[i : i + GATHER_WORDS]
+        size = ends[stop[i : i + GATHER_WORDS]] - begin
+        place = np.concatenate([[0], np.cumsum(size)])
+        bytes_ = data[np.arange(place[-1]) + np.repeat(begin - place[:-1], size)]
+        out.append(pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(place.astype(np.int64)), pa.py_buffer(bytes_)))
+    return row, out
+
+
+def _count_runs(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+    """(entry, n): runs followed by a tab and their language, counted over ``WINDOW_WORDS`` words at a time."""
+    held, words = [], 0
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        table = pa.table({"entry": pa.chunked_array(held, pa.large_string())}).group_by("entry").aggregate([([], "count_all")])
+        columns = table["entry"].cast(pa.string()), table["count_all"].cast(pa.int32())
+        yield from pa.table(columns, names=["entry", "n"]).to_batches(max_chunksize=1 << 16)
+
+    for batch in batches:
+        for begin, end in slices(batch.column("text"), SLICE_BYTES):
+            part = batch.slice(begin, end - begin)
+            row, runs = _runs(part.column("text"), longest)
+            lang = part.column("lang").cast(pa.large_string())
+            for i, some in enumerate(runs):
+                held.append(pc.binary_join_element_wise(some, lang.take(pa.array(row[i * GATHER_WORDS :][: len(some)])), pa.scalar("\t", pa.large_string())))
+                words += len(some)
+                if words >= WINDOW_WORDS:
+                    yield from counted()
+                    held, words = [], 0
+    if words:
+        yield from counted()
+
+
 def records(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """(lang, run, n): how often each run of ``longest`` words occurs, and each shorter run at the end of a piece."""
-    folded = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase + "\t", string.ascii_lowercase + " ")
-    # A word with up to ``longest - 1`` words of its piece behind it; the search goes on behind the word.
-    run = rf"(?=({_WORD}(?: ++{_WORD}){{0,{longest - 1}}}+)){_WORD}"
-    runs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.explode(F.regexp_extract_all(F.regexp_replace(folded, " {2,}", " "), F.lit(run), F.lit(1))).alias("run"))
-    return runs.groupBy("lang", "run").agg(F.count("*").alias("n"))
+    """(lang, run, n): how often each run of ``longest`` words occurs, and each shorter run at the end of a piece.
 
+    Counts are combined before the one shuffle, which deals runs by their node: all that leave a node are in one task.
+    """
+    slim = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
+    counted = slim.mapInArrow(lambda batches: _count_runs(batches, longest), "entry string, n int")
+    run = F.substring_index("entry", "\t", 1)
+    dealt = counted.repartition(_first(run, longest - 1))
+    summed = dealt.groupBy(_first(run, longest - 1).alias("node"), "entry").agg(F.sum("n").alias("n"))
+    return summed.select(F.expr("substring(entry, length(substring_index(entry, '\t', 1)) + 2)").alias("lang"), "node", run.alias("run"), "n")
 
-def phrase_counts(found: DataFrame, words: int, longest: int = LONGEST) -> DataFrame:
-    """(lang, phrase, f) of all phrases of ``words`` words, from the records that start with them."""
-    if words == longest:
-        return found.filter(_words("run") == longest).select("lang", F.col("run").alias("phrase"), F.col("n").alias("f"))
-    starts = found.filter(_words("run") >= words).withColumn("phrase", _first("run", words))
-    flow = F.sum(F.when(_words("run") > words, F.col("n")).otherwise(0))
-    ends = F.sum(F.when(_words("run") == words, F.col("n")).otherwise(0))
-    return starts.groupBy("lang", "phrase").agg((flow + ends).alias("f"))
+
+def phrase_counts(found: DataFrame, longest: int = LONGEST, least: int = 1) -> DataFrame:
+    """(lang, words, phrase, f) of all phrases of up to ``longest`` words that occur ``least`` times.
+
+    A phrase's count is the flow out of its node, to longer runs, and the pieces that end with it: the sum of all records
+    that start with it. The empty phrase, of no words, occurs as often as there are words.
+    """
+    entry = lambda words, phrase: F.struct(F.lit(words).alias("words"), phrase.alias("phrase"), F.col("f").alias("f"))
+    # A frequent edge, and any record's share of its node's flow, are summed side by side where they are.
+    edge = F.when((_words("run") == longest) & (F.col("n") >= least), F.struct("run", "n"))
+    share = F.struct(F.lit(None).cast("string").alias("run"), F.col("n"))
+    both = found.select("lang", "node", F.explode(F.array_compact(F.array(share, edge))).alias("part"))
+    graph = both.groupBy("lang", "node", F.col("part.run").alias("run")).agg(F.sum("part.n").alias("f"))
+    is_node, held = F.col("run").isNull(), _words("node")
+    levels = [F.when(is_node, entry(0, F.lit(""))), *(F.when(is_node & (held >= m), entry(m, _first("node", m))) for m in range(1, longest - 1))]
+    # All records of a node are together, so a rare node is known to be rare here.
+    levels.append(F.when(is_node & (held == longest - 1) & (F.col("f") >= least), entry(longest - 1, F.col("node"))))
+    levels.append(F.when(~is_node, entry(longest, F.col("run"))))
+    summed = graph.select("lang", F.explode(F.array_compact(F.array(*levels))).alias("e")).groupBy("lang", "e.words", "e.phrase").agg(F.sum("e.f").alias("f"))
+    return summed.filter((F.col("words") == 0) | (F.col("f") >= least))
 
 
 def unary_nodes(edges: DataFrame, nodes: DataFrame, longest: int = LONGEST) -> DataFrame:
@@ -126,8 +209,8 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, in
     """
     if longest < 2 or least < 1 or not 0 < inside <= 100:
         raise ValueError("phrases need two words, one occurrence and a share of 1 to 100 percent")
-    found = kept(records(docs, longest), "runs")
-    level = {m: kept(phrase_counts(found, m, longest).filter(F.col("f") >= least), f"phrases-{m}") for m in range(1, longest + 1)}
+    counts = kept(phrase_counts(records(docs, longest), longest, least), "phrases")
+    level = {m: counts.filter(F.col("words") == m).drop("words") for m in range(longest + 1)}
     unary = kept(unary_nodes(level[longest], level[longest - 1], longest), "unary")
     paths = kept(compact(level[longest], unary, longest), "compacted")
     edges = expand(paths, longest)
@@ -157,5 +240,4 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, in
     part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
     first = slim.withColumn("part", part).withColumn("rank", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
     ranked = first.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
-    totals = found.groupBy("lang").agg(F.sum("n").alias("n"))
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(level[0].select("lang", F.col("f").alias("n")), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -55,6 +55,7 @@ def docs():
     text = lambda n: "".join(random.choice(words) + random.choice([" "] * 12 + ["  ", "\t", ". ", ",", "\n", "\x0b", "!?", " : "]) for _ in range(n))
     out = [(text(random.randint(0, 60)), random.choice(["en", "en", "de", None, ""])) for _ in range(250)]
     out += [(f"{text(3)} {passage} {text(2)}", "en") for _ in range(12)] + [(passage, "de")] * 11
+    out += [("a b  c", "zh cn\tx"), (" a", "en"), ("a ", "en"), (" b ", "en")] * 4
     out += [("ha " * 40, "en"), (None, "fr"), ("", "fr"), (" ., \t", "fr"), ("The End " * 3000, "es"), ("one TWO", "es")]
     return out
 
@@ -73,16 +74,38 @@ def test_equals_plain_counting(spark, docs, longest, least, inside, top):
 
 
 def test_counts_follow_from_flow_and_ends(spark, docs):
-    found = co.records(spark_docs(spark, docs)).cache()
-    want, _ = plain_counts(docs, 3)
-    for m in (1, 2, 3):
-        got = {(r.lang, tuple(r.phrase.split(" "))): r.f for r in co.phrase_counts(found, m).collect()}
-        assert got == {p: n for p, n in want.items() if len(p[1]) == m}
+    want, _ = plain_counts(docs, 4)
+    for longest in (2, 3, 4):
+        found = co.records(spark_docs(spark, docs), longest)
+        got = {(r.lang, tuple(r.phrase.split(" "))): r.f for r in co.phrase_counts(found, longest).collect()}
+        assert got == {p: f for p, f in want.items() if len(p[1]) <= longest}
+
+
+def test_runs_are_shuffled_once_by_node(spark, docs):
+    plan = co.phrase_counts(co.records(spark_docs(spark, docs)), 3, 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") == 2
+    windows, co.WINDOW_WORDS, co.GATHER_WORDS, co.SLICE_BYTES = (co.WINDOW_WORDS, co.GATHER_WORDS, co.SLICE_BYTES), 50, 7, 100
+    try:
+        import pyarrow as pa
+
+        batch = pa.RecordBatch.from_pydict({"text": [t for t, _ in docs], "lang": ["und" if c is None else c for _, c in docs]}, pa.schema([("text", pa.string()), ("lang", pa.string())]))
+        got = Counter()
+        for part in co._count_runs([batch, batch.slice(0, 3)], 3):
+            for entry, n in zip(part["entry"].to_pylist(), part["n"].to_pylist()):
+                got[entry] += n
+    finally:
+        co.WINDOW_WORDS, co.GATHER_WORDS, co.SLICE_BYTES = windows
+    want = Counter()
+    for text, lang in [*docs, *docs[:3]]:
+        for piece in re.split(r"[.,;:!?\x0a-\x0d]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            want.update(f"{' '.join(words[i : i + 3])}\t{'und' if lang is None else lang}" for i in range(len(words)))
+    assert got == want
 
 
 def test_paths_hold_every_edge_once(spark, docs):
-    found = co.records(spark_docs(spark, docs)).cache()
-    edges, nodes = co.phrase_counts(found, 3).filter("f >= 10").cache(), co.phrase_counts(found, 2).filter("f >= 10")
+    counts = co.phrase_counts(co.records(spark_docs(spark, docs)), 3, 10).cache()
+    edges, nodes = counts.filter("words = 3").drop("words").cache(), counts.filter("words = 2").drop("words")
     unary = co.unary_nodes(edges, nodes)
     for stretch in (2, 64, 10**9):
         paths = co.compact(edges, unary, stretch=stretch).cache()
@@ -98,12 +121,8 @@ def test_empty_table_and_parameters(spark):
         co.collocations(none, longest=1)
 
 
-def test_products_beyond_64_bits(spark):
-    found = spark.createDataFrame([("en", "a b", 9_000_000_000), ("en", "a", 1), ("en", "b", 9_000_000_001)], "lang string, run string, n long")
-    original, co.records = co.records, lambda docs, longest: found
-    try:
-        got = co.collocations(None, longest=2).collect()
-    finally:
-        co.records = original
-    a, left, right = 9_000_000_000, 9_000_000_001, 9_000_000_001
-    assert [(r.score, r.l, r.r) for r in got] == [(10**6 * a * a // (left * right), left, right)]
+def test_products_beyond_64_bits(spark, monkeypatch):
+    entries = [("en", "a", "a b", 9_000_000_000), ("en", "a", "a", 1), ("en", "b", "b", 9_000_000_001)]
+    monkeypatch.setattr(co, "records", lambda docs, longest: spark.createDataFrame(entries, "lang string, node string, run string, n long"))
+    a, part = 9_000_000_000, 9_000_000_001
+    assert [(r.score, r.l, r.r) for r in co.collocations(None, longest=2).collect()] == [(10**6 * a * a // (part * part), part, part)]
