@@ -41,6 +41,13 @@ class HashedTrigrams:
         return out, problems
 
 
+def stale_vectors(vectors: DataFrame, stage1: DataFrame, model: str) -> DataFrame:
+    """(review_id, embedding_model, content_hash) of the vectors whose review text has changed since."""
+    current = stage1.select("review_id", F.col("content_hash").alias("current_hash"))
+    mine = vectors.where(F.col("embedding_model") == model).select("review_id", "embedding_model", "content_hash")
+    return mine.join(current, "review_id").where("content_hash <> current_hash").drop("current_hash").distinct()
+
+
 def drop_stale_vectors(vectors: DataFrame, stage1: DataFrame, model: str) -> DataFrame:
     """Vectors without those whose review text has changed since."""
     current = stage1.select("review_id", F.col("content_hash").alias("current_hash"))

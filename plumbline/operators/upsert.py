@@ -3,7 +3,7 @@
 A change set is small next to its table, so every rewrite keeps the changes on the
 side that can be broadcast, checks their size, and falls back to a shuffled join:
 a small load streams the table instead of shuffling it. Results go to a new
-snapshot or partition.
+snapshot or partition, or to the buckets that changed.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.sizing import matching, small_side, without
 from plumbline.schemas import RAW_REVIEWS, REWRITTEN_COLUMNS
+from plumbline.session import durable
+from plumbline.sources.buckets import BUCKET, BucketTable, buckets_of
 
 RUN = "pipeline_run_id"
 
@@ -70,26 +72,58 @@ def updated_ids(preview: DataFrame) -> DataFrame:
     return preview.where(F.col("op") == "update").select("review_id")
 
 
+def changed_ids(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Ids whose stored text differs from the batch's; written down, as the merge overwrites what they are read from."""
+    return durable(updated_ids(merge_preview(batch, stored)))
+
+
 def drop_vectors(vectors: DataFrame, ids: DataFrame) -> DataFrame:
     """Vectors without those of the given reviews."""
     return without(vectors, ids, ["review_id"])
 
 
-def upsert_reviews(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Stored reviews after a load: new ids are added, known ids change only when
-    their text did, and then only in the rewritable columns. Unchanged reviews
-    keep everything, their run included."""
-    changes = small_side(batch.select("review_id", F.struct(*REWRITTEN_COLUMNS).alias("new")))
+def _rewritten(target: DataFrame, changes: DataFrame) -> DataFrame:
+    """``target`` with the rewritable columns of the reviews whose text differs in ``changes`` (review_id, new)."""
     changed = F.coalesce(F.col("new.content_hash") != F.col("content_hash"), F.lit(False))
-    kept = target.join(changes, "review_id", "left").select(
+    return target.join(changes, "review_id", "left").select(
         *[
             F.when(changed, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) if c in REWRITTEN_COLUMNS else F.col(c)
             for c in RAW_REVIEWS.names
         ]
     )
+
+
+def upsert_reviews(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored reviews after a load: new ids are added, known ids change only when
+    their text did, and then only in the rewritable columns. Unchanged reviews
+    keep everything, their run included."""
+    changes = small_side(batch.select("review_id", F.struct(*REWRITTEN_COLUMNS).alias("new")))
     known = matching(target.select("review_id"), batch, ["review_id"])
     added = batch.join(known, "review_id", "left_anti").select(*RAW_REVIEWS.names)
-    return kept.unionByName(added)
+    return _rewritten(target, changes).unionByName(added)
+
+
+def merge_reviews(table: BucketTable, batch: DataFrame) -> DataFrame:
+    """Load ``batch`` (stored rows, one per id) into a bucketed table; returns what happened to each id.
+
+    Only two columns of the batch's buckets are read to find out. New reviews are appended, and a bucket is written
+    again only if it holds a review whose text changed. Loading the same batch again changes nothing, so a load that
+    was cut off is repeated as a whole.
+    """
+    placed = batch.withColumn(BUCKET, table.bucket())
+    preview = durable(merge_preview(batch, table.stored(buckets_of(placed))).withColumn(BUCKET, table.bucket()))
+    ops = preview.select("review_id", "op")
+    new = matching(placed, ops.where(F.col("op") == "insert"), ["review_id"])
+    rewritten = buckets_of(preview.where(F.col("op") == "update"))
+    apart = ~F.col(BUCKET).isin(rewritten) if rewritten else F.lit(True)
+    if not new.where(apart).isEmpty():
+        table.append(new.where(apart))
+    if rewritten:
+        edited = matching(placed, ops.where(F.col("op") == "update"), ["review_id"])
+        changes = small_side(edited.select("review_id", F.struct(*REWRITTEN_COLUMNS).alias("new")))
+        whole = _rewritten(table.stored(rewritten), changes).unionByName(new.where(~apart).select(*RAW_REVIEWS.names))
+        table.replace_buckets(whole)
+    return ops
 
 
 def replace_keys(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:

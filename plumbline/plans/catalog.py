@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
+from plumbline import schemas
 from plumbline.functions import ids, scoring, text, vectors as V
 from plumbline.operators import assess, bursts, calibrate, collisions, embed, histograms, layer1, layer2, stores, upsert
 from plumbline.plans import sample_views as S
-from plumbline.session import durable, pin_runtime
+from plumbline.session import durable, new_folder, pin_runtime
 from plumbline.sources import exports, pages, reviews, tables
+from plumbline.sources.buckets import BucketTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -424,6 +426,26 @@ def drop_vectors(spark, folder):
     return upsert.drop_vectors(S.vectors(spark, folder), changed).select("review_id", "embedding_model", "status")
 
 
+@query
+def upsert_stored(spark, folder):
+    """The same load into a bucketed table, which is then read back."""
+    raw = BucketTable(spark, new_folder(spark, "reviews"), schemas.RAW_REVIEWS, buckets=8)
+    raw.append(S.stored(spark, folder))
+    upsert.merge_reviews(raw, durable(_batch(spark, folder)))
+    return raw.read().drop("comment_text")
+
+
+@query
+def drop_vectors_stored(spark, folder):
+    """Vectors of changed reviews dropped by rows beside the stored ones, and the rest after a compaction."""
+    mine = S.vectors(spark, folder).drop("vec_id", "label").withColumn("embedded_at", F.timestamp_seconds(F.lit(0)))
+    log = BucketTable(spark, new_folder(spark, "vectors"), mine.schema, buckets=8, written_at="embedded_at", drop_by=("embedding_model",))
+    log.append(mine)
+    log.drop(upsert.updated_ids(upsert.merge_preview(_batch(spark, folder), S.stored(spark, folder))))
+    log.compact()
+    return log.read().select("review_id", "embedding_model", "status")
+
+
 @query
 def latest_run(spark, folder):
     """Ledger rows of the newest succeeded rule-filter run."""

@@ -359,16 +359,16 @@ def oracle_sql(salt: str) -> dict[str, str]:
             """SELECT count(*) FILTER (op = 'insert') AS n_inserted, count(*) FILTER (op = 'update') AS n_updated,
             count(*) FILTER (op = 'unchanged') AS n_unchanged, count(*) FILTER (op = 'unchanged') AS n_already_present FROM preview""", "preview"
         ),
-        "upsert_result": _with(
+        **dict.fromkeys(("upsert_result", "upsert_stored"), _with(
             """SELECT k.* FROM known k JOIN preview p ON p.review_id = k.review_id WHERE op = 'unchanged'
             UNION ALL BY NAME SELECT b.* FROM batch b JOIN preview p ON p.review_id = b.review_id WHERE op = 'insert'
             UNION ALL BY NAME SELECT b.* REPLACE (k.source_url_hash AS source_url_hash) FROM batch b JOIN preview p ON p.review_id = b.review_id
               JOIN known k ON k.review_id = b.review_id WHERE op = 'update'""", "preview"
-        ),
-        "drop_vectors": _with(
+        )),
+        **dict.fromkeys(("drop_vectors", "drop_vectors_stored"), _with(
             "SELECT review_id, embedding_model, status FROM vectors WHERE review_id NOT IN (SELECT review_id FROM preview WHERE op = 'update')",
             "vectors", "preview",
-        ),
+        )),
         "latest_run": _with(
             "SELECT * FROM runs WHERE phase = 'layer1' AND status = 'succeeded' ORDER BY finished_at DESC LIMIT 1", "runs"
         ),

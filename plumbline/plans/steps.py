@@ -16,6 +16,7 @@ from plumbline.operators import assess, bursts, calibrate, collisions, embed, hi
 from plumbline.plans.store import ReviewStore
 from plumbline.session import durable
 from plumbline.sources import exports, reviews, tables
+from plumbline.sources.buckets import BUCKET, buckets_of
 
 
 @contextmanager
@@ -88,23 +89,27 @@ def load_batch(store: ReviewStore, ndjson: str, run_id: str) -> DataFrame:
     with _phase(store, run_id, "load") as counts:
         ordered = reviews.read_normalized(store.spark, ndjson)
         unique = upsert.last_write_wins(ordered, "review_id", reviews.FILE_ORDER).drop(*reviews.FILE_ORDER)
-        staged = tables.stage_batch(
-            unique.withColumn("pipeline_run_id", F.lit(run_id)), f"{store.path('staging')}/{uuid.uuid4()}"
-        )
-        tables.assert_single_batch(staged)
-        batch = upsert.latest_per_key(staged, "review_id", ["updated_at"])
-        target = store.current("raw_reviews")
-        preview = durable(upsert.merge_preview(batch, target))
-        stats = upsert.merge_stats(preview)
-        changed = upsert.updated_ids(preview)
-        if not changed.isEmpty():
-            store.replace("review_vectors", upsert.drop_vectors(store.current("review_vectors"), changed))
-        store.replace("raw_reviews", upsert.upsert_reviews(target, batch))
+        latest = upsert.latest_per_key(unique.withColumn("pipeline_run_id", F.lit(run_id)), "review_id", ["updated_at"])
+        # The batch is worked out once; everything below reads it from its files.
+        batch = tables.stage_batch(latest, f"{store.path('staging')}/{uuid.uuid4()}")
+        tables.assert_single_batch(batch)
+        stats = merge_batch(store, batch)
         row = stats.first()
         counts.update(rows_in=row.n_inserted + row.n_updated + row.n_unchanged, rows_out=row.n_inserted + row.n_updated)
         return stats
 
 
+def merge_batch(store: ReviewStore, batch: DataFrame) -> DataFrame:
+    """Merge stored rows, one per id, into the raw table and drop the vectors of reviews that change."""
+    raw, vectors = store.bucketed("raw_reviews"), store.bucketed("review_vectors")
+    known = raw.stored(buckets_of(batch.withColumn(BUCKET, raw.bucket())))
+    changed = upsert.changed_ids(batch, known)
+    # Before the merge: a load cut off between the two has dropped vectors that are made again, and no stale one is left.
+    if not changed.isEmpty():
+        vectors.drop(changed)
+    return upsert.merge_stats(durable(upsert.merge_reviews(raw, batch)))
+
+
 def run_layer1(store: ReviewStore, run_id: str, min_chars: int = C.MIN_TEXT_CHARS) -> DataFrame:
     with _phase(store, run_id, "layer1") as counts:
         raw = stores.of_run(store.current("raw_reviews"), run_id)
@@ -136,9 +141,12 @@ def run_layer2(
         seeds = store.current("seeds")
         made = embed.embed_seeds(seeds, embedder, model, seed_version)
         store.replace("seed_vectors", embed.replace_seed_vectors(store.current("seed_vectors"), made, seed_version, model))
-        vectors = embed.drop_stale_vectors(store.current("review_vectors"), stage1, model)
-        fresh = embed.embed_missing(stage1, vectors, embedder, model, run_id, char_cap)
-        store.replace("review_vectors", vectors.unionByName(fresh))
+        log = store.bucketed("review_vectors")
+        stale = embed.stale_vectors(log.read(), stage1, model)
+        if not stale.isEmpty():
+            log.drop(stale)
+        # Only new vectors are written; earlier ones are neither read again nor moved.
+        log.append(embed.embed_missing(stage1, log.read(), embedder, model, run_id, char_cap))
 
         vectors = store.current("review_vectors")
         active = layer2.active_seeds(store.current("seed_vectors"), seeds, seed_version, model)

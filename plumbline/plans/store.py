@@ -9,11 +9,15 @@ from pyspark.sql.types import StructType
 
 from plumbline import schemas
 from plumbline.sources import tables
+from plumbline.sources.buckets import BucketTable
 
-# Tables with one current state, replaced as a whole.
+# Large tables, in buckets of their review ids: changed bucket by bucket, or by appended rows.
+BUCKETED = {
+    "raw_reviews": dict(schema=schemas.RAW_REVIEWS),
+    "review_vectors": dict(schema=schemas.REVIEW_VECTORS, written_at="embedded_at", drop_by=("embedding_model", "content_hash")),
+}
+# Small tables with one current state, replaced as a whole.
 KEYED = {
-    "raw_reviews": schemas.RAW_REVIEWS,
-    "review_vectors": schemas.REVIEW_VECTORS,
     "phrases": schemas.PHRASES,
     "seeds": schemas.SEEDS,
     "seed_vectors": schemas.SEED_VECTORS,
@@ -29,15 +33,22 @@ KEYED_PER_RUN = {
 @dataclass
 class ReviewStore:
     """Tables below one root folder on shared storage. Everything else written by
-    a run (stages, audits, statistics) is one partition per run, rebuilt as a whole."""
+    a run (stages, audits, statistics) is one partition per run, rebuilt as a whole.
+    ``buckets`` belongs to the project: it is the same in every session."""
 
     spark: SparkSession
     root: str
+    buckets: int = 64
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def bucketed(self, table: str) -> BucketTable:
+        return BucketTable(self.spark, self.path(table), buckets=self.buckets, **BUCKETED[table])
+
     def current(self, table: str) -> DataFrame:
+        if table in BUCKETED:
+            return self.bucketed(table).read()
         if table in KEYED:
             return tables.read_latest(self.spark, self.path(table), KEYED[table])
         return tables.read_latest(self.spark, self.path(table), KEYED_PER_RUN[table], "pipeline_run_id=*")

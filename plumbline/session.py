@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,14 +53,8 @@ def _ship_package(spark: SparkSession) -> None:
     context._plumbline_shipped = True
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's checkpoint folder.
-
-    Used after remote scoring or embedding so that a lost executor never
-    repeats paid calls. The folder is the session's ``spark.checkpoint.dir``;
-    a temporary one is used only where none is set, as in local tests.
-    """
-    spark = df.sparkSession
+def _checkpoints(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; a temporary folder only where none is set, as in local tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -68,4 +63,19 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """Path of a new folder that all executors share."""
+    return f"{_checkpoints(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the cluster's checkpoint folder.
+
+    Used after remote scoring or embedding so that a lost executor never
+    repeats paid calls, and before a table is overwritten that ``df`` reads.
+    """
+    _checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
