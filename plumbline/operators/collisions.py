@@ -24,6 +24,11 @@ from plumbline.session import durable
 CHUNK_ROWS = 2_000
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 256
+# Vectors that the short basis is taken from, and its width.
+SAMPLE_ROWS = 1_024
+SHORT_WIDTH = 32
+# Covers the rounding of the slim rows to single precision.
+SLACK = 1e-4
 
 
 # -- members -----------------------------------------------------------------
@@ -82,6 +87,84 @@ def same_group(members: DataFrame) -> DataFrame:
     )
 
 
+def _partners(located: DataFrame, centre: np.ndarray, max_distance: float, block_rows: int) -> DataFrame:
+    """(cell, first, blocks, partner_first, partner_blocks): which blocks can hold a match for a cell's vectors.
+
+    Two cells can only hold a match if the angle between their pivots minus both cell radii is within the allowed angle
+    (triangle inequality on the sphere). At most ``MAX_PIVOTS`` squared rows, whatever the number of vectors.
+    """
+    cells = located.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()
+    radius = np.zeros(len(centre))
+    blocks = np.zeros(len(centre), dtype=np.int64)
+    for row in cells:
+        radius[row.cell], blocks[row.cell] = row.radius, -(-row.n // block_rows)
+    first = np.concatenate([[0], np.cumsum(blocks)[:-1]])
+    allowed = np.arccos(np.clip(1.0 - max_distance, -1.0, 1.0))
+    apart = np.arccos(np.clip(centre @ centre.T, -1.0, 1.0))
+    reachable = apart - radius[:, None] - radius[None, :] <= allowed + 1e-6
+    np.fill_diagonal(reachable, True)
+    reachable &= (blocks > 0)[:, None] & (blocks > 0)[None, :]
+    rows = [(int(i), int(first[i]), int(blocks[i]), int(first[j]), int(blocks[j])) for i, j in zip(*np.nonzero(reachable))]
+    return located.sparkSession.createDataFrame(rows, "cell int, first long, blocks long, partner_first long, partner_blocks long")
+
+
+def block_pairs(distinct: DataFrame, max_distance: float, block_rows: int) -> DataFrame:
+    """(id, block, low, high): which vectors of ``distinct`` (id, unit) have to meet in which pair of blocks.
+
+    Each vector is first reduced to its part in a short orthonormal basis and the length of the rest. The rests of two
+    unit vectors add at most the product of their lengths to their cosine, so the short parts bound the cosine from
+    above. Only these slim rows are sent to every block within reach; a vector is listed for a pair of blocks if the
+    other block holds one that the bound does not rule out. Nothing within ``max_distance`` is lost.
+    """
+    total = distinct.count()
+    # Keys are cryptographic hashes, so the smallest ones are a random sample of bounded size.
+    sample = distinct.orderBy("member_group").limit(SAMPLE_ROWS).select("unit").collect()
+    rows = np.array([row.unit for row in sample])
+    centre = rows[: min(MAX_PIVOTS, max(1, -(-total // block_rows)))]
+    basis = np.linalg.svd(rows, full_matrices=False)[2][:SHORT_WIDTH]
+
+    @F.arrow_udf("struct<cell:int,angle:double,short:array<float>,rest:float>")
+    def locate(units: pa.Array) -> pa.Array:
+        matrix = V.as_matrix(units)
+        if not len(matrix):
+            matrix = np.zeros((0, centre.shape[1]))
+        cosine = matrix @ centre.T
+        cell = cosine.argmax(axis=1)
+        angle = np.arccos(np.clip(cosine[np.arange(len(cell)), cell], -1.0, 1.0))
+        short = matrix @ basis.T
+        rest = np.sqrt(np.clip(1.0 - (short * short).sum(axis=1), 0.0, 1.0))
+        offsets = pa.array(np.arange(len(short) + 1, dtype=np.int32) * len(basis))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(short.ravel().astype(np.float32)))
+        columns = [pa.array(cell.astype(np.int32)), pa.array(angle), lists, pa.array(rest.astype(np.float32))]
+        return pa.StructArray.from_arrays(columns, ["cell", "angle", "short", "rest"])
+
+    located = durable(distinct.select("id", locate("unit").alias("at")).select("id", "at.*"))
+    partners = _partners(located, centre, max_distance, block_rows)
+    block = F.col("first") + F.pmod(F.xxhash64("id"), F.col("blocks"))
+    partner = F.explode(F.sequence("partner_first", F.col("partner_first") + F.col("partner_blocks") - 1))
+    placed = located.join(F.broadcast(partners), "cell").select("id", "short", "rest", block.alias("block"), partner.alias("partner"))
+    placed = placed.select("id", "short", "rest", "block", F.least("block", "partner").alias("low"), F.greatest("block", "partner").alias("high"))
+    least = np.float32(1.0 - max_distance - SLACK)
+    schema = pa.schema([("id", pa.int64()), ("block", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+
+    def screen(rows: pa.Table) -> pa.Table:
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+        block = rows["block"].to_numpy()
+        short, rest = V.as_matrix(rows["short"]).astype(np.float32), rows["rest"].to_numpy()
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        meets = np.zeros(len(block), dtype=bool)
+        for start in range(0, len(left), 512):
+            some = left[start : start + 512]
+            near = short[some] @ short[right].T + np.outer(rest[some], rest[right]) >= least
+            if low == high:
+                near[np.arange(len(some)), np.arange(start, start + len(some))] = False
+            meets[some] |= near.any(axis=1)
+            meets[right] |= near.any(axis=0)
+        return rows.select(["id", "block", "low", "high"]).filter(pa.array(meets)).cast(schema)
+
+    return placed.groupBy("low", "high").applyInArrow(screen, "id long, block long, low long, high long")
+
+
 def similar_vectors(
     members: DataFrame,
     max_distance: float = STORE_PAIR_DISTANCE_THRESHOLD,
@@ -91,66 +174,28 @@ def similar_vectors(
     each vector with itself. Exact: nothing is sampled or hashed away.
 
     Vectors are assigned to their nearest of up to 256 pivots and the cells cut
-    into blocks of about ``block_rows``. Two cells can only hold a match if the
-    angle between their pivots minus both cell radii is within the allowed angle
-    (triangle inequality on the sphere); other block pairs are skipped. Each
-    remaining pair of blocks is one task and one matrix product.
+    into blocks of about ``block_rows``. ``block_pairs`` finds on slim rows which
+    vectors have to meet; only these are fetched, once for each pair of blocks,
+    and each pair of blocks is one bounded matrix product.
     """
-    distinct = durable(members.select("member_group", "unit").dropDuplicates(["member_group"]))
-    total = distinct.count()
-    pivots = min(MAX_PIVOTS, max(1, -(-total // block_rows)))
-    # Keys are cryptographic hashes, so the smallest ones are a random sample.
-    sample = distinct.orderBy("member_group").limit(pivots).collect()
+    keyed = members.select("member_group", "unit").dropDuplicates(["member_group"])
+    distinct = durable(keyed.withColumn("id", F.monotonically_increasing_id()))
     itself = distinct.select(
         F.col("member_group").alias("group_a"),
         F.col("member_group").alias("group_b"),
         F.lit(0.0).alias("cosine_distance"),
     )
-    if not sample:
+    # A vector of length zero has no direction and matches itself alone.
+    usable = distinct.where(~F.isnan(F.get("unit", 0)))
+    if usable.isEmpty():
         return itself
-    centre = np.array([row.unit for row in sample])
-
-    @F.arrow_udf("struct<cell:int,angle:double>")
-    def locate(units: pa.Array) -> pa.Array:
-        matrix = V.as_matrix(units)
-        cosine = matrix @ centre.T if len(matrix) else np.zeros((0, len(centre)))
-        cell = cosine.argmax(axis=1)
-        angle = np.arccos(np.clip(cosine[np.arange(len(cell)), cell], -1.0, 1.0))
-        return pa.StructArray.from_arrays([pa.array(cell.astype(np.int32)), pa.array(angle)], ["cell", "angle"])
-
-    located = distinct.withColumn("at", locate("unit"))
-    cells = located.groupBy("at.cell").agg(F.count("*").alias("n"), F.max("at.angle").alias("radius")).collect()
-
-    radius = np.zeros(len(centre))
-    blocks = np.zeros(len(centre), dtype=np.int64)
-    for row in cells:
-        radius[row.cell], blocks[row.cell] = row.radius, -(-row.n // block_rows)
-    first = np.concatenate([[0], np.cumsum(blocks)[:-1]])
-    allowed = np.arccos(np.clip(1.0 - max_distance, -1.0, 1.0))
-    apart = np.arccos(np.clip(centre @ centre.T, -1.0, 1.0))
-    reachable = apart - radius[:, None] - radius[None, :] <= allowed + 1e-6
-    np.fill_diagonal(reachable, True)
-    targets = [
-        np.concatenate([np.arange(first[j], first[j] + blocks[j]) for j in np.flatnonzero(near)])
-        for near in reachable
-    ]
-
-    @F.arrow_udf("struct<block:long,partners:array<long>>")
-    def place(at: pa.Array, keys: pa.Array) -> pa.Array:
-        cell = at.field("cell").to_numpy(zero_copy_only=False)
-        block = [int(first[c] + int(k[:15], 16) % blocks[c]) for c, k in zip(cell, keys.to_pylist())]
-        partners = pa.array([targets[c] for c in cell], pa.list_(pa.int64()))
-        return pa.StructArray.from_arrays([pa.array(block, pa.int64()), partners], ["block", "partners"])
-
-    placed = located.select("member_group", "unit", place("at", "member_group").alias("p")).select(
-        "member_group", "unit", F.col("p.block").alias("block"), F.explode("p.partners").alias("partner")
-    )
+    placed = block_pairs(usable, max_distance, block_rows).join(usable, "id")
 
     names = ["group_a", "group_b", "cosine_distance"]
     schema = pa.schema([(names[0], pa.string()), (names[1], pa.string()), (names[2], pa.float64())])
 
     def compare(rows: pa.Table) -> pa.Table:
-        low, high = pa.compute.min(rows["low"]).as_py(), pa.compute.max(rows["high"]).as_py()
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
         of = lambda b: rows.filter(pa.compute.equal(rows["block"], b))
         left, right = of(low), of(high)
         found = []
@@ -168,12 +213,7 @@ def similar_vectors(
                 found += [pa.table([x, y, apart], names=names) for x, y in ((a, b), (b, a))]
         return pa.concat_tables([schema.empty_table(), *(t.cast(schema) for t in found)])
 
-    found = (
-        placed.withColumn("low", F.least("block", "partner"))
-        .withColumn("high", F.greatest("block", "partner"))
-        .groupBy("low", "high")
-        .applyInArrow(compare, "group_a string, group_b string, cosine_distance double")
-    )
+    found = placed.groupBy("low", "high").applyInArrow(compare, "group_a string, group_b string, cosine_distance double")
     return found.unionByName(itself)
 
 

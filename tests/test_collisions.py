@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.functions import vectors as V
 from plumbline.operators import collisions as X
@@ -105,6 +107,39 @@ def test_far_blocks_are_skipped(spark):
     assert X.similar_vectors(members, 0.05, block_rows=8).count() == 6 * 32 * 32
 
 
+def test_vectors_move_only_where_they_may_match(spark):
+    """Clusters too wide for the pivots alone to part: slim rows go to every block, whole vectors to a few."""
+    rng = np.random.default_rng(7)
+    width, rows = 96, []
+    for centre in np.linalg.qr(rng.normal(size=(width, 24)))[0].T:
+        rows += [centre + rng.normal(scale=0.055, size=width) for _ in range(40)]
+    matrix = np.array(rows)
+    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    df = spark.createDataFrame([(hashlib.sha256(row.tobytes()).hexdigest(), [float(x) for x in row]) for row in unit], "member_group string, unit array<double>")
+    distinct = df.withColumn("id", F.monotonically_increasing_id())
+    moved = X.block_pairs(distinct, 0.35, block_rows=16).cache()
+    pairs = moved.select("low", "high").distinct().count()
+    found = X.similar_vectors(df, 0.35, block_rows=16)
+    assert found.count() == int((1 - unit @ unit.T <= 0.35 + 1e-12).sum())
+    blocks = len(unit) // 16
+    assert moved.count() / len(unit) < blocks / 4 and pairs < blocks * blocks / 8
+    # Without the short basis the pivots rule out hardly any pair of blocks.
+    short, X.SHORT_WIDTH = X.SHORT_WIDTH, 1
+    try:
+        wide = X.block_pairs(distinct, 0.35, block_rows=16)
+        assert wide.count() > 3 * moved.count()
+        assert X.similar_vectors(df, 0.35, block_rows=16).count() == found.count()
+    finally:
+        X.SHORT_WIDTH = short
+
+
+def test_vectors_without_direction_match_themselves_alone(spark):
+    df = spark.createDataFrame([("a", [0.0, 0.0]), ("b", [1.0, 0.0]), ("c", [1.0, 0.001])], "member_group string, embedding array<double>")
+    members = df.select("member_group", V.keyed_unit("embedding").alias("v")).selectExpr("member_group", "v.unit AS unit")
+    assert sorted((r.group_a, r.group_b) for r in X.similar_vectors(members, 0.2).collect()) == [("a", "a"), ("b", "b"), ("b", "c"), ("c", "b"), ("c", "c")]
+    assert X.similar_vectors(members.where("member_group = 'a'")).count() == 1
+
+
 def test_nothing_to_compare(spark):
     members = spark.createDataFrame([], "member_group string, store_id string, review_id string, shill_score long, unit array<double>")
     assert X.similar_vectors(members).count() == 0
