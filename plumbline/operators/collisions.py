@@ -117,6 +117,10 @@ def block_pairs(distinct: DataFrame, max_distance: float, block_rows: int) -> Da
     other block holds one that the bound does not rule out. Nothing within ``max_distance`` is lost.
     """
     total = distinct.count()
+    if total <= block_rows:
+        # One block: all meet in it.
+        number = lambda name: F.lit(0).cast("long").alias(name)
+        return distinct.select("id", number("block"), number("low"), number("high"))
     # Keys are cryptographic hashes, so the smallest ones are a random sample of bounded size.
     sample = distinct.orderBy("member_group").limit(SAMPLE_ROWS).select("unit").collect()
     rows = np.array([row.unit for row in sample])
@@ -187,8 +191,6 @@ def similar_vectors(
     )
     # A vector of length zero has no direction and matches itself alone.
     usable = distinct.where(~F.isnan(F.get("unit", 0)))
-    if usable.isEmpty():
-        return itself
     placed = block_pairs(usable, max_distance, block_rows).join(usable, "id")
 
     names = ["group_a", "group_b", "cosine_distance"]

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from plumbline.constants import SEED_DISTANCE_THRESHOLD
 from plumbline.functions import vectors as V
 
-# Seeds are few (seven slots per version). Up to this many travel to every task;
-# beyond it they are joined block by block.
-MAX_LOCAL_SEEDS = 1024
+# Seeds are kept by hand (seven slots per version); a task holds one block of them as a matrix at a time.
+SEEDS_PER_BLOCK = 1024
+# Bits of the filter that leaves out vectors of other runs, 16 MB at most, and the hash bits it looks at.
+FILTER_BITS = 1 << 27
+FILTER_SHIFTS = (0, 20, 37)
 _NEAREST = "struct<min_cosine_distance:double,matched_seed_id:string,matched_seed_category:string>"
 
 
@@ -38,8 +40,7 @@ def _closest(matrix: np.ndarray, seeds: list[tuple[str, str]], unit_seeds: np.nd
     )
 
 
-def _nearest_local(rows: list) -> Column:
-    rows = sorted(rows, key=lambda r: r.seed_id)
+def _nearest_of(rows: list) -> Column:
     names = [(r.seed_id, r.category) for r in rows]
     unit_seeds = V.unit_rows(np.array([r.embedding for r in rows], dtype=np.float64))
 
@@ -53,58 +54,20 @@ def _nearest_local(rows: list) -> Column:
     return nearest(F.col("embedding"))
 
 
-def _nearest_by_blocks(vectors: DataFrame, seeds: DataFrame, block: int, slice_rows: int = 20_000) -> DataFrame:
-    """Same result for any number of seeds: every (seed block, review slice) pair
-    is one bounded task, and the per-block winners are reduced per review."""
-    blocks = -(-seeds.count() // block)
-    slices = max(1, -(-vectors.count() // slice_rows))
-    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    lettered = seeds.withColumn("block", F.pmod(F.xxhash64("seed_id"), F.lit(blocks))).withColumn(
-        "slice", numbers(slices)
-    )
-    sliced = vectors.select(
-        "review_id",
-        "embedding",
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(slices)).alias("slice"),
-        numbers(blocks).alias("block"),
-    )
-
-    def match(reviews: pa.Table, some_seeds: pa.Table) -> pa.Table:
-        ordered = some_seeds.sort_by("seed_id")
-        out = pa.schema([("review_id", pa.string()), ("best", pa.struct([
-            ("min_cosine_distance", pa.float64()),
-            ("matched_seed_id", pa.string()),
-            ("matched_seed_category", pa.string()),
-        ]))])
-        if not reviews.num_rows or not ordered.num_rows:
-            return out.empty_table()
-        names = list(zip(ordered["seed_id"].to_pylist(), ordered["category"].to_pylist()))
-        unit_seeds = V.unit_rows(V.as_matrix(ordered["embedding"]))
-        best = _closest(V.as_matrix(reviews["embedding"]), names, unit_seeds)
-        return pa.table([reviews["review_id"].cast(pa.string()), best], schema=out)
-
-    keys = ["block", "slice"]
-    return (
-        sliced.groupBy(*keys)
-        .cogroup(lettered.select(*keys, "seed_id", "category", "embedding").groupBy(*keys))
-        .applyInArrow(match, f"review_id string, best {_NEAREST}")
-    )
-
-
-def nearest_seed(vectors: DataFrame, seeds: DataFrame, max_local: int = MAX_LOCAL_SEEDS) -> DataFrame:
+def nearest_seed(vectors: DataFrame, seeds: DataFrame, max_local: int = SEEDS_PER_BLOCK) -> DataFrame:
     """``(review_id, min_cosine_distance, matched_seed_id, matched_seed_category)``,
     one row per review; ties go to the smaller seed id.
 
-    Distances are taken right at the scan, so the wide vectors are never
-    shuffled; only the small winners are.
+    Distances are taken right at the scan, one block of at most ``max_local`` seeds
+    after the other, so the wide vectors are neither copied nor shuffled; only the
+    small winners are.
     """
-    local = seeds.select("seed_id", "category", "embedding").limit(max_local + 1).collect()
-    if not local:
+    rows = sorted(seeds.select("seed_id", "category", "embedding").collect(), key=lambda r: r.seed_id)
+    if not rows:
         raise ValueError("no active seed vectors")
-    if len(local) <= max_local:
-        scored = vectors.select("review_id", _nearest_local(local).alias("best"))
-    else:
-        scored = _nearest_by_blocks(vectors, seeds, max_local)
+    best = [_nearest_of(rows[i : i + max_local]) for i in range(0, len(rows), max_local)]
+    # A struct compares by distance, then by seed id.
+    scored = vectors.select("review_id", (best[0] if len(best) == 1 else F.least(*best)).alias("best"))
     return (
         scored.groupBy("review_id")
         .agg(F.min("best").alias("best"))
@@ -112,6 +75,35 @@ def nearest_seed(vectors: DataFrame, seeds: DataFrame, max_local: int = MAX_LOCA
     )
 
 
+def among(rows: DataFrame, ids: DataFrame, key: str = "review_id") -> DataFrame:
+    """``rows`` but for most of those whose ``key`` is not in ``ids``: a Bloom filter of at most ``FILTER_BITS`` bits.
+
+    The filter is made by one aggregation and tested on a hash of the key, so wide rows are left out where they are
+    read, whatever the number of ids. It lets some others pass, ever more beyond a tenth of ``FILTER_BITS`` ids; what
+    follows must join the ids anyway.
+    """
+    hashed = F.xxhash64(key)
+    places = F.array(*(F.shiftrightunsigned(hashed, by).bitwiseAND(F.lit(FILTER_BITS - 1)) for by in FILTER_SHIFTS))
+    words = ids.select(F.explode(places).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
+    ).toArrow()
+    # Few ids need few bits: the filter is folded to about ten bits for each.
+    bits = min(FILTER_BITS, max(64, 1 << (10 * words.num_rows // len(FILTER_SHIFTS)).bit_length()))
+    table = np.zeros(bits // 64, dtype=np.uint64)
+    np.bitwise_or.at(table, words["word"].to_numpy() % len(table), words["bits"].to_numpy().view(np.uint64))
+
+    @F.arrow_udf("boolean")
+    def may_be_in(hashes: pa.Array) -> pa.Array:
+        h = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        hit = np.ones(len(h), dtype=bool)
+        for by in FILTER_SHIFTS:
+            at = (h >> np.uint64(by)) & np.uint64(bits - 1)
+            hit &= (table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return pa.array(hit)
+
+    return rows.where(may_be_in(hashed))
+
+
 def distance_audit(
     stage1: DataFrame,
     vectors: DataFrame,
@@ -119,15 +111,19 @@ def distance_audit(
     run_id: str,
     model: str,
     threshold: float = SEED_DISTANCE_THRESHOLD,
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
     """Nearest seed of every stage-1 review of a run that has a usable vector.
 
-    Vectors are reused across runs on purpose: only stage 1 is tied to the run.
+    Vectors are reused across runs on purpose: only stage 1 is tied to the run. Those of
+    other reviews are left out before a distance is taken; ``candidates`` lists all ids of
+    stage 1, and maybe more, where that is cheaper than stage 1 itself.
     ``comment_text`` is along for stage 2 and is pruned where not selected.
     """
     usable = vectors.where((F.col("status") == "ok") & (F.col("embedding_model") == model))
-    nearest = nearest_seed(usable.select("review_id", "embedding"), seeds)
     mine = stage1.where(F.col("pipeline_run_id") == run_id)
+    wanted = among(usable.select("review_id", "embedding"), (mine if candidates is None else candidates).select("review_id"))
+    nearest = nearest_seed(wanted, seeds)
     return mine.join(nearest, "review_id").select(
         "pipeline_run_id",
         "review_id",

@@ -128,7 +128,13 @@ def _seeds(spark, folder):
 
 def _l2_audit(spark, folder, stage1=None):
     return layer2.distance_audit(
-        _stage1(spark, folder) if stage1 is None else stage1, S.vectors(spark, folder), _seeds(spark, folder), S.RUN, S.MODEL, S.SEED_DISTANCE
+        _stage1(spark, folder) if stage1 is None else stage1,
+        S.vectors(spark, folder),
+        _seeds(spark, folder),
+        S.RUN,
+        S.MODEL,
+        S.SEED_DISTANCE,
+        candidates=S.docs(spark, folder),
     )
 
 
@@ -171,7 +177,7 @@ def closest(spark, folder):
 
 @query
 def l2_funnel(spark, folder):
-    stage1 = _stage1(spark, folder)
+    stage1 = durable(_stage1(spark, folder))
     return layer2.l2_funnel(stage1, S.vectors(spark, folder), _stage2(spark, folder, stage1), S.MODEL)
 
 
@@ -266,7 +272,7 @@ def edges_from_pairs(spark, folder):
 
 
 def _store_stats(spark, folder):
-    stage1 = _stage1(spark, folder)
+    stage1 = durable(_stage1(spark, folder))
     return stores.store_stats(
         S.raw(spark, folder), stage1, _stage2(spark, folder, stage1), S.assessments(spark, folder), S.RUN
     )
@@ -288,7 +294,7 @@ def top_stores(spark, folder):
 
 
 def _funnel(spark, folder):
-    stage1 = _stage1(spark, folder)
+    stage1 = durable(_stage1(spark, folder))
     return stores.funnel(
         S.raw(spark, folder),
         stage1,
@@ -338,7 +344,7 @@ def l1_coverage(spark, folder):
 
 @query
 def hist_l2(spark, folder):
-    stage1 = _stage1(spark, folder)
+    stage1 = durable(_stage1(spark, folder))
     return histograms.hist_l2(
         _l2_audit(spark, folder, stage1), stage1, S.raw(spark, folder), S.RUN, S.SEED_DISTANCE
     )
@@ -417,7 +423,7 @@ def merge_stats(spark, folder):
 
 @query
 def upsert_result(spark, folder):
-    return upsert.upsert_reviews(S.stored(spark, folder), _batch(spark, folder)).drop("comment_text")
+    return upsert.upsert_reviews(S.stored(spark, folder), durable(_batch(spark, folder))).drop("comment_text")
 
 
 @query

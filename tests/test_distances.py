@@ -48,6 +48,28 @@ def test_uneven_vectors_and_missing_seeds_are_errors(spark):
         layer2.nearest_seed(mixed, seeds_of(spark, np.eye(2)).limit(0))
 
 
+def test_vectors_of_other_reviews_are_left_out_at_the_scan(spark, folder):
+    rng = np.random.default_rng(3)
+    frame(spark, rng.normal(size=(3000, 8))).write.parquet(f"{folder}/v")
+    vectors, seeds = spark.read.parquet(f"{folder}/v"), seeds_of(spark, rng.normal(size=(4, 8)))
+    ids = vectors.where("hash(review_id) % 20 = 0").select("review_id")
+    kept = {r[0] for r in layer2.among(vectors, ids).select("review_id").collect()}
+    want = {r[0] for r in ids.collect()}
+    assert want <= kept and len(kept) < len(want) + 3000 * 0.05
+    assert layer2.among(vectors, ids.limit(0)).count() == 0
+    # The filter stands between the scan and the distances, and nothing but winners is shuffled.
+    plan = layer2.nearest_seed(layer2.among(vectors, ids), seeds)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("nearest(") < plan.index("Filter pythonUDF") < plan.index("may_be_in(") < plan.index("FileScan")
+    assert "embedding" not in plan[: plan.index("nearest(")] and "Join" not in plan
+
+
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(layer2, "FILTER_BITS", 64)
+    vectors = frame(spark, np.eye(8).repeat(40, axis=0))
+    ids = vectors.select("review_id").limit(200)
+    assert {r[0] for r in ids.collect()} <= {r[0] for r in layer2.among(vectors, ids).select("review_id").collect()}
+
+
 def test_expression_distance(spark):
     df = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
     got = [r[0] for r in df.select(V.cosine_distance(F.col("a"), F.col("b"))).collect()]
