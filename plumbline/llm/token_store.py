@@ -55,14 +55,15 @@ class Encoder:
     """A vocabulary of the tokenizers library. Words met before are remembered with their ids, see ``Words``.
 
     Words of several texts that are new are encoded by one call, each on a line of its own: a single line break behind a
-    word is a token of its own, so the ids between line breaks are those of the words.
+    word is a token of its own, so the ids between line breaks are those of the words. Texts that hold an added token of
+    the vocabulary, as ``<|endoftext|>`` is, are given to the library whole: it makes one id of it, also inside a word.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [token.content for token in self.library.get_added_tokens_decoder().values() if token.content]
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.words = Words(self._ids, MOST_WORDS)
         self.stems, self.marks = Recent(MOST_WORDS), Recent(MOST_WORDS // 8)
@@ -73,6 +74,13 @@ class Encoder:
         return np.array(self.library.encode(run, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
+        whole = {i: self._ids(text) for i, text in enumerate(texts) if any(token in text for token in self.added)}
+        if whole:
+            rest = iter(self._encode_words([text for i, text in enumerate(texts) if i not in whole]))
+            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
+        return self._encode_words(texts)
+
+    def _encode_words(self, texts: list[str]) -> list[bytes]:
         parts, known, stems = [text.split(" ") for text in texts], self.words.known, self.stems
         asked, made_of, none, marks_ = {}, [], [], string.punctuation
 

@@ -28,7 +28,6 @@ def test_read_back_equals_the_library(spark, monkeypatch):
     rows = documents()
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, shard int").repartition(6)
     library, start = Tokenizer.from_file(PATH), 0
-    library.encode_special_tokens = True
     got = {r["doc_id"]: r for r in token_store.digests(docs, PATH, shared_folder(spark, "store")).collect()}
     assert len(got) == len(rows)
     for key, text in rows:
