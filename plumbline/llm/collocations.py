@@ -52,8 +52,8 @@ _FOLD[9] = 32
 _FOLD[[ord(c) for c in ".,;:!?\x0b\x0c\r"]] = 10
 
 
-def _first(phrase: Column | str, n: int) -> Column:
-    return F.substring_index(phrase, " ", n)
+def _first(phrase: Column | str, n: int | Column) -> Column:
+    return F.call_function("substring_index", F.col(phrase) if isinstance(phrase, str) else phrase, F.lit(" "), n if isinstance(n, Column) else F.lit(n))
 
 
 def _rest(phrase: Column | str, n: int, words: int) -> Column:
@@ -137,24 +137,26 @@ def records(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
 
 
 def phrase_counts(found: DataFrame, longest: int = LONGEST, least: int = 1) -> DataFrame:
-    """(lang, words, phrase, f) of all phrases of up to ``longest`` words that occur ``least`` times.
+    """(lang, words, phrase, f) of the single words, and of all phrases of up to ``longest`` words that occur ``least`` times.
 
     A phrase's count is the flow out of its node, to longer runs, and the pieces that end with it: the sum of all records
-    that start with it. The empty phrase, of no words, occurs as often as there are words.
+    that start with it. A frequent edge, and every record's share of its node's flow, are summed side by side where they
+    are; as all records of a node are together there, a rare node is known to be rare before it is shuffled again.
     """
-    entry = lambda words, phrase: F.struct(F.lit(words).alias("words"), phrase.alias("phrase"), F.col("f").alias("f"))
-    # A frequent edge, and any record's share of its node's flow, are summed side by side where they are.
-    edge = F.when((_words("run") == longest) & (F.col("n") >= least), F.struct("run", "n"))
-    share = F.struct(F.lit(None).cast("string").alias("run"), F.col("n"))
-    both = found.select("lang", "node", F.explode(F.array_compact(F.array(share, edge))).alias("part"))
-    graph = both.groupBy("lang", "node", F.col("part.run").alias("run")).agg(F.sum("part.n").alias("f"))
-    is_node, held = F.col("run").isNull(), _words("node")
-    levels = [F.when(is_node, entry(0, F.lit(""))), *(F.when(is_node & (held >= m), entry(m, _first("node", m))) for m in range(1, longest - 1))]
-    # All records of a node are together, so a rare node is known to be rare here.
-    levels.append(F.when(is_node & (held == longest - 1) & (F.col("f") >= least), entry(longest - 1, F.col("node"))))
-    levels.append(F.when(~is_node, entry(longest, F.col("run"))))
-    summed = graph.select("lang", F.explode(F.array_compact(F.array(*levels))).alias("e")).groupBy("lang", "e.words", "e.phrase").agg(F.sum("e.f").alias("f"))
-    return summed.filter((F.col("words") == 0) | (F.col("f") >= least))
+    lone = F.array(F.lit(False))
+    frequent_edge = (F.col("run") != F.col("node")) & (F.col("n") >= least)
+    both = found.select("lang", "node", "run", "n", F.explode(F.when(frequent_edge, F.array(F.lit(False), F.lit(True))).otherwise(lone)).alias("edge"))
+    graph = both.groupBy("lang", "node", F.when(F.col("edge"), F.col("run")).alias("run")).agg(F.sum("n").alias("f"))
+    upto = lambda m: F.array(*(F.lit(i) for i in range(1, m + 1)))
+    held = _words("node")
+    # The lengths of the phrases that start a node, the node's own length among them if it is frequent.
+    lengths = F.when(F.col("run").isNotNull(), F.array(F.lit(longest))).when((held == longest - 1) & ((F.col("f") >= least) | F.lit(longest == 2)), upto(longest - 1))
+    for m in range(1, longest - 2):
+        lengths = lengths.when(held == m, upto(m))
+    cut = graph.select("lang", "node", "run", "f", F.explode(lengths.otherwise(upto(longest - 2))).alias("words"))
+    phrase = F.coalesce("run", _first("node", F.col("words")))
+    summed = cut.groupBy("lang", "words", phrase.alias("phrase")).agg(F.sum("f").alias("f"))
+    return summed.filter((F.col("words") == 1) | (F.col("f") >= least))
 
 
 def unary_nodes(edges: DataFrame, nodes: DataFrame, longest: int = LONGEST) -> DataFrame:
@@ -210,7 +212,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, in
     if longest < 2 or least < 1 or not 0 < inside <= 100:
         raise ValueError("phrases need two words, one occurrence and a share of 1 to 100 percent")
     counts = kept(phrase_counts(records(docs, longest), longest, least), "phrases")
-    level = {m: counts.filter(F.col("words") == m).drop("words") for m in range(longest + 1)}
+    level = {m: counts.filter((F.col("words") == m) & (F.col("f") >= least)).drop("words") for m in range(1, longest + 1)}
     unary = kept(unary_nodes(level[longest], level[longest - 1], longest), "unary")
     paths = kept(compact(level[longest], unary, longest), "compacted")
     edges = expand(paths, longest)
@@ -240,4 +242,5 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, in
     part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
     first = slim.withColumn("part", part).withColumn("rank", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
     ranked = first.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
-    return ranked.join(level[0].select("lang", F.col("f").alias("n")), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    totals = counts.filter("words = 1").groupBy("lang").agg(F.sum("f").alias("n"))
+    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
