@@ -161,16 +161,23 @@ def payload_hash(
 
 
 def product_path(url: Column) -> Column:
-    """``struct(store_id, product_id)`` from a ``/s/{store}/.../p/{product}`` path, else NULL."""
-    path = F.coalesce(F.try_parse_url(url, F.lit("PATH")), url)
-    pattern = r"(?s)/s/([^/?#]+)/.*?/p/([^/?#]+)"
-    return F.when(
-        path.rlike(pattern),
-        F.struct(
-            F.regexp_extract(path, pattern, 1).alias("store_id"),
-            F.regexp_extract(path, pattern, 2).alias("product_id"),
-        ),
-    )
+    """``struct(store_id, product_id)`` from a ``/s/{store}/.../p/{product}`` path, else NULL.
+
+    The store is the first filled part behind an ``s``. The product is the first filled part behind a ``p`` that has at
+    least one part between itself and the store.
+    """
+    path = F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.regexp_extract(url, "^[^?#]*", 0))
+    parts = F.split(path, "/")
+    places = F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1)))
+
+    def behind(mark: str, least: Column) -> Column:
+        """Place of the first filled part behind ``mark``, from ``least`` on."""
+        named = lambda i: (F.get(parts, i - 1) == mark) & (F.length(F.get(parts, i)) > 0)
+        return F.get(F.filter(places, lambda i: (i >= least) & (i > 1) & named(i)), 0)
+
+    store = behind("s", F.lit(1))
+    product = behind("p", store + 3)
+    return F.when(product.isNotNull(), F.struct(F.get(parts, store).alias("store_id"), F.get(parts, product).alias("product_id")))
 
 
 def local_day_to_ts(day: Column, offset: str) -> Column:

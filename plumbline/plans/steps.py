@@ -174,8 +174,11 @@ def run_audit(
     force: bool = False,
     limit: int | None = None,
     max_rows: int | None = None,
+    attempts: int = assess.MAX_ATTEMPTS,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Copy earlier scores forward, score the rest, store results and failures."""
+    """Copy earlier scores forward, score the rest, store results and failures. A
+    call is tried ``attempts`` times; ``partitions`` bounds the calls in flight."""
     with _phase(store, run_id, "audit", scorer_model=model) as counts:
         stage2, raw = store.read_run("stage2", run_id), store.current("raw_reviews")
         n_copied = n_skipped = 0
@@ -191,7 +194,7 @@ def run_audit(
         scored, errors = store.current("assessments"), store.current("assessment_errors")
         pending = durable(assess.select_pending(stage2, raw, scored, errors, run_id, force))
         rows, failures, counters = assess.score_pending(
-            pending, scorer, run_id, model, prompt, allowed_templates, limit, max_rows
+            pending, scorer, run_id, model, prompt, allowed_templates, limit, max_rows, attempts=attempts, partitions=partitions
         )
         kept, open_errors = upsert.upsert_assessments(
             stores.of_run(scored, run_id), rows, stores.of_run(errors, run_id)

@@ -148,7 +148,7 @@ def test_second_run_takes_only_what_changed(project):
 def test_scores_are_copied_forward(spark, folder):
     store = new_store(spark, folder)
     path = write(folder, "a.jsonl", lines(20))
-    whole_run(store, path, "run1")
+    whole_run(store, path, "run1", attempts=2, partitions=2)
     stage2 = store.read_run("stage2", "run1").withColumn("pipeline_run_id", F.lit("run2"))
     store.write_run("stage2", stage2, "run2")
     counters = steps.run_audit(store, "run2", RuleScorer(), "x-3.5-flash", "p1", ["stock-best"]).first()

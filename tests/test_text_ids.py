@@ -110,6 +110,13 @@ def test_payload_hash_keeps_nulls_but_drops_language(spark):
     assert row[0] == dump(base) and row[1] == dump({**base, "language_hint": "en"})
 
 
+def test_product_paths(spark):
+    urls = ["/s/a/p/c", "/s/a//p/c", "/s//s/b/x/p/c", "/s/a/x/p//p/d", "/s/a/x/p", "/s/a/x/p/c/p/d", "s/a/x/p/c", "https://x.com/s/a/x/p/c#p", "/s/a/x/p/c?y=/p/z", "", None]
+    got = column(spark, urls, ids.product_path)
+    want = [None, ("a", "c"), ("b", "c"), ("a", "d"), None, ("a", "c"), None, ("a", "c"), ("a", "c"), None, None]
+    assert [tuple(r) if r is not None else None for r in got] == want
+
+
 def test_product_path_and_local_day(spark):
     got = column(spark, ["https://x.com/hk/s/S1/main/p/P2?q=1", "/s/a/b/p/c", "https://x.com/p/1"], ids.product_path)
     assert [tuple(g) if g else None for g in got] == [("S1", "P2"), ("a", "c"), None]

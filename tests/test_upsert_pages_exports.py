@@ -187,6 +187,23 @@ def test_report_json(spark, folder):
     assert row["disclaimer_en"].startswith("Statistics") and spark.read.json(f"{folder}/report/edges").count() == 1
 
 
+def test_pager_spans(spark):
+    cases = [
+        ('<SPAN id="a" class="x total y">3 pages <span>4</span> 9 pages</SPAN>', None),
+        ('<span class="comment__count">\n 12 </span><span class="comment__count">13</span>', 12),
+        ('<span class="comment__count">n</span><span data-x="1" class="a comment__count"> 14<b>x</b></span>', 14),
+        ('<span class="comment__counts">15</span><span title="comment__count">16</span>', None),
+        ('<span class="comment__count">17', 17),
+        ("", None),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(cases)], "i int, html string")
+    got = [r.n for r in df.select("i", pages.declared_reviews(F.col("html")).alias("n")).orderBy("i").collect()]
+    assert got == [n for _, n in cases]
+    texts = df.select(pages._span_texts(F.col("html"), "total").alias("t"), "i").orderBy("i").collect()
+    assert texts[0].t == ["3 pages <span>4"] and texts[1].t == []
+
+
 # -- sizes -------------------------------------------------------------------
 
 
