@@ -38,6 +38,8 @@ SIDE, DEPTH = 18, 3
 HASHES = 2 * SIDE * DEPTH
 #: Shingles of a group's members in one block, unless one member has more.
 BLOCK = 1 << 19
+#: Parts that a group is dealt to while its totals are joined.
+SALTS = 32
 #: Bytes of text hashed at a time.
 SLICE = 1 << 20
 
@@ -153,15 +155,18 @@ def _sized(n_a: str, n_b: str):
     return (100 * F.col(n_a) >= PERCENT * F.col(n_b)) & (100 * F.col(n_b) >= PERCENT * F.col(n_a))
 
 
-def link_groups(members: DataFrame) -> DataFrame:
-    """Links (a, b) that join components of ``members`` (group, rep, label, n, shingles), on full sets.
+def link_groups(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join components of ``members`` (group, rep, label, n), on the full ``sets`` (rep, shingles).
 
     Within a group, all members outside of its largest component meet all members, in blocks of about BLOCK shingles.
     """
     sizes = members.groupBy("group", "label").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     totals = sizes.groupBy("group").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("s").alias("all"))
     rest = sizes.join(totals, "group").filter("label <> main").groupBy("group").agg(F.sum("s").alias("rest"))
-    members = members.join(totals.join(rest, "group"), "group")
+    # A group's totals are dealt by salt, and only then the sets come in, by set.
+    facts = totals.join(rest, "group").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+    members = salted.join(facts, ["group", "salt"]).drop("salt").join(sets.select("rep", "shingles"), "rep")
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     own = lambda c: F.pmod(F.xxhash64("rep"), blocks(c)).cast("int")
     columns = ["group", "i", "j", "side", "rep", "label", "shingles"]
@@ -242,14 +247,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = common.kept(confirm(pairs, sets), "confirmed")
 
     labels = components(links)
-    named = members.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    open_ = common.kept(named.join(mixed, "key", "left_semi").join(pivots, "key"), "open")
-    mains = open_.filter("rep = pivot").select("key", F.col("label").alias("main"))
-    groups = components(open_.join(mains, "key").select(F.col("label").alias("a"), F.col("main").alias("b")))
+    named = members.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("label", "rep").alias("label"))
+    # What a key ties together are components, so its members are reduced to these before keys are looked at.
+    tied = common.kept(named.distinct(), "tied")
+    mixed = tied.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key", "lo")
+    groups = components(tied.join(mixed, "key").select(F.col("label").alias("a"), F.col("lo").alias("b")))
     groups = groups.select(F.col("node").alias("label"), F.col("label").alias("group"))
-    open_ = open_.select("rep", "label").distinct().join(groups, "label").join(sets, "rep")
-    more = common.kept(link_groups(open_), "more")
+    reps = sizes.join(labels, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("label", "rep").alias("label"))
+    open_ = common.kept(reps.join(groups, "label"), "open")
+    more = common.kept(link_groups(open_, sets), "more")
     labels = components(links.union(more)) if not more.isEmpty() else labels
 
     groups = classes.select("n", "h1", "h2", "rep").join(labels, F.col("rep") == F.col("node"), "left")
