@@ -126,35 +126,6 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT cut.doc_id, coalesce(n, 0) AS n_shingles, least_id AS component_id, cut.doc_id = least_id AS kept
         FROM cut LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS least_id FROM reach GROUP BY a) ON a = cut.doc_id""",
-    "op12_collocations": r"""
-        WITH pieces AS (
-          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
-            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
-          FROM documents
-        ), cut AS (
-          SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
-        ), grams AS (
-          SELECT lang, k, phrase, count(*) AS f FROM (
-            SELECT lang, k, unnest([array_to_string(w[i : i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
-            FROM cut, (VALUES (1), (2), (3)) t(k)
-          ) GROUP BY ALL
-        ), candidates AS (
-          SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 10
-        ), inner_ AS (
-          SELECT s.lang, s.phrase FROM candidates s JOIN (
-            SELECT lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase FROM candidates WHERE k = 3
-          ) g ON s.lang = g.lang AND s.phrase = g.phrase WHERE s.k = 2 AND 100 * g.a >= 50 * s.a
-        ), cuts AS (
-          SELECT c.lang, c.phrase, c.a, j, x.f AS l, y.f AS r,
-            CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
-          FROM candidates c JOIN (VALUES (1), (2)) t(j) ON j < c.k
-          JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : j], ' ')
-          JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1 : c.k], ' ')
-        ), weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
-        SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
-        FROM weakest w JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang) t ON t.lang = w.lang
-        WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = w.lang AND i.phrase = w.phrase)
-        QUALIFY rank <= 2000""",
     "op13_chat_formatting": r"""
         WITH given AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
