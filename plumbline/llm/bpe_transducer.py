@@ -7,7 +7,10 @@ may still begin, the tokens chosen up to there. ``Transducer`` runs that machine
 is the set of open positions (their trie nodes) with the tokens not yet certain. As soon as all open positions agree
 on a token it is emitted; open positions lie at most the longest token behind, so lookahead is bounded. States and
 transitions are made when first met and kept; beyond ``most_states`` they are dropped and made again, which bounds
-memory and changes no result.
+memory and changes no result. Transitions lie in flat integer arrays, and many words take their next step at once.
+
+Ids are decoded in pieces of bounded size. ``Utf8Stream`` follows the bytes with a table of states, so that a character
+that is cut by the end of a piece waits for the rest.
 
 Defined results: a null text is the empty text; the empty text has no ids and decodes to no bytes; rows with a null
 or repeated ``doc_id`` are encoded like any other, one result row each; whole texts are encoded whatever their length;
@@ -19,6 +22,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
@@ -33,6 +37,10 @@ from plumbline.llm import common
 #: Words kept with their ids by each worker; beyond it the table starts anew.
 MOST_WORDS = 120_000
 MOST_STATES = 200_000
+#: Up to so many words that are still open walk on alone.
+FEW = 4
+#: Bytes of text encoded at a time; a longer text stands alone.
+TEXT_SLICE = 2 << 20
 #: Ids decoded at a time.
 DECODE_IDS = 65_536
 
@@ -69,8 +77,10 @@ class Transducer:
         start = ((0, (-1,)),)
         self.states = [start]
         self.numbers = {start: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.ends: list[tuple[int, ...]] = [()]
+        self.steps = Steps()
+        self.outputs = Outputs()  # of each step
+        self.ends = Outputs()  # of each state
+        self.ends.add(())
         self.shared: dict[tuple, tuple] = {}
         self.pairs: dict[int, bool] = {}
 
@@ -123,7 +133,8 @@ class Transducer:
         self.pairs[left << 20 | right] = valid
         return valid
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def step(self, state: int, byte: int) -> int:
+        """The state after ``byte``; what is emitted on the way is added to ``outputs``."""
         nodes, chains, chosen = [], [], None
         children, token_at = self.children, self.token_at
         for node, chain in self.states[state]:
@@ -151,24 +162,156 @@ class Transducer:
         if number is None:
             number = self.numbers[following] = len(self.states)
             self.states.append(following)
-            end = chains[-1][1:]
-            self.ends.append(shared.setdefault(end, end))
-        step = (number, shared.setdefault(emitted, emitted))
-        self.steps[state << 8 | byte] = step
-        return step
+            self.ends.add(chains[-1][1:])
+        self.outputs.add(emitted)
+        return number
 
     def encode(self, word: bytes) -> list[int]:
+        return self.encode_words(word, np.array([len(word)]))[1].tolist()
+
+    def encode_words(self, data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids) of words that lie one behind the other in ``data``.
+
+        All words that are not at their end take one step together. A long word walks on alone, byte by byte.
+        """
         if len(self.states) > self.most_states:
             self.restart()
-        state, out, steps = 0, [], self.steps
-        for byte in word:
-            known = steps.get(state << 8 | byte)
-            state, emitted = known if known is not None else self.step(state, byte)
-            if emitted:
-                out += emitted
-        out += self.ends[state]
+        read = np.frombuffer(data, np.uint8)
+        at = np.cumsum(lengths) - lengths
+        last = np.zeros(len(lengths), np.int64)
+        words, whose, which = np.flatnonzero(lengths), [], []
+        state, done = np.zeros(len(words), np.int64), 0
+        while len(words) > FEW:
+            step = self.follow(state << 8 | read[at[words] + done])
+            told = self.outputs.sizes()[step] > 0
+            whose.append(words[told])
+            which.append(step[told])
+            state, done = self.steps.state_of()[step].astype(np.int64), done + 1
+            last[words] = state
+            more = lengths[words] > done
+            words, state = words[more], state[more]
+        for word, now in zip(words.tolist(), state.tolist(), strict=True):
+            taken = []
+            for byte in data[at[word] + done : at[word] + lengths[word]]:
+                key = now << 8 | byte
+                step = self.steps.get(key)
+                if step < 0:
+                    step = int(self.follow(np.array([key]))[0])
+                now = self.steps.to[step]
+                if self.outputs.size[step]:
+                    taken.append(step)
+            last[word] = now
+            whose.append(np.full(len(taken), word))
+            which.append(np.array(taken, np.int64))
+        # Emissions in the order of their words, then of their steps; the end of a word comes last.
+        ends = np.flatnonzero(lengths)
+        steps, ids = self.outputs, self.ends
+        owner = np.concatenate([*whose, ends])
+        begin = np.concatenate([*(steps.begins()[w] for w in which), ids.begins()[last[ends]] + len(steps.ids)])
+        size = np.concatenate([*(steps.sizes()[w] for w in which), ids.sizes()[last[ends]]]).astype(np.int64)
+        order = np.argsort(owner, kind="stable")
+        begin, size = begin[order], size[order]
+        total = np.cumsum(size)
+        pool = np.concatenate([steps.pool(), ids.pool()])
+        place = np.repeat(begin - total + size, size) + np.arange(total[-1] if len(total) else 0)
+        counts = np.bincount(owner[order], weights=size, minlength=len(lengths)).astype(np.int64)
+        return counts, pool[place].astype("<u4")
+
+    def follow(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the steps for (state, byte) pairs; those never met are made."""
+        step = self.steps.find(keys)
+        new = np.flatnonzero(step < 0)
+        if len(new):
+            made = np.unique(keys[new])
+            self.steps.add(made, [self.step(key >> 8, key & 255) for key in made.tolist()])
+            step[new] = self.steps.find(keys[new])
+        return step
+
+
+def _view(numbers: array, kind: type) -> np.ndarray:
+    return np.frombuffer(numbers, kind) if len(numbers) else np.zeros(0, kind)
+
+
+class Outputs:
+    """Short lists of token ids, in one flat array. Views are for use at once: the arrays must not grow meanwhile."""
+
+    def __init__(self):
+        self.ids, self.begin, self.size = array("i"), array("q"), array("i")
+
+    def add(self, ids: tuple[int, ...]) -> None:
+        self.begin.append(len(self.ids))
+        self.size.append(len(ids))
+        self.ids.extend(ids)
+
+    def pool(self) -> np.ndarray:
+        return _view(self.ids, np.int32)
+
+    def begins(self) -> np.ndarray:
+        return _view(self.begin, np.int64)
+
+    def sizes(self) -> np.ndarray:
+        return _view(self.size, np.int32)
+
+
+class Steps:
+    """Numbers of steps by (state, byte), in an open hash table of two integer arrays, at most half full."""
+
+    def __init__(self):
+        self.to = array("i")
+        self._new_table(1 << 12)
+
+    def state_of(self) -> np.ndarray:
+        return _view(self.to, np.int32)
+
+    def _new_table(self, size: int) -> None:
+        self.keys, self.numbers, self.mask = np.full(size, -1, np.int64), np.zeros(size, np.int32), size - 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * 0x9E3779B1 >> 12) & self.mask
+
+    def get(self, key: int) -> int:
+        slot = (key * 0x9E3779B1 >> 12) & self.mask
+        while (there := self.keys.item(slot)) != key:
+            if there < 0:
+                return -1
+            slot = (slot + 1) & self.mask
+        return self.numbers.item(slot)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.numbers[slot], -1).astype(np.int64)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.mask
+            there = self.keys[slot[open_]]
+            same = there == keys[open_]
+            out[open_[same]] = self.numbers[slot[open_[same]]]
+            open_ = open_[~same & (there >= 0)]
         return out
 
+    def add(self, keys: np.ndarray, states: list[int]) -> None:
+        """Distinct new ``keys``, which get the next numbers."""
+        first = len(self.to)
+        self.to.extend(states)
+        numbers = np.arange(first, len(self.to))
+        if 2 * len(self.to) > len(self.keys):
+            old = self.keys >= 0
+            keys, numbers = np.concatenate([self.keys[old], keys]), np.concatenate([self.numbers[old], numbers])
+            size = len(self.keys)
+            while size < 4 * len(self.to):
+                size *= 2
+            self._new_table(size)
+        slot = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            _, one = np.unique(slot[free], return_index=True)
+            won = free[one]
+            self.keys[slot[won]], self.numbers[slot[won]] = keys[won], numbers[won]
+            rest = np.ones(len(keys), bool)
+            rest[won] = False
+            keys, numbers, slot = keys[rest], numbers[rest], (slot[rest] + 1) & self.mask
+
 
 class Recent(dict):
     """A table of at most about ``2 * most`` entries. Filled once, it keeps what is used again before the next time."""
@@ -193,36 +336,42 @@ class Words:
     """Ids of whole texts, word by word, where the words between single spaces are remembered.
 
     The split pattern never matches across the place before a space that follows something else than white space.
-    Texts are therefore cut there first, in one pass, and only words not met before are split by the pattern and
-    encoded. ``encode_run`` gets such a stretch with its leading space and returns its ids as bytes.
+    Texts are therefore cut there first, in one pass. ``encode_run`` gets a word not met before with its leading space,
+    or a longer stretch, and returns its ids as bytes.
     """
 
     def __init__(self, encode_run: Callable[[str], bytes], most: int = MOST_WORDS):
         self.encode_run = encode_run
         self.known = Recent(most)
 
-    def encode(self, text: str) -> bytes:
-        return self.encode_parts(text.split(" "))
-
-    def encode_parts(self, parts: list[str]) -> bytes:
-        """Ids of a text that is cut at its single spaces."""
-        found = list(map(self.known.get, parts))
-        found[0], at = None, 0
-        while True:
-            try:
-                at = found.index(None, at)
-            except ValueError:
-                return b"".join(found)
-            last = at
-            while last + 1 < len(parts) and (not parts[last] or parts[last][-1].isspace()):
-                last += 1
-            run = " ".join(parts[at : last + 1])
-            if last == at and at and run and not run[-1].isspace():
-                found[at] = self.known.old(run) or self.known.get(run) or self.known.put(run, self.encode_run(" " + run))
+    def encode_parts(self, parts: list[str], table: dict[str, bytes]) -> bytes:
+        """Ids of a text that is cut at its single spaces. ``table`` has ids of words that were looked up before."""
+        found = list(map(table.get, parts))
+        for at, run in open_runs(parts, found):
+            if at and not run[-1].isspace() and " " not in run[1:]:
+                word = run[1:]
+                found[at] = self.known.old(word) or self.known.get(word) or self.known.put(word, self.encode_run(run))
             else:
-                found[at] = self.encode_run(" " + run if at else run)
-                found[at + 1 : last + 1] = [b""] * (last - at)
-            at = last + 1
+                found[at] = self.encode_run(run)
+        return b"".join(found)
+
+
+def open_runs(parts: list[str], found: list[bytes | None]) -> Iterator[tuple[int, str]]:
+    """(place, run) of the stretches of a text without ids in ``found``. A part that is empty or ends with white space
+    may go on behind the next space, so it makes one run with the parts behind it, whose own places become empty."""
+    found[0], at = None, 0
+    while True:
+        try:
+            at = found.index(None, at)
+        except ValueError:
+            return
+        last = at
+        while last + 1 < len(parts) and (not parts[last] or parts[last][-1].isspace()):
+            last += 1
+        run = " ".join(parts[at : last + 1])
+        found[at + 1 : last + 1] = [b""] * (last - at)
+        yield at, " " + run if at else run
+        at = last + 1
 
 
 class Decoder:
@@ -245,28 +394,46 @@ class Decoder:
         return self.blob[np.repeat(self.begins[ids] - ends + lengths, lengths) + np.arange(ends[-1])].tobytes()
 
 
+def _utf8_table() -> np.ndarray:
+    """``table[state, byte]`` is the next state. 0: between characters; 1 to 3: so many bytes of any kind are to follow;
+    the others narrow the byte after E0, ED, F0 and F4; 8: no UTF-8. See table 3-7 of the Unicode standard."""
+    table = np.full((9, 256), 8, np.uint8)
+    lead, follow = table[0], slice(0x80, 0xC0)
+    lead[:0x80], lead[0xC2:0xE0], lead[0xE0:0xF0], lead[0xF0:0xF4] = 0, 1, 2, 3
+    lead[0xE0], lead[0xED], lead[0xF0], lead[0xF4] = 4, 5, 6, 7
+    table[1, follow], table[2, follow], table[3, follow] = 0, 1, 2
+    table[4, 0xA0:0xC0], table[5, 0x80:0xA0], table[6, 0x90:0xC0], table[7, 0x80:0x90] = 1, 1, 2, 2
+    return table
+
+
+UTF8 = _utf8_table()
+
+
 class Utf8Stream:
-    """Text of a byte stream as it arrives. The state is the bytes of a character that is not complete yet."""
+    """Text of a byte stream as it arrives, by a machine of nine states.
+
+    The machine starts anew at each lead byte, so its state behind a piece depends on the bytes from the last lead
+    byte on, four at most. Bytes of a character that is not complete are held back; bytes that are no UTF-8 become
+    U+FFFD.
+    """
 
     def __init__(self):
-        self.open = b""
+        self.state, self.open = 0, b""
 
     def feed(self, data: bytes) -> str:
         data = self.open + data
-        cut = len(data)
-        for back in range(1, min(3, len(data)) + 1):
-            byte = data[-back]
-            if byte >= 0xC0:  # a lead byte: it announces how many bytes follow
-                needed = 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
-                cut = len(data) - back if needed > back else cut
-                break
-            if byte < 0x80:
-                break
-        self.open = data[cut:]
+        lead = len(data) - 1
+        while lead > max(-1, len(data) - 4) and 0x80 <= data[lead] < 0xC0:
+            lead -= 1
+        state = 0
+        for byte in data[max(lead, 0) :]:
+            state = int(UTF8[state, byte])
+        cut = len(data) if state in (0, 8) else max(lead, 0)
+        self.state, self.open = (0, b"") if cut == len(data) else (state, data[cut:])
         return data[:cut].decode("utf-8", "replace")
 
     def end(self) -> str:
-        rest, self.open = self.open, b""
+        rest, self.state, self.open = self.open, 0, b""
         return rest.decode("utf-8", "replace")
 
 
@@ -279,21 +446,54 @@ class Codec:
         # Two names of one set; libraries differ in what the short ones mean for a few control characters.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.machine = Transducer(ranks)
-        self.words = Words(self._run)
+        self.known = Recent(MOST_WORDS)
         self.decoder = Decoder(ranks)
-        self.pieces = Recent(MOST_WORDS // 2)
 
-    def _run(self, run: str) -> bytes:
-        out = []
-        for word in self.split.findall(run):
-            ids = self.pieces.get(word) or self.pieces.old(word)
-            if ids is None:
-                ids = self.pieces.put(word, array("I", self.machine.encode(word.encode())).tobytes())
-            out.append(ids)
-        return b"".join(out)
+    def _ids(self, pieces: list[str], counts: Iterable[int]) -> list[bytes]:
+        """Ids of runs that are cut to ``pieces``, so many each."""
+        data = [piece.encode() for piece in pieces]
+        sizes, ids = self.machine.encode_words(b"".join(data), np.fromiter(map(len, data), np.int64, len(data)))
+        ends = np.cumsum(np.fromiter(counts, np.int64))
+        places = (4 * np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])]).tolist()
+        whole = ids.tobytes()
+        return [whole[begin:end] for begin, end in itertools.pairwise(places)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words behind a space, all cut by one pass of the pattern."""
+        pieces = self.split.findall(" " + " ".join(words))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        reached = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        return self._ids(pieces, np.diff(np.searchsorted(reached, ends, "right"), prepend=0))
 
     def encode(self, text: str) -> bytes:
-        return self.words.encode(text)
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts. Words between single spaces that were not met before are encoded together."""
+        parts, known = [text.split(" ") for text in texts], self.known
+        table, new = {}, []
+        for word in set(itertools.chain.from_iterable(parts)):
+            ids = known.get(word) or known.old(word)
+            if ids is not None:
+                table[word] = ids
+            elif word and not word[-1].isspace():  # the others belong to longer runs
+                new.append(word)
+        if new:
+            for word, ids in zip(new, self._words(new), strict=True):
+                table[word] = known.put(word, ids)
+        founds, open_, places = [list(map(table.get, p)) for p in parts], [], []
+        for part, found in zip(parts, founds, strict=True):
+            for at, run in open_runs(part, found):
+                open_.append(self.split.findall(run))
+                places.append((found, at))
+        ids_of = self._ids(list(itertools.chain.from_iterable(open_)), map(len, open_))
+        for (found, at), ids in zip(places, ids_of, strict=True):
+            found[at] = ids
+        return [b"".join(found) for found in founds]
+
+    def forget(self) -> None:
+        """Drop the words, which fill again soon; a worker that goes on to other work is smaller without them."""
+        self.known = Recent(MOST_WORDS)
 
     def decode_stream(self, ids: bytes) -> Iterator[bytes]:
         numbers = np.frombuffer(ids, "<u4")
@@ -322,8 +522,11 @@ def encode(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(_worker_path(path, shipped), pattern)
         for batch in batches:
-            ids = pa.array([own.encode(text) for text in common.texts(batch.column(1))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+            for begin, end in common.slices(batch.column(1), TEXT_SLICE):
+                part = batch.slice(begin, end - begin)
+                ids = pa.array(own.encode_many(common.texts(part.column(1))), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+        own.forget()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"doc_id {kind.simpleString()}, ids binary"
@@ -357,19 +560,22 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(_worker_path(path, shipped), pattern)
         for batch in batches:
-            counts, shas, back = [], [], []
-            for text in common.texts(batch.column(1)):
-                ids = own.encode(text)
-                counts.append(len(ids) // 4)
-                shas.append(hashlib.sha256(ids).hexdigest())
-                seen = hashlib.sha256()
-                for data in own.decode_stream(ids):
-                    seen.update(data)
-                back.append(seen.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for begin, end in common.slices(batch.column(1), TEXT_SLICE):
+                part = batch.slice(begin, end - begin)
+                counts, shas, back = [], [], []
+                for ids in own.encode_many(common.texts(part.column(1))):
+                    counts.append(len(ids) // 4)
+                    shas.append(hashlib.sha256(ids).hexdigest())
+                    seen, stream = hashlib.sha256(), Utf8Stream()
+                    for data in own.decode_stream(ids):
+                        seen.update(stream.feed(data).encode())
+                    seen.update(stream.end().encode())
+                    back.append(seen.hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+        own.forget()
         pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(

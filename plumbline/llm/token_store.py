@@ -96,15 +96,18 @@ class Encoder:
                 asked[key] = None
             return key, word[len(stem) :], ids
 
-        for word in set(itertools.chain.from_iterable(parts)).difference(known):
-            if known.old(word) is not None:
+        table: dict[str, bytes] = {}
+        for word in set(itertools.chain.from_iterable(parts)):
+            ids = known.get(word) or known.old(word)
+            if ids is not None:
+                table[word] = ids
                 continue
             stem = word.rstrip(marks_)
             if stem.isalpha() and (ids := stems.get(" " + stem)) is not None:  # by far the most
                 if len(word) > len(stem):
                     tail = self.marks.get(word[len(stem) :])
                     ids += tail if tail is not None else self.marks.put(word[len(stem) :], self._ids(word[len(stem) :]))
-                known.put(word, ids)
+                table[word] = known.put(word, ids)
                 continue
             first, *rest = word.split("\n") if "\n" in word else (word,)
             if all(line.split() == [line] for line in rest or none) and first.split() == [first]:
@@ -127,8 +130,8 @@ class Encoder:
                     tail = self.marks.get(marks)
                     ids += tail if tail is not None else self.marks.put(marks, self._ids(marks))
                 out.append(ids)
-            known.put(word, out[0] if len(out) == 1 else self.break_ids.join(out))
-        return [self.words.encode_parts(p) for p in parts]
+            table[word] = known.put(word, out[0] if len(out) == 1 else self.break_ids.join(out))
+        return [self.words.encode_parts(p, table) for p in parts]
 
 
 @functools.lru_cache(maxsize=1)
