@@ -216,12 +216,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     return model
 
 
-def score(model: Model, docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """``keep`` and score of every row."""
-    rows = _raw(model, features(docs, model.lexicon, keep=keep, text_col=text_col))
+def score(model: Model, docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", name: str = "score") -> DataFrame:
+    """``keep`` and the score, called ``name``, of every row. Columns of ``docs`` may have any names."""
+    own = [f"kept_{i}" for i in range(len(keep))]
+    quoted = [F.col("`" + column.replace("`", "``") + "`") for column in (*keep, text_col)]
+    slim = docs.select(*(column.alias(k) for column, k in zip(quoted, [*own, "text"], strict=True)))
+    rows = _raw(model, features(slim, model.lexicon, keep=tuple(own)))
     if model.calibration is not None:
         rows = model.calibration.transform(rows).withColumn("raw", F.col("prediction"))
-    return rows.select(*keep, F.least(F.greatest("raw", F.lit(0.0)), F.lit(1.0)).alias("score"))
+    return rows.select(*(F.col(k).alias(column) for k, column in zip(own, keep, strict=True)), F.least(F.greatest("raw", F.lit(0.0)), F.lit(1.0)).alias(name))
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
