@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     labels = read(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
-    scored = toxicity.score(model, docs, keep=tuple(docs.columns))
-    return scored.filter("score < 0.5").drop("score")
+    scored = toxicity.score(model, docs, keep=tuple(docs.columns), name="__toxic")
+    return scored.filter("__toxic < 0.5").drop("__toxic")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
