@@ -15,9 +15,10 @@ Queries and vectors meet in explicit pairs of blocks: that is every query agains
 Vectors that are equal after scaling count once; each carries the smallest ``k + 1`` of its ids, which is all that a
 result of k can need, as ties go to the smaller id. So a vector that a third of all rows share is one entry.
 
-Defined results: components become floor(scale * x) in double precision. Vectors that are null or empty, or hold null,
-non-finite or larger components than 2 ** 28 after scaling, and rows without id, take no part. A query meets
-vectors of its own length only. A repeated id with one vector is one candidate; with several vectors it is one candidate
+Defined results: components become floor(scale * x) in double precision, kept as doubles, which hold them exactly.
+Vectors that are null or hold null or non-finite components, and rows without id, take no part. Empty vectors
+score 0 with each other. A score outside 64 bits counts as the nearest 64-bit integer, and a component
+beyond 1e150 after scaling as 1e150. A query meets vectors of its own length only. A repeated id with one vector is one candidate; with several vectors it is one candidate
 each, and as a query it is asked with each. All vectors but the query's own id are candidates. Other columns are ignored.
 """
 
@@ -38,13 +39,17 @@ BLOCK = 2048
 QUERY_BLOCK = 512
 CELLS = 16
 SCALE = 256
-LARGEST = 1 << 28
+#: Components of larger size count as this; no sum of products of two such overflows a double.
+LARGEST = 1e150
+#: Sums of products below this are exact in doubles.
+EXACT = 2.0**53
+LONG = 2**63
 #: Exact vectors read at a time.
 STEP = 16
 
 
 def integers(embedding: Column, scale: int = SCALE) -> Column:
-    """The integer vector as binary (little-endian 32-bit), null where the row takes no part."""
+    """The integer vector as binary (little-endian doubles), null where the row takes no part."""
 
     @F.pandas_udf("binary")
     def pack(column):
@@ -53,18 +58,27 @@ def integers(embedding: Column, scale: int = SCALE) -> Column:
         values = flat.fill_null(float("nan")).to_numpy(zero_copy_only=False)
         with np.errstate(invalid="ignore", over="ignore"):
             scaled = np.floor(values * scale)
-        good = np.isfinite(scaled) & (np.abs(scaled) <= LARGEST)
-        whole = np.where(good, scaled, 0).astype("<i4")
+        good = np.isfinite(values)
+        whole = np.clip(np.where(good, scaled, 0), -LARGEST, LARGEST).astype("<f8") + 0.0  # no negative zero
         for i, valid in enumerate(array.is_valid().to_pylist()):
             s, e = (ends[i], ends[i + 1]) if valid else (0, 0)
-            out.append(whole[s:e].tobytes() if e > s and good[s:e].all() else None)
+            out.append(whole[s:e].tobytes() if valid and good[s:e].all() else None)
         return pa.array(out, pa.binary()).to_pandas()
 
     return pack(embedding.cast("array<double>"))
 
 
 def _matrix(packed: list[bytes], dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), "<i4").reshape(len(packed), dim)
+    return np.frombuffer(b"".join(packed), "<f8").reshape(len(packed), dim)
+
+
+def _scores(rows: np.ndarray, q: np.ndarray) -> list[int]:
+    """Exact inner products of whole numbers held as doubles, kept within 64 bits."""
+    if len(q) * np.abs(rows).max(initial=0) * np.abs(q).max(initial=0) < EXACT:
+        return (rows @ q).astype(np.int64).tolist()
+    own = [int(x) for x in q]
+    sums = (sum(int(a) * b for a, b in zip(row, own, strict=True)) for row in rows.tolist())
+    return [max(-LONG, min(LONG - 1, x)) for x in sums]
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
@@ -90,7 +104,7 @@ def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
 
 def _numbered(rows: DataFrame, size: int, label: str) -> DataFrame:
     """``rows`` with (dim, block): blocks of about ``size`` vectors of one length, dealt by hash."""
-    rows = rows.withColumn("dim", (F.length("vec") / 4).cast("int"))
+    rows = rows.withColumn("dim", (F.length("vec") / 8).cast("int"))
     sizes = rows.groupBy("dim").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
     return rows.join(sizes, "dim").withColumn(label, F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int")).drop("blocks")
 
@@ -111,7 +125,7 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = 5, scale: int = SCALE
     def approximate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, block, vecs in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), strict=True):
-                x = _matrix(vecs, dim).astype(np.float64)
+                x = _matrix(vecs, dim)
                 low, high = x.min(axis=0), x.max(axis=0)
                 width = np.maximum((high - low) / CELLS, 1e-9)
                 cells = np.minimum(((x - low) / width).astype(np.uint8), CELLS - 1)
@@ -136,20 +150,20 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = 5, scale: int = SCALE
         return low + (numbers_ + 0.5) * width, width / 2
 
     def bounds(q: np.ndarray, centre: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of centres, and how far a score can be off; the last term covers rounding."""
+        """Least and largest possible scores; the last term covers rounding."""
         middle = q @ centre.T
         off = np.abs(q) @ half + 1e-6 * (1 + np.abs(q) @ np.abs(centre).max(axis=0))
-        return middle, off
+        return np.clip(middle - off[:, None], -LONG, LONG), np.clip(middle + off[:, None], -LONG, LONG)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q = _matrix(row["part_vec"], row["dim"]).astype(np.float64)
-                middle, off = bounds(q, *centres(row["dim"], row["size"], row["grid"], row["cells"]))
-                best = middle.max(axis=1) + off
+                q = _matrix(row["part_vec"], row["dim"])
+                low, high = bounds(q, *centres(row["dim"], row["size"], row["grid"], row["cells"]))
+                best = high.max(axis=1)
                 # A query may meet itself, and nothing else may hold one vector: the k + 1st best is reached by k others.
-                at = max(0, middle.shape[1] - k - 1)
-                lows = np.partition(middle, at, axis=1)[:, at:] - off[:, None]
+                at = max(0, low.shape[1] - k - 1)
+                lows = np.partition(low, at, axis=1)[:, at:]
                 n, m = lows.shape
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["dim"]] * n, pa.int32()), pa.array([row["part"]] * n, pa.int32()), pa.array(np.arange(n), pa.int32()), pa.array([row["block"]] * n, pa.int32()), pa.array(best)]
@@ -172,17 +186,17 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = 5, scale: int = SCALE
                 exact = _matrix(row["block_vec"], dim)
                 centre, half = centres(dim, row["size"], row["grid"], row["cells"])
                 who = [w["at"] for w in row["who"]]
-                queries_ = _matrix(row["part_vec"], dim)[who].astype(np.int64)
-                middle, off = bounds(queries_.astype(np.float64), centre, half)
-                for q, mid, o, own, w in zip(queries_, middle, off, who, row["who"], strict=True):
+                queries_ = _matrix(row["part_vec"], dim)[who]
+                _, highs = bounds(queries_, centre, half)
+                for q, high, own, w in zip(queries_, highs, who, row["who"], strict=True):
                     name, top, limit = row["query_ids"][own], [], w["limit"]
-                    order = np.argsort(-mid, kind="stable")
-                    order = order[mid[order] + o >= limit]
+                    order = np.argsort(-high, kind="stable")
+                    order = order[high[order] >= limit]
                     for s in range(0, len(order), STEP):
-                        if mid[order[s]] + o < limit:
+                        if high[order[s]] < limit:
                             break
                         rows_ = order[s : s + STEP]
-                        for score, r in zip((exact[rows_].astype(np.int64) @ q).tolist(), rows_, strict=True):
+                        for score, r in zip(_scores(exact[rows_], q), rows_, strict=True):
                             top += [(-score, i) for i in row["ids"][r] if i != name]
                         top = sorted(top)[:k]
                         limit = max(limit, -top[-1][0]) if len(top) == k else limit

@@ -96,9 +96,9 @@ ORACLE_SQL: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
           SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x FROM embeddings
-          WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-          SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score
+          SELECT q.vec_id AS query_id, v.vec_id, CAST(coalesce(list_dot_product(q.x, v.x), 0) AS BIGINT) AS score
           FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x) WHERE q.vec_id % 50 = 0
         )
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
