@@ -1,8 +1,9 @@
 """Benchmark decontamination: pairs of near words find passages, Smith-Waterman alignment scores them.
 
 Words are runs of letters and digits in lower case; in scripts without spaces each character is a word. A leak is an
-alignment with ``LEAK`` of the points of a verbatim copy, or with ``LEAK_POINTS`` if that is less; items under N words
-leak as whole phrases only. A link is a pair of words that match one after the other in both
+alignment with ``LEAK`` of the points of a verbatim copy, but no fewer than those of ``FEWEST`` words in a row and no
+more than ``LEAK_POINTS``; items of up to ``FEWEST`` words leak as whole phrases only, and ``strong`` tells whether an
+alignment has more than such a phrase to show: short phrases also occur by chance. A link is a pair of words that match one after the other in both
 texts, with at most one word between them in either. Links without a word between cost no points, others of one word at
 most one, all further steps two or more; so an alignment of P points has links of a weight (two if adjacent in both
 texts, else one) of P - 2 or more. Every passage of a document in which links reach that weight is aligned with the
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 from plumbline.llm import common
 from plumbline.llm.words import ASCII_FOLD, ASCII_PUNCTUATION, mix, word_hashes
 
-N = 3
 SLICE_WORDS = 1_000_000
 #: Points of a matching word, another word in its place, and a word left out or put in.
 MATCH, OTHER, GAP = 2, -1, -1
@@ -41,13 +41,15 @@ MATCH, OTHER, GAP = 2, -1, -1
 LEAK = 0.4
 #: Points from which on a passage of a long item is a leak, whatever its share: those of 30 words in a row.
 LEAK_POINTS = 60
+#: Words in a row below which a match says little, or the whole item if that is shorter.
+FEWEST = 6
 #: Letters of scripts that put no spaces between words.
 SPACELESS = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 #: Bytes of text hashed at a time.
 TEXT_SLICE = 1 << 20
 #: Links looked at together, unless one document has more.
 LINKS = 1 << 20
-LEAKS = "array<struct<item_id:long,score:double,start:int,end:int>>"
+LEAKS = "array<struct<item_id:long,score:double,start:int,end:int,strong:boolean>>"
 
 
 def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,7 +66,7 @@ def pairs_of(words: np.ndarray, step: int) -> np.ndarray:
 
 def points_of(n: int) -> int:
     """Points from which on an alignment with an item of ``n`` words is a leak."""
-    return min(math.ceil(LEAK * MATCH * n - 1e-9), LEAK_POINTS) if n >= N else MATCH * n
+    return min(max(math.ceil(LEAK * MATCH * n - 1e-9), MATCH * min(n, FEWEST)), LEAK_POINTS)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -177,7 +179,7 @@ class Items:
                 points, begin, end = align(item, passage)
                 score = points / (MATCH * len(item))
                 if points >= points_of(len(item)) and (name not in found[row] or score > found[row][name]["score"]):
-                    found[row][name] = {"item_id": name, "score": score, "start": lo - zero + begin, "end": lo - zero + end}
+                    found[row][name] = {"item_id": name, "score": score, "start": lo - zero + begin, "end": lo - zero + end, "strong": points >= MATCH * FEWEST}
         return [sorted(x.values(), key=lambda leak: (-leak["score"], leak["item_id"] is None, leak["item_id"] or 0)) for x in found]
 
     def parts(self, ends: np.ndarray, steps: tuple[np.ndarray, ...]) -> Iterator[tuple[int, int]]:
@@ -223,7 +225,7 @@ def pair_counts(docs: DataFrame, pairs: np.ndarray, text_col: str) -> dict[int,
 
 
 def annotate(docs: DataFrame, items: DataFrame, *, text_col: str = "text", name: str = "leaks") -> DataFrame:
-    """``docs`` with ``name``: its leaks as (item_id, score, start, end), in words, best first."""
+    """``docs`` with ``name``: its leaks as (item_id, score, start, end, strong), in words, best first."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     spaceless = "".join(rf"\p{{Is{x}}}" for x in re.findall(r"\w{3,}", SPACELESS))
     words = F.size(F.split("text", " ")) + F.length(F.regexp_replace("text", f"[^{spaceless}]", ""))
@@ -252,7 +254,7 @@ def annotate(docs: DataFrame, items: DataFrame, *, text_col: str = "text", name:
 
 
 def leaks(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, score, start_word, end_word) of every leak; clean documents have no row."""
+    """(doc_id, item_id, score, start_word, end_word, strong) of every leak; clean documents have no row."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = annotate(slim, items).select("doc_id", F.explode("leaks").alias("leak"))
-    return found.select("doc_id", "leak.item_id", "leak.score", F.col("leak.start").alias("start_word"), F.col("leak.end").alias("end_word"))
+    return found.select("doc_id", "leak.item_id", "leak.score", F.col("leak.start").alias("start_word"), F.col("leak.end").alias("end_word"), "leak.strong")

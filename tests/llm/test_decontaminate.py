@@ -87,9 +87,14 @@ def test_edits_at_regular_places_equal_all_alignments(spark):
         docs.append([w if random.random() < 0.6 else "other" for w in own])
     docs = list(enumerate(" ".join(text(90) + copy + text(70)) for copy in docs)) + [(1000, items[7][1])] * 4
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
-    scores = {(i, item): plain_points(words(source), words(t)) / (2 * len(words(source))) for i, t in docs for item, source in items}
-    want = {k: v for k, v in scores.items() if v >= decontaminate.LEAK}
-    assert len(want) > 60 and got == want
+    want = {}
+    for i, t in docs:
+        for item, source in items:
+            n, points = len(words(source)), plain_points(words(source), words(t))
+            if points >= max(0.4 * 2 * n, 2 * min(n, 6)):
+                want[i, item] = points / (2 * n)
+    assert len(want) > 40 and got == want
+    assert len({item for _, item in want}) >= 5
 
 
 def test_short_long_and_spaceless_items(spark):
@@ -104,6 +109,14 @@ def test_short_long_and_spaceless_items(spark):
     assert got == {(0, 1): (0, 11, 1.0), (1, 1): (3, 14, 1.0), (2, 2): (60, 81, 1.0), (3, 3): (61, 63, 1.0), (5, 4): (60, 61, 1.0), (6, None): (60, 80, 1.0), (7, 5): (60, 110, 100 / 260)}
 
 
+def test_common_words_are_no_leak(spark):
+    items = [(1, "What is the capital?"), (2, "yes"), (3, "What is the name of the largest river in the country?"), (4, "Name the five oldest towns")]
+    docs = ["I wonder what is going on in town today", "oh yes we did", "what is the name of the game", "so: what is the CAPITAL, then", "Tell me what is the name of the largest lake", "name the five oldest"]
+    found = decontaminate.leaks(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]): r["strong"] for r in found}
+    assert got == {(1, 2): False, (2, 3): True, (3, 1): False, (4, 3): True}
+
+
 def test_annotate_keeps_columns_and_empty_tables(spark, data):
     docs = spark.createDataFrame([(1, "x", [2])], "doc_id long, text string, start array<int>")
     items = spark.createDataFrame(data[1], "item_id long, text string")
