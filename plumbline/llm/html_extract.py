@@ -2,7 +2,8 @@
 
 A page is read once, as tags and text. Text belongs to blocks; elements that never hold an article (menus, headers,
 footers, forms, scripts, comment threads and what names itself an advert, notice or sidebar) are left out with all they
-hold. Each block scores its words, less what their surroundings and the tags around it cost, and one pass finds the
+hold. A name is not believed if its element holds a heading of the first level and most of the words that lie
+in such elements or outside of all that have such names: that is a wrapper around the article (``with-sidebar``, ``no-comments``). Each block scores its words, less what their surroundings and the tags around it cost, and one pass finds the
 run of blocks with the largest sum. Costs are learned from labelled pages, those that mark their article themselves:
 how often words under an element, a class or an id lie inside the article. ``SAMPLE`` pages are used at most, those
 with the smallest hashes; extraction covers every page.
@@ -62,30 +63,51 @@ class Block:
     __slots__ = ("parts", "tags", "inside")
 
     def __init__(self):
-        self.parts: list[tuple[str, tuple[str, ...]]] = []  # text as it stands, and what is open around it
+        #: Text as it stands, what is open around it, and numbers of the open elements whose names speak against it.
+        self.parts: list[tuple[str, tuple[str, ...], tuple[int, ...]]] = []
         self.tags, self.inside = 0, False
 
     def text(self) -> str:
-        return " ".join(entities.unescape("".join(text for text, _ in self.parts)).split())
+        return " ".join(entities.unescape("".join(part[0] for part in self.parts)).split())
 
 
-def _attributes(source: str) -> tuple[list[str], bool]:
-    """Class and id names, and whether they or the role say that the element holds no article."""
-    names, never = [], False
+def _attributes(source: str) -> tuple[list[str], bool, bool]:
+    """Class and id names, whether the role says that the element holds no article, and whether a name does."""
+    names, never, named = [], False, False
     for name, *values in _ATTRIBUTE.findall(source):
         value = next((v for v in values if v), "").lower()
         if name.lower() == "role":
             never |= value in ROLES
         else:
             names += value.split()
-            never |= not NAMES.isdisjoint(re.split(r"[\s_-]+", value))
-    return names, never
+            named |= not NAMES.isdisjoint(re.split(r"[\s_-]+", value))
+    return names, never, named
+
+
+def _believed(found: list[Block], titled: set[int]) -> list[Block]:
+    """``found`` without what lies in elements whose names speak against it, but for wrappers of the article."""
+    total, within = 0, dict.fromkeys(titled, 0)
+    for block in found:
+        for text, _, marks in block.parts:
+            n = len(text.split())
+            over = titled.intersection(marks)
+            total += n if over or not marks else 0
+            for mark in over:
+                within[mark] += n
+    wrappers = {mark for mark, n in within.items() if 2 * n > total}
+    for block in found:
+        block.parts = [part for part in block.parts if wrappers.issuperset(part[2])]
+    return [b for b in found if b.text()]
 
 
 def blocks(page: str) -> tuple[list[Block], bool]:
     """Blocks with text, in page order, outside of what never holds an article; whether the page marks its article."""
     out, block, at, marked = [], Block(), 0, False
-    stack: list[tuple[str, tuple[str, ...], bool]] = []  # element, names for weights, left out
+    stack: list[tuple[str, tuple[str, ...], bool, int]] = []  # element, names for weights, left out, number if its name speaks against it
+    marks, titled = 0, set()
+
+    def open_marks() -> tuple[int, ...]:
+        return tuple(entry[3] for entry in stack if entry[3])
 
     def flush() -> None:
         nonlocal block
@@ -95,9 +117,9 @@ def blocks(page: str) -> tuple[list[Block], bool]:
 
     def text(until: int) -> None:
         if until > at and not (stack and stack[-1][2]):
-            here = tuple(key for _, keys, _ in stack for key in keys)
-            block.parts.append((page[at:until], here))
-            block.inside |= any(name in MAIN for name, _, _ in stack)
+            here = tuple(key for entry in stack for key in entry[1])
+            block.parts.append((page[at:until], here, open_marks()))
+            block.inside |= any(entry[0] in MAIN for entry in stack)
 
     last = page.rfind(">")
     while True:
@@ -105,7 +127,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if token is None:
             text(len(page))
             flush()
-            return [b for b in out if b.text()], marked
+            return _believed(out, titled), marked
         text(token.start())
         at = token.end()
         if token[0] == "<!--":
@@ -119,7 +141,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         out_of_sight = bool(stack) and stack[-1][2]
         if name == "br" or name in ("td", "th"):
             if not out_of_sight and block.parts:
-                block.parts.append((" ", ()))
+                block.parts.append((" ", (), open_marks()))
         elif name not in INLINE and not out_of_sight:
             flush()
         if not out_of_sight:
@@ -149,12 +171,15 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                 break
             if stack[depth][0] not in INLINE:
                 break
-        names, never = _attributes(rest)
+        names, never, named = _attributes(rest)
         if name in ("html", "body") or name in MAIN:
-            stack.append((name, (), False))
+            stack.append((name, (), False, 0))
         else:
-            left_out = never or name in NEVER or bool(stack) and stack[-1][2]
-            stack.append((name, tuple(f".{n}" for n in names) or (name,), left_out))
+            if name == "h1" and not out_of_sight:
+                titled.update(open_marks())
+            left_out = never or name in NEVER or named and name in INLINE or bool(stack) and stack[-1][2]
+            marks += named
+            stack.append((name, tuple(f".{n}" for n in names) or (name,), left_out, marks if named else 0))
         if rest.rstrip().endswith("/") and name not in INLINE and stack:
             stack.pop()
 
@@ -173,7 +198,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def block_score(block: Block, marked: bool, weights: dict[str, float]) -> float:
     total = -TAG_COST * block.tags
-    for text, keys in block.parts:
+    for text, keys, _ in block.parts:
         n = len(text.split())
         worst = min((weights.get(key, 0.0) for key in keys), default=0.0)
         if marked and not block.inside:
@@ -197,7 +222,7 @@ def learn_weights(pages: DataFrame, *, id_col: str = "page_id", html_col: str =
             for page in common.texts(batch.column(0)):
                 found, marked = blocks(page)
                 for block in found if marked else ():
-                    for text, keys in block.parts:
+                    for text, keys, _ in block.parts:
                         n = len(text.split())
                         for key in {*keys, *(() if block.inside else ("outside",))}:
                             totals.setdefault(key, [0, 0])[0 if block.inside else 1] += n

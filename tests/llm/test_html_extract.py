@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
+from collections import Counter
 
 from plumbline.llm import html_extract
 from plumbline.llm.html_extract import PRIOR, best_run, main_text
@@ -49,6 +51,29 @@ def test_known_pages():
     assert main_text("<p title='a>b'>one &#233;&lt;b&gt;</p><p>two", PRIOR) == "one é<b>\ntwo"
 
 
+def test_names_of_wrappers():
+    foot = "<div class='site-footer footer'>Words of the site owner</div>"
+    for name in ("content with-sidebar", "post no-comments", "skip-lazy"):
+        side = "<div class='sidebar'><h2>More of it</h2><p>Other stories that you may like</p></div>"
+        thread = "<div id='comments'><h2>What readers say</h2>" + "<p>Great article, I liked all of it and more than that</p>" * 20 + "</div>"
+        assert main_text(page(f"<div class='header'><h1>Site name</h1></div><div class='{name}'>{ARTICLE}{side}</div>{thread}{foot}"), PRIOR) == TEXT, name
+        assert main_text(page(f"{NAV}<div class='{name}'><article>{ARTICLE}</article></div>{foot}"), PRIOR) == TEXT, name
+    assert main_text(page(f"<div class='header'><h1>Site name</h1></div><div>{ARTICLE}</div>{foot}"), PRIOR) == TEXT
+
+
+def test_pages_that_mark_no_article(spark):
+    """The sample's pages with their article in a plain element: words, tags and learned names must find it."""
+    rows = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, html string")
+    weights = html_extract.learn_weights(pages)
+    bare = [re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", r) for r in rows]
+    kept = lost = more = 0
+    for whole, cut in zip(rows, bare, strict=True):
+        want, got = (Counter(main_text(x, weights).split()) for x in (whole, cut))
+        kept, lost, more = kept + (want & got).total(), lost + (want - got).total(), more + (got - want).total()
+    assert lost <= 0.02 * (kept + lost) and more <= 0.05 * (kept + more), (kept, lost, more)
+
+
 def test_whole_table(spark):
     rows = [(i, f"u{i}", page(NAV + f"<article>{ARTICLE}<p>{'word ' * i}</p></article>")) for i in range(60)]
     rows += [(None, None, None), (1, "u", ""), (2, "long", "<article>" + "<p>many words</p>" * 50_000 + "</article>"), (3, "open", "<a \"" * 20_000)]
