@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from plumbline.constants import EXCLUSION_REASONS, MIN_TEXT_CHARS, REQUIRED_STARS
 from plumbline.functions import text
-from plumbline.functions.phrases import stripped_length
+from plumbline.functions.phrases import intervals, length_without, stripped_length
+
+#: Phrases in one automaton, in bytes; what is read by the driver at a time and sent to a task.
+PHRASE_BLOCK_BYTES = 4 << 20
 
 
 def active_phrases(phrases: DataFrame) -> DataFrame:
@@ -26,14 +29,37 @@ def compile_phrases(phrases: DataFrame) -> DataFrame:
     )
 
 
-def phrase_list(phrases: DataFrame) -> list[str]:
-    """The active phrases, which every task holds: a hand-kept dimension of any number."""
-    return [row.phrase for row in active_phrases(phrases).select("phrase").distinct().collect()]
-
-
-def with_stripped_length(raw: DataFrame, phrases: DataFrame) -> DataFrame:
-    left = stripped_length(F.col("comment_text"), phrase_list(phrases))
-    return raw.withColumn("stripped_char_length", left)
+def with_stripped_length(raw: DataFrame, phrases: DataFrame, block_bytes: int = PHRASE_BLOCK_BYTES) -> DataFrame:
+    """``raw`` with the length of each text once all active phrases are cut.
+
+    A table within one block of ``block_bytes`` is looked for in one pass, without a
+    shuffle. A larger one is dealt by hash into blocks of about that size. A task holds
+    one of them and reports only matches; these, not texts, are gathered per review
+    and joined back. Each block is one more scan of the two columns it needs.
+    """
+    active = active_phrases(phrases).select("phrase").where("phrase <> ''").distinct()
+    size = active.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+
+    def block(k: int) -> list[str]:
+        own = active if blocks == 1 else active.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k)
+        return [row.phrase for row in own.toLocalIterator()]
+
+    if blocks == 1:
+        return raw.withColumn("stripped_char_length", stripped_length(F.col("comment_text"), block(0)))
+    # A repeated id with another text is another key; equal rows have equal matches.
+    text_key = F.xxhash64("comment_text")
+    slim = raw.select("review_id", "comment_text")
+    found = None
+    for k in range(blocks):
+        hits = slim.select("review_id", text_key.alias("__text"), intervals(F.col("comment_text"), block(k)).alias("hits"))
+        hits = hits.where(F.size("hits") > 0)
+        found = hits if found is None else found.unionAll(hits)
+    found = found.groupBy("review_id", "__text").agg(F.array_distinct(F.flatten(F.collect_set("hits"))).alias("__hits"))
+    found = found.withColumnRenamed("review_id", "__id")
+    joined = raw.join(found, F.col("review_id").eqNullSafe(F.col("__id")) & (text_key == F.col("__text")), "left")
+    left = length_without(F.col("comment_text"), F.col("__hits"))
+    return joined.withColumn("stripped_char_length", left).drop("__id", "__text", "__hits")
 
 
 def exclusion_reason(stars: int = REQUIRED_STARS, min_chars: int = MIN_TEXT_CHARS) -> Column:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 from hypothesis import given, settings
@@ -82,3 +83,24 @@ def test_exact_phrases_match_anywhere(spark):
 def test_filter_calls_the_search_once(spark):
     plan = layer1.l1_filter(raw(spark, [(5, "a" * 30)]), delivery_phrases(spark))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_blocks_of_phrases_equal_one_automaton(spark):
+    random.seed(6)
+    some = [f"{a}{b} {c}" for a in "abcdefghij" for b in range(200) for c in range(100)]
+    some += ["送貨好快", "送貨", "a1 5 b2", "A1 5 B2 17", "好", "x" * 300]
+    assert len(some) > 200_000
+    texts = [" ".join(random.choice([random.choice(some), "w", "送貨好快", "A1 5 b2 17"]) for _ in range(random.randint(0, 12))) for _ in range(300)]
+    reviews = raw(spark, [(5, t) for t in texts]).unionAll(raw(spark, [(5, "送貨 好")]))
+    reviews = reviews.unionAll(reviews.limit(5)).withColumn("hits", F.lit(1))
+    reviews = reviews.unionAll(reviews.limit(3).withColumn("comment_text", F.lit(None).cast("string")).withColumn("review_id", F.lit(None).cast("string")))
+    phrases = spark.createDataFrame([(p, "contains", True) for p in some], "phrase string, match_type string, is_active boolean")
+    key = lambda df: sorted((r.review_id or "", r.comment_text or "", -1 if r.stripped_char_length is None else r.stripped_char_length) for r in df.collect())
+    size = sum(len(p.encode()) for p in some)
+    one = layer1.with_stripped_length(reviews, phrases, size)
+    many = layer1.with_stripped_length(reviews, phrases, size // 3 - 1)
+    assert many.columns == one.columns
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" in plan
+    assert key(many) == key(one) and any(n not in (-1, 0) for _, _, n in key(one))
+    assert layer1.l1_filter(reviews, phrases, min_chars=1).count() > 0
