@@ -68,9 +68,14 @@ def trailing_baseline(buckets: DataFrame, days: int = BASELINE_DAYS) -> DataFram
 
 
 def burst_events(raw: DataFrame, units=UNITS, levels=LEVELS, days: int = BASELINE_DAYS) -> DataFrame:
+    """Scored buckets of all reviews."""
+    return score_buckets(bucket_counts(raw, units, levels), days)
+
+
+def score_buckets(buckets: DataFrame, days: int = BASELINE_DAYS) -> DataFrame:
     """Scored buckets. Day buckets flag on the z-score; hour buckets flag on a
     five-star rush in a group with enough buckets overall."""
-    scored = trailing_baseline(bucket_counts(raw, units, levels), days)
+    scored = trailing_baseline(buckets, days)
     z = burst.z_score(
         F.col("n_reviews"), F.col("baseline_mean"), F.col("baseline_stddev"), F.col("baseline_buckets")
     )
