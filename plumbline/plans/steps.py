@@ -140,7 +140,7 @@ def run_layer2(
         stage1 = store.read_run("stage1", run_id)
         seeds = store.current("seeds")
         made = embed.embed_seeds(seeds, embedder, model, seed_version)
-        store.replace("seed_vectors", embed.replace_seed_vectors(store.current("seed_vectors"), made, seed_version, model))
+        store.replace_slice("seed_vectors", made, seed_version=seed_version, embedding_model=model)
         log = store.bucketed("review_vectors")
         stale = embed.stale_vectors(log.read(), stage1, model)
         if not stale.isEmpty():

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline import schemas
@@ -20,9 +24,12 @@ BUCKETED = {
 KEYED = {
     "phrases": schemas.PHRASES,
     "seeds": schemas.SEEDS,
-    "seed_vectors": schemas.SEED_VECTORS,
     "labels": schemas.LABELS,
 }
+# Tables in slices: a version of the seeds has its vectors by each model, made and replaced together.
+SLICED = {
+    "seed_vectors": (schemas.SEED_VECTORS, ["seed_version", "embedding_model"]),
+}
 # Tables whose keys start with the run: each run has its own current state.
 KEYED_PER_RUN = {
     "assessments": schemas.ASSESSMENTS,
@@ -51,6 +58,15 @@ class ReviewStore:
             return self.bucketed(table).read()
         if table in KEYED:
             return tables.read_latest(self.spark, self.path(table), KEYED[table])
+        if table in SLICED:
+            schema, _ = SLICED[table]
+            try:
+                rows = tables.read_table(self.spark, self.path(table), schema)
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                return self.spark.createDataFrame([], schema)
+            return rows.select(*schema.names).where("seed_id IS NOT NULL")
         return tables.read_latest(self.spark, self.path(table), KEYED_PER_RUN[table], "pipeline_run_id=*")
 
     def replace(self, table: str, df: DataFrame, run_id: str | None = None) -> None:
@@ -60,6 +76,13 @@ class ReviewStore:
             mine = df.select(*KEYED_PER_RUN[table].names)
             tables.write_version(mine, self.path(table), pipeline_run_id=run_id)
 
+    def replace_slice(self, table: str, df: DataFrame, **keys: str) -> None:
+        """Replace the slice of ``keys`` by ``df``, also by nothing: a row without id stands for the slice itself."""
+        schema, names = SLICED[table]
+        mark = self.spark.createDataFrame([tuple(keys.get(c) for c in schema.names)], schema)
+        mine = df.select(*schema.names).where(reduce(and_, [F.col(name) == keys[name] for name in names]))
+        tables.replace_slices(mine.unionByName(mark), self.path(table), names)
+
     def write_run(self, table: str, df: DataFrame, run_id: str) -> None:
         tables.write_run(df, self.path(table), run_id)
 

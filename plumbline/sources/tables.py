@@ -79,6 +79,12 @@ def read_latest(spark: SparkSession, path: str, schema: StructType, slices: str
     return rows.select(*schema.names)
 
 
+def replace_slices(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Replace the slices, by ``keys``, that ``df`` has rows for; files of other slices stay as they are."""
+    rows = df.repartition(*keys).write.partitionBy(*keys)
+    rows.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
 def require_tables(spark: SparkSession, names: list[str]) -> None:
     missing = [name for name in names if not spark.catalog.tableExists(name)]
     if missing:

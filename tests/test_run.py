@@ -183,3 +183,29 @@ def test_stream_equals_batch(spark, folder):
     columns = ["review_id", "content_hash", "store_id", "star_rating", "review_ts"]
     rows = lambda store: sorted(map(tuple, store.current("raw_reviews").select(*columns).collect()))
     assert rows(stream) == rows(batch) and len(rows(batch)) == 30
+
+
+def test_seed_vectors_are_replaced_by_slice(spark, folder):
+    import glob
+
+    store = ReviewStore(spark, folder)
+    assert store.current("seed_vectors").collect() == []
+
+    def vectors(version, model, *ids):
+        rows = [(version, i, "c", [1.0, 2.0], model) for i in ids]
+        made = spark.createDataFrame(rows, "seed_version string, seed_id string, category string, embedding array<double>, embedding_model string")
+        return made.withColumn("embedded_at", F.current_timestamp())
+
+    def put(version, model, *ids):
+        store.replace_slice("seed_vectors", vectors(version, model, *ids), seed_version=version, embedding_model=model)
+
+    have = lambda: sorted((r.seed_version, r.embedding_model, r.seed_id) for r in store.current("seed_vectors").collect())
+    put("1", "org/model:1", "a", "b")
+    put("2", "org/model:1", "a")
+    before = set(glob.glob(f"{folder}/seed_vectors/seed_version=2/**/*.parquet", recursive=True))
+    put("1", "org/model:1", "c")
+    put("1", "other", "d")
+    assert have() == [("1", "org/model:1", "c"), ("1", "other", "d"), ("2", "org/model:1", "a")]
+    assert before and before == set(glob.glob(f"{folder}/seed_vectors/seed_version=2/**/*.parquet", recursive=True))
+    put("1", "org/model:1")
+    assert have() == [("1", "other", "d"), ("2", "org/model:1", "a")]
