@@ -492,7 +492,7 @@ class Codec:
         return [b"".join(found) for found in founds]
 
     def forget(self) -> None:
-        """Drop the words, which fill again soon; a worker that goes on to other work is smaller without them."""
+        """Drop the words, which fill again soon."""
         self.known = Recent(MOST_WORDS)
 
     def decode_stream(self, ids: bytes) -> Iterator[bytes]:
@@ -503,7 +503,7 @@ class Codec:
 
 @functools.lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
-    """The codec of a worker, built once per process."""
+    """The codec of a task, which drops it at its end: a worker goes on to other work."""
     return Codec(load_ranks(path), pattern)
 
 
@@ -526,10 +526,11 @@ def encode(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
                 part = batch.slice(begin, end - begin)
                 ids = pa.array(own.encode_many(common.texts(part.column(1))), pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
-        own.forget()
+        del own
+        codec.cache_clear()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind.simpleString()}, ids binary"
+        common.tidy(run), f"doc_id {kind.simpleString()}, ids binary"
     )
 
 
@@ -549,8 +550,10 @@ def decode(encoded: DataFrame, path: str, pattern: str, *, shipped: bool = False
                 out.append("".join(parts) + stream.end())
                 sizes.append(size)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(sizes, pa.int64())], ["doc_id", "text", "n_bytes"])
+        del own
+        codec.cache_clear()
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind.simpleString()}, text string, n_bytes bigint")
+    return encoded.select("doc_id", "ids").mapInArrow(common.tidy(run), f"doc_id {kind.simpleString()}, text string, n_bytes bigint")
 
 
 def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", shipped: bool = False) -> DataFrame:
@@ -575,9 +578,9 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
                     [part.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
-        own.forget()
-        pa.default_memory_pool().release_unused()
+        del own
+        codec.cache_clear()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        common.tidy(run), f"doc_id {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )

@@ -219,7 +219,7 @@ def pair_counts(docs: DataFrame, pairs: np.ndarray, text_col: str) -> dict[int,
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[seen].view(np.int64)), pa.array(total[seen])], ["pair", "n"])
 
-    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(common.tidy(count), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     # At most one row for each pair of one slice of items.
     return {r["pair"]: r["n"] for r in counted.collect()}
 
@@ -249,7 +249,7 @@ def annotate(docs: DataFrame, items: DataFrame, *, text_col: str = "text", name:
                 found = [old + leaks for old, leaks in zip(before, new, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, batch.schema.types[-1])], batch.schema.names)
 
-        out = out.mapInArrow(search, out.schema)
+        out = out.mapInArrow(common.tidy(search), out.schema)
     return out
 
 

@@ -96,7 +96,7 @@ def sketches(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
             )
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, a array<long>, b array<long>")
+    return slim.mapInArrow(common.tidy(run), "doc_id long, n long, h1 long, h2 long, a array<long>, b array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,7 +112,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, *, id_col: str = "doc_id", text_c
             )
 
     slim = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
-    return slim.join(ids, "rep", "left_semi").mapInArrow(run, "rep long, n long, shingles array<long>")
+    return slim.join(ids, "rep", "left_semi").mapInArrow(common.tidy(run), "rep long, n long, shingles array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def link_groups(members: DataFrame, sets: DataFrame) -> DataFrame:
                 rows.append((*row, flat[ends[k] : ends[k + 1]].copy()))
         yield found()
 
-    return sides.mapInArrow(run, "a long, b long").distinct()
+    return sides.mapInArrow(common.tidy(run), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -138,7 +138,7 @@ def features(docs: DataFrame, lexicon: dict[str, float], *, keep: tuple[str, ...
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), flat, pa.array(np.expm1(rows[:, 2]))], [*keep, "features", "hits"])
 
     slim = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    return slim.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", features array<double>, hits double")
+    return slim.mapInArrow(common.tidy(run), ", ".join(f"{c} {kinds[c]}" for c in keep) + ", features array<double>, hits double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -165,7 +165,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
                 terms.append(terms_of(text))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(signs, pa.int64()), pa.array(terms, pa.list_(pa.string()))], ["doc_id", "toxic", "sign", "terms"])
 
-    each = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(run, "doc_id long, toxic int, sign long, terms array<string>")
+    each = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(common.tidy(run), "doc_id long, toxic int, sign long, terms array<string>")
     each = common.kept(each.groupBy("sign", "toxic").agg(F.min(F.struct("doc_id", "terms")).alias("one")).select("toxic", "one.terms"), "terms")
     totals = {r["toxic"]: r["count"] for r in each.groupBy("toxic").count().collect()}
     t, c = F.sum("toxic"), F.count("*") - F.sum("toxic")
