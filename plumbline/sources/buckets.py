@@ -96,7 +96,9 @@ class BucketTable:
             raise ValueError("rows of this table carry no time and cannot be dropped")
         others = [F.col(c) if c in keys.columns else F.lit(None).cast(self.schema[c].dataType).alias(c) for c in self.drop_by]
         now = F.current_timestamp().alias(DROPPED_AT)
-        keys.select(self.key, *others).distinct().select("*", now).coalesce(1).write.mode("append").parquet(f"{self.path}/dropped")
+        # A shuffle of the marks alone makes few files of them; ``coalesce`` would put the work that finds them into one task.
+        marks = keys.select(self.key, *others).distinct().select("*", now).hint("rebalance")
+        marks.write.mode("append").parquet(f"{self.path}/dropped")
 
     def compact(self, only: list[int] | None = None) -> None:
         """Write all buckets, or some, anew without dropped rows and in few files. Drops stay listed: they match nothing

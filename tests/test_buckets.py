@@ -106,6 +106,20 @@ def test_dropped_rows(spark, folder):
         BucketTable(spark, folder, rows.schema).drop(rows)
 
 
+def test_drops_of_many_keys_are_written_by_many_tasks(spark, folder):
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("review_id"), F.timestamp_seconds(F.lit(0)).alias("at"))
+    log = BucketTable(spark, f"{folder}/log", rows.schema, buckets=3, written_at="at")
+    log.append(rows)
+    together = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(together, "false")
+    try:
+        log.drop(rows.where("review_id < 'c'"))
+    finally:
+        spark.conf.set(together, "true")
+    assert len(glob.glob(f"{folder}/log/dropped/*.parquet")) > 1
+    assert log.read().count() == rows.where("review_id >= 'c'").count()
+
+
 def test_layer2_writes_new_vectors_only(spark, folder):
     store = new_store(spark, folder)
 
