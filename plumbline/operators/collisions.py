@@ -12,6 +12,8 @@ so that no task receives a whole hot group.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from plumbline.constants import SCORE_THRESHOLD, STORE_PAIR_DISTANCE_THRESHOLD, UNLISTED_TEMPLATE
 from plumbline.functions import vectors as V
+from plumbline.operators.sizing import small_side
 from plumbline.session import durable
 
 CHUNK_ROWS = 2_000
@@ -26,6 +29,10 @@ BLOCK_ROWS = 4_096
 MAX_PIVOTS = 256
 # Vectors that the short basis is taken from, and its width.
 SAMPLE_ROWS = 1_024
+# Members of one vector that a row lists, rows compared at a time, and pairs made at a time.
+HELD_ROWS = 16
+SLICE_ROWS = 128
+OUTPUT_ROWS = 1 << 16
 SHORT_WIDTH = 32
 # Covers the rounding of the slim rows to single precision.
 SLACK = 1e-4
@@ -219,6 +226,159 @@ def similar_vectors(
     return found.unionByName(itself)
 
 
+# -- pairs of similar vectors, where they are found ----------------------------
+
+
+def _vector_rows(members: DataFrame, held: list[str], chunk_by: str, chunk_rows: int) -> DataFrame:
+    """(id, member_group, unit, held): a row for each about ``chunk_rows`` members of a vector, which it lists."""
+    sizes = members.groupBy("member_group").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks"))
+    chunk = F.coalesce(F.pmod(F.xxhash64(chunk_by), "chunks").cast("int"), F.lit(0)).alias("chunk")
+    rows = (
+        members.join(small_side(sizes.where("chunks > 1")), "member_group", "left")
+        .groupBy("member_group", chunk)
+        .agg(F.first("unit").alias("unit"), F.collect_list(F.struct(*held)).alias("held"))
+    )
+    return durable(rows.select(F.monotonically_increasing_id().alias("id"), "member_group", "unit", "held"))
+
+
+def _spread_hits(sizes_a: np.ndarray, sizes_b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(hit, place in a, place in b) of every pair of members of every hit, about ``OUTPUT_ROWS`` pairs at a time."""
+    pairs = sizes_a * sizes_b
+    piece = np.cumsum(pairs) // OUTPUT_ROWS
+    for own in np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(piece)) + 1):
+        hit = np.repeat(own, pairs[own])
+        at = np.arange(len(hit)) - np.repeat(np.cumsum(pairs[own]) - pairs[own], pairs[own])
+        yield hit, at // sizes_b[hit], at % sizes_b[hit]
+
+
+def _member_pairs(
+    members: DataFrame, held: list[str], chunk_by: str, max_distance: float, block_rows: int, chunk_rows: int,
+    shown: Callable[[pa.StructArray, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch], schema: str,
+) -> tuple[DataFrame, DataFrame]:
+    """What ``shown`` makes of all pairs of ``members`` from different stores whose vectors match: it is given the
+    members that meet in a task, the places of either side's, smaller store first, and their distances.
+
+    Vectors bring their members along, so pairs are made where matches are found and no list of matches is shuffled.
+    Pairs within one row are not among them; the rows are returned too.
+    """
+    rows = _vector_rows(members, held, chunk_by, chunk_rows)
+    placed = block_pairs(rows, max_distance, block_rows).join(rows, "id")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        low, high = table["low"][0].as_py(), table["high"][0].as_py()
+        block = table["block"].to_numpy()
+        vector = table["member_group"].combine_chunks().dictionary_encode().indices.to_numpy()
+        unit, lists = V.as_matrix(table["unit"]), table["held"].combine_chunks()
+        sizes, every = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten()
+        first = np.cumsum(sizes) - sizes
+        stores = every.field("store_id").to_pylist()
+        rank = {s: i for i, s in enumerate(sorted({s for s in stores if s is not None}))}
+        store = np.array([rank.get(s, -1) for s in stores], dtype=np.int64)
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        for start in range(0, len(left), SLICE_ROWS):
+            some = left[start : start + SLICE_ROWS]
+            distance = V.distances(unit[some], unit[right])
+            hit_a, hit_b = np.nonzero(distance <= max_distance)
+            if low == high:
+                once = hit_a + start < hit_b
+                hit_a, hit_b = hit_a[once], hit_b[once]
+            if not len(hit_a):
+                continue
+            apart = distance[hit_a, hit_b]
+            i, j = some[hit_a], right[hit_b]
+            apart[vector[i] == vector[j]] = 0.0
+            for hit, at_a, at_b in _spread_hits(sizes[i], sizes[j]):
+                a, b = first[i[hit]] + at_a, first[j[hit]] + at_b
+                fit = (store[a] != store[b]) & (store[a] >= 0) & (store[b] >= 0)
+                a, b, hit = a[fit], b[fit], hit[fit]
+                turned = store[a] > store[b]
+                a, b = np.where(turned, b, a), np.where(turned, a, b)
+                if len(a):
+                    yield shown(every, a, b, apart[hit])
+
+    return placed.groupBy("low", "high").applyInArrow(compare, schema), rows
+
+
+def _within(rows: DataFrame) -> DataFrame:
+    """(a, b): pairs of members from different stores that one row lists, smaller store first."""
+    first = rows.where(F.size("held") > 1).select("held", F.posexplode("held").alias("at", "a"))
+    both = first.select("a", F.explode(F.slice("held", F.col("at") + 2, F.size("held"))).alias("b"))
+    turned = F.col("a.store_id") > F.col("b.store_id")
+    return both.where("a.store_id <> b.store_id").select(
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b")
+    )
+
+
+def _directed(members: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Members with a vector that has a direction, and the others, None if there are none. The latter match their own copies alone."""
+    lost = members.where(F.isnan(F.get("unit", 0)))
+    return members.where(~F.isnan(F.get("unit", 0))), None if lost.isEmpty() else lost
+
+
+_PAIR_COLUMNS = ["store_id", "review_id", "shill_score"]
+
+
+def similar_pairs(
+    members: DataFrame,
+    max_distance: float = STORE_PAIR_DISTANCE_THRESHOLD,
+    block_rows: int = BLOCK_ROWS,
+    chunk_rows: int = HELD_ROWS,
+) -> DataFrame:
+    """``collision_pairs`` of ``similar_vectors``, which are never listed: every pair is written where it is found."""
+    names = [f"{c}_{s}" for c in _PAIR_COLUMNS for s in "ab"]
+    kinds = {c: members.schema[c].dataType.simpleString() for c in _PAIR_COLUMNS}
+    schema = ", ".join([*(f"{n} {kinds[n[:-2]]}" for n in names), "cosine_distance double"])
+
+    def shown(every: pa.StructArray, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> pa.RecordBatch:
+        of = {"a": pa.array(a), "b": pa.array(b)}
+        columns = [every.field(n[:-2]).take(of[n[-1]]) for n in names]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(apart)], names=[*names, "cosine_distance"])
+
+    usable, lost = _directed(members.select("member_group", "unit", *_PAIR_COLUMNS))
+    across, rows = _member_pairs(usable, _PAIR_COLUMNS, "review_id", max_distance, block_rows, chunk_rows, shown, schema)
+    within = _within(rows).select(*[F.col(f"{n[-1]}.{n[:-2]}").alias(n) for n in names], F.lit(0.0).alias("cosine_distance"))
+    found = across.unionByName(within).select(
+        "store_id_a", "store_id_b", "review_id_a", "review_id_b", F.lit(None).cast("string").alias("template_id"),
+        "cosine_distance", "shill_score_a", "shill_score_b", F.lit("embedding").alias("pair_type"),
+    )
+    if lost is None:
+        return found
+    copies = same_group(lost).withColumn("cosine_distance", F.lit(0.0))
+    return found.unionByName(collision_pairs(lost, copies, "embedding"))
+
+
+def similar_store_counts(
+    members: DataFrame,
+    max_distance: float = STORE_PAIR_DISTANCE_THRESHOLD,
+    block_rows: int = BLOCK_ROWS,
+    chunk_rows: int = HELD_ROWS,
+) -> DataFrame:
+    """``store_pair_counts`` of ``similar_vectors``: pairs are counted by stores where matches are found."""
+    schema = "store_id_a string, store_id_b string, n_pairs long"
+
+    def shown(every: pa.StructArray, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> pa.RecordBatch:
+        n = every.field("n").to_numpy()
+        ids = every.field("store_id").dictionary_encode()
+        code = ids.indices.fill_null(0).to_numpy().astype(np.int64)
+        both, place = np.unique(code[a] * len(ids.dictionary) + code[b], return_inverse=True)
+        total = np.zeros(len(both), dtype=np.int64)
+        np.add.at(total, place, n[a] * n[b])
+        sides = [ids.dictionary.take(pa.array(x)) for x in np.divmod(both, len(ids.dictionary))]
+        return pa.RecordBatch.from_arrays([*sides, pa.array(total)], names=["store_id_a", "store_id_b", "n_pairs"])
+
+    usable, lost = _directed(members)
+    counts = usable.groupBy("member_group", "store_id").agg(F.count("*").alias("n"), F.first("unit").alias("unit"))
+    across, rows = _member_pairs(counts, ["store_id", "n"], "store_id", max_distance, block_rows, chunk_rows, shown, schema)
+    within = _within(rows).select(F.col("a.store_id").alias("store_id_a"), F.col("b.store_id").alias("store_id_b"), (F.col("a.n") * F.col("b.n")).alias("n_pairs"))
+    found = across.unionByName(within)
+    if lost is not None:
+        found = found.unionByName(store_pair_counts(lost, same_group(lost), "embedding").select("store_id_a", "store_id_b", "n_pairs"))
+    return found.groupBy("store_id_a", "store_id_b", F.lit(None).cast("string").alias("template_id")).agg(
+        F.sum("n_pairs").alias("n_pairs")
+    ).withColumn("pair_type", F.lit("embedding"))
+
+
 # -- pairing -----------------------------------------------------------------
 
 
@@ -295,7 +455,7 @@ def semantic_collisions(
     require_same_run: bool = True,
 ) -> DataFrame:
     members = durable(semantic_members(stage2, vectors, assessments, run_id, model, require_same_run))
-    return collision_pairs(members, similar_vectors(members, max_distance), "embedding")
+    return similar_pairs(members, max_distance)
 
 
 # -- edges -------------------------------------------------------------------

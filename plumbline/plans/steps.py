@@ -232,14 +232,13 @@ def run_analyze(
             collisions.semantic_members(stage2, store.current("review_vectors"), assessments, run_id, model)
         )
         template_matches = collisions.same_group(by_template)
-        vector_matches = durable(collisions.similar_vectors(by_vector, pair_distance))
         pair_counts = collisions.store_pair_counts(by_template, template_matches, "template").unionByName(
-            collisions.store_pair_counts(by_vector, vector_matches, "embedding")
+            collisions.similar_store_counts(by_vector, pair_distance)
         )
         store.write_run("pair_counts", pair_counts, run_id)
         if list_pairs:
             pairs = collisions.collision_pairs(by_template, template_matches, "template").unionByName(
-                collisions.collision_pairs(by_vector, vector_matches, "embedding")
+                collisions.similar_pairs(by_vector, pair_distance)
             )
             store.write_run("collision_pairs", pairs, run_id)
         store.write_run("edges", collisions.edges_from_counts(store.read_run("pair_counts", run_id)), run_id)

@@ -97,6 +97,34 @@ def test_similar_vectors_are_exact(spark, block_rows):
     assert {(r.src_store_id, r.dst_store_id): r.weight for r in X.edges_from_counts(counted).collect()} == dict(weight)
 
 
+@pytest.mark.parametrize("block_rows", [4096, 16])
+def test_pairs_where_matches_are_found_equal_listed_matches(spark, block_rows):
+    """Many copies of one vector, vectors without direction, reviews without score or store."""
+    rng = np.random.default_rng(3)
+    matrix = np.concatenate([clustered(rng), np.repeat(rng.normal(size=(1, 12)), 40, axis=0), np.zeros((9, 12))])
+    rows = [(f"v{i:03d}", f"s{i * 7 % 5}" if i % 31 else None, i if i % 3 else None, [float(x) for x in row]) for i, row in enumerate(matrix)]
+    members = spark.createDataFrame(rows, "review_id string, store_id string, shill_score long, embedding array<double>").select(
+        "store_id", "review_id", "shill_score", V.keyed_unit("embedding").alias("v")
+    ).selectExpr("v.vector_key AS member_group", "store_id", "review_id", "shill_score", "v.unit AS unit").cache()
+    matches = X.similar_vectors(members, 0.2)
+    shown = lambda df: sorted(tuple("" if x is None else round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+    listed, found = X.collision_pairs(members, matches, "embedding"), X.similar_pairs(members, 0.2, block_rows, chunk_rows=4)
+    assert found.columns == listed.columns and found.dtypes == listed.dtypes
+    assert shown(found) == shown(listed) and any(r.cosine_distance == 0 for r in found.collect())
+    counted, there = X.store_pair_counts(members, matches, "embedding"), X.similar_store_counts(members, 0.2, block_rows, chunk_rows=2)
+    assert there.columns == counted.columns and shown(there) == shown(counted)
+
+
+def test_found_pairs_are_not_shuffled(spark):
+    rows = [("r", f"v{i}", f"s{i % 4}", [1.0, i / 50]) for i in range(50)]
+    df = spark.createDataFrame(rows, "pipeline_run_id string, review_id string, store_id string, embedding array<double>")
+    vectors = df.withColumns({"embedding_model": F.lit("m"), "status": F.lit("ok")}).drop("store_id")
+    found = X.semantic_collisions(df.drop("embedding"), vectors, df.select("pipeline_run_id", "review_id", F.lit(80).alias("shill_score")), "r", "m")
+    plan = found._jdf.queryExecution().executedPlan().toString().split("FlatMapGroupsInArrow")
+    assert len(plan) > 1 and "Exchange" not in plan[0] and "Join" not in plan[0]
+    assert found.count() > 500
+
+
 def test_far_blocks_are_skipped(spark):
     """Clusters at right angles: only blocks of the same cluster are compared."""
     rng = np.random.default_rng(2)
