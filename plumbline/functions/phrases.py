@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from plumbline.constants import WHITESPACE
+from plumbline.functions.slices import values
 
 
 INTERVALS = "array<struct<start:int,end:int>>"
@@ -66,7 +67,7 @@ def stripped_length(texts: Column, phrases: list[str]) -> Column:
         finder = finder_of(folded)
         for batch in batches:
             lengths = []
-            for text in batch.to_pylist():
+            for text in values(batch):
                 if text is None:
                     lengths.append(None)
                     continue
@@ -89,7 +90,7 @@ def intervals(texts: Column, phrases: list[str]) -> Column:
         finder = finder_of(folded)
         for batch in batches:
             rows = []
-            for text in batch.to_pylist():
+            for text in values(batch):
                 longest: dict[int, int] = {}
                 for end, size in finder.iter(fold(text)) if text is not None and folded else ():
                     longest[end + 1 - size] = max(longest.get(end + 1 - size, 0), end + 1)
@@ -105,7 +106,7 @@ def length_without(texts: Column, found: Column) -> Column:
     @F.arrow_udf("long")
     def left_over(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text_batch, found_batch in batches:
-            rows = zip(text_batch.to_pylist(), found_batch.to_pylist(), strict=True)
+            rows = zip(values(text_batch), values(found_batch), strict=True)
             yield pa.array([None if t is None else left_of(t, [(x["start"], x["end"]) for x in hits or ()]) for t, hits in rows], pa.int64())
 
     return left_over.asNondeterministic()(texts, found)

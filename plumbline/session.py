@@ -23,6 +23,8 @@ SESSION_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+ARROW_BATCH_BYTES = 4 << 20
+
 
 def build_session(app: str = "plumbline", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -34,10 +36,12 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: str
 
 
 def pin_runtime(spark: SparkSession) -> SparkSession:
-    """Set the result-relevant options on a session somebody else built, and send
-    this package to its workers."""
+    """Set the result-relevant options and the size of Arrow batches on a session
+    somebody else built, and send this package to its workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    # Rows of texts and pages are long: a batch for Python is bounded by bytes long before it is by rows.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     _ship_package(spark)
     return spark
 

@@ -104,3 +104,17 @@ def test_blocks_of_phrases_equal_one_automaton(spark):
     assert plan.count("Join") == 1 and "Union" in plan
     assert key(many) == key(one) and any(n not in (-1, 0) for _, _, n in key(one))
     assert layer1.l1_filter(reviews, phrases, min_chars=1).count() > 0
+
+
+def test_texts_are_made_a_slice_at_a_time(spark):
+    """Python holds a bounded part of a batch, and a batch is bounded by bytes."""
+    import pyarrow as pa
+
+    from plumbline.functions.slices import slices, values
+
+    texts = pa.array(["x" * 1000, None, ""] * 400)
+    parts = list(slices(texts, 20_000))
+    assert max(p.nbytes for p in parts) < 40_000 and pa.concat_arrays(parts) == texts
+    assert list(values(texts, 20_000)) == texts.to_pylist() and list(slices(texts.slice(0, 0))) == []
+    assert all(len(p) == 1 for p in slices(pa.array(["y" * 100] * 3), 10))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 8 << 20
