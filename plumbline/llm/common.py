@@ -60,6 +60,13 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return pc.fill_null(column, "").to_pylist()
 
 
+def give_back() -> None:
+    """Give memory that is free in this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only this C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, and at the end of each task what it has freed goes back to the system, not to the reused worker."""
 
@@ -68,9 +75,7 @@ def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
             yield from run(batches)
         finally:
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # only this C library has it
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
 
     return tidied
 

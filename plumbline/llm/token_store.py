@@ -21,19 +21,21 @@ from __future__ import annotations
 
 import functools
 import itertools
-import string
+import json
+import re
 import struct
+import unicodedata
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.llm import common
-from plumbline.llm.bpe_transducer import Recent, Words
 from plumbline.llm.words import mix
 
 MAGIC = b"TOK1"
@@ -45,93 +47,254 @@ BUCKET_KEYS = 32_768
 END_ID = 2
 #: Bits of a level for each key left.
 GAMMA = 2
-MOST_WORDS = 200_000
+#: Bytes of the words, and of the pieces, kept with their ids by each worker.
+KNOWN_BYTES = 8 << 20
 #: Bytes of text encoded at a time.
-TEXT_SLICE = 1 << 19
+TEXT_SLICE = 2 << 20
+#: Words of code points below it are cut to pieces here: Latin letters, digits, marks, controls. The first whose first
+#: byte is C9.
+PLAIN = 0x240
 PAYLOAD = "shard int, block int, rows int, keys array<long>, data binary"
 
 
-class Encoder:
-    """A vocabulary of the tokenizers library. Words met before are remembered with their ids, see ``Words``.
+def _classes() -> tuple[str, str, str]:
+    """White space, letters and numbers among the code points below ``PLAIN``, as they stand in a pattern."""
+    kinds = [unicodedata.category(chr(c))[0] for c in range(PLAIN)]
+    letters, numbers = ("".join(chr(c) for c in range(PLAIN) if kinds[c] == kind) for kind in "LN")
+    return "\\t-\\r \x85\xa0", letters, numbers
+
+
+def _split_plain() -> re.Pattern:
+    """The split pattern of ``ByteLevel`` for texts of code points below ``PLAIN``."""
+    space, letters, numbers = _classes()
+    return re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
+def _byte_letters() -> str:
+    """The letter by which byte-level vocabularies write each byte. FF, which no text holds, is a line break here."""
+    out, others = [], 256
+    for byte in range(256):
+        own = 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174
+        out.append(chr(byte if own else others))
+        others += not own
+    out[255] = "\n"
+    return "".join(out)
+
+
+SPLIT, LETTERS, NOT_PLAIN = _split_plain(), _byte_letters(), re.compile(f"[^\\x00-{chr(PLAIN - 1)}]")
+
+#: Ids of several strings one behind the other, and how many each has.
+Ids = tuple[np.ndarray, np.ndarray]
+
+
+def pick(ids: Ids, which: np.ndarray) -> Ids:
+    """Those of the strings ``which``, in that order."""
+    flat, sizes = ids
+    n = sizes[which]
+    begins, ends = (np.cumsum(sizes) - sizes)[which], np.cumsum(n)
+    return flat[np.repeat(begins - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)], n
+
+
+def behind(*several: Ids) -> Ids:
+    return np.concatenate([flat for flat, _ in several]), np.concatenate([sizes for _, sizes in several])
+
 
-    Words of several texts that are new are encoded by one call, each on a line of its own: a single line break behind a
-    word is a token of its own, so the ids between line breaks are those of the words. Texts that hold an added token of
-    the vocabulary, as ``<|endoftext|>`` is, are given to the library whole: it makes one id of it, also inside a word.
+class Known:
+    """Ids of strings met before, in flat arrays. Beyond ``most`` bytes the half that was not used of late is dropped."""
+
+    def __init__(self, most: int, kind: str):
+        self.most, self.turn, self.keys = most, 0, pa.array([], pa.string())
+        self.ids, self.used = (np.zeros(0, kind), np.zeros(0, np.int64)), np.zeros(0, np.int64)
+
+    def look_up(self, keys: pa.Array, encode: Callable[[pa.Array], Ids]) -> Ids:
+        """Ids of distinct ``keys``; those not met before are encoded and kept."""
+        self.turn += 1
+        place = pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            made = keys.take(pa.array(new))
+            place[new] = len(self.keys) + np.arange(len(new))
+            self.ids, self.keys = behind(self.ids, encode(made)), pa.concat_arrays([self.keys, made])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+        self.used[place] = self.turn
+        out = pick(self.ids, place)
+        if self.keys.nbytes + self.ids[0].nbytes > self.most:
+            kept = np.flatnonzero(self.used > np.median(self.used))
+            self.ids, self.keys, self.used = pick(self.ids, kept), self.keys.take(pa.array(kept)), self.used[kept]
+        return out
+
+
+class Encoder:
+    """A vocabulary of the tokenizers library. Words and pieces met before are remembered with their ids.
+
+    Texts are cut before single spaces, where no piece of the split pattern goes on. Only words not met before are cut
+    to pieces, and only pieces not met before are given to the library's model, many in one call and without the passes
+    of its pattern. Words are cut here if all their characters are below ``PLAIN``, whose classes no version of Unicode
+    changes; other words go through the library's own pattern, a line each: a single line break behind a word is a token
+    of its own, so the ids between line breaks are those of the words. Texts that hold an added token of the vocabulary,
+    as ``<|endoftext|>`` is, are given to the library whole: it makes one id of it, also inside a word. So are all texts
+    if the file asks for more than byte-level pieces (normalizers, other patterns, truncation).
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.added = [token.content for token in self.library.get_added_tokens_decoder().values() if token.content]
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.words = Words(self._ids, MOST_WORDS)
-        self.stems, self.marks = Recent(MOST_WORDS), Recent(MOST_WORDS // 8)
-        self.line_break = self.library.encode("\n", add_special_tokens=False).ids[0]
-        self.break_ids = self._ids("\n")
-
-    def _ids(self, run: str) -> bytes:
-        return np.array(self.library.encode(run, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        whole = {i: self._ids(text) for i, text in enumerate(texts) if any(token in text for token in self.added)}
-        if whole:
-            rest = iter(self._encode_words([text for i, text in enumerate(texts) if i not in whole]))
-            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
-        return self._encode_words(texts)
-
-    def _encode_words(self, texts: list[str]) -> list[bytes]:
-        parts, known, stems = [text.split(" ") for text in texts], self.words.known, self.stems
-        asked, made_of, none, marks_ = {}, [], [], string.punctuation
-
-        def piece(word: str, lead: str) -> tuple[str, str, bytes | None]:
-            """What is looked up, the marks behind it, and its ids. Letters and marks are split by the pattern anyway."""
-            stem = word.rstrip(string.punctuation)
-            if not stem.isalpha():
-                asked[lead + word] = None
-                return lead + word, "", None
-            key = lead + stem
-            ids = stems.get(key) or stems.old(key)
-            if ids is None:
-                asked[key] = None
-            return key, word[len(stem) :], ids
-
-        table: dict[str, bytes] = {}
-        for word in set(itertools.chain.from_iterable(parts)):
-            ids = known.get(word) or known.old(word)
-            if ids is not None:
-                table[word] = ids
-                continue
-            stem = word.rstrip(marks_)
-            if stem.isalpha() and (ids := stems.get(" " + stem)) is not None:  # by far the most
-                if len(word) > len(stem):
-                    tail = self.marks.get(word[len(stem) :])
-                    ids += tail if tail is not None else self.marks.put(word[len(stem) :], self._ids(word[len(stem) :]))
-                table[word] = known.put(word, ids)
-                continue
-            first, *rest = word.split("\n") if "\n" in word else (word,)
-            if all(line.split() == [line] for line in rest or none) and first.split() == [first]:
-                made_of.append((word, [piece(first, " "), *(piece(line, "") for line in rest)]))
-        if asked:
-            ids = np.array(self.library.encode_batch_fast(["\n".join(asked)], add_special_tokens=False)[0].ids, f"<u{self.width}")
-            ends = [*np.flatnonzero(ids == self.line_break).tolist(), len(ids)]
-            data, begin, w = ids.tobytes(), 0, self.width
-            for key, end in zip(asked, ends, strict=True):
-                asked[key] = data[begin * w : end * w]
-                begin = end + 1
-        for word, pieces in made_of:
-            out = []
-            for key, marks, ids in pieces:
-                if ids is None:
-                    ids = asked[key]
-                    if marks or key[-1].isalpha():
-                        stems.put(key, ids)
-                if marks:
-                    tail = self.marks.get(marks)
-                    ids += tail if tail is not None else self.marks.put(marks, self._ids(marks))
-                out.append(ids)
-            table[word] = known.put(word, out[0] if len(out) == 1 else self.break_ids.join(out))
-        return [self.words.encode_parts(p, table) for p in parts]
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.byte_level = is_byte_level(path) and all(letter in vocabulary for letter in pre_tokenizers.ByteLevel.alphabet())
+        self.model = Tokenizer(self.library.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
+        self.words, self.pieces = (Known(KNOWN_BYTES, f"<u{self.width}") for _ in range(2))
+        self.line_break = vocabulary.get(LETTERS[10])
+
+    def _array(self, ids: list[int]) -> np.ndarray:
+        return np.array(ids, f"<u{self.width}")
+
+    def _whole(self, text: str) -> np.ndarray:
+        return self._array(self.library.encode(text, add_special_tokens=False).ids)
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """The ids of each text of a string column; null is empty."""
+        column = pc.fill_null(column, "")
+        whole = np.full(len(column), not self.byte_level)
+        for token in self.added:
+            whole |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        out = self._texts(pc.if_else(pa.array(whole), "", column) if whole.any() else column)
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = self._whole(column[i].as_py()).tobytes()
+        return out
+
+    def _texts(self, column: pa.Array) -> list[bytes]:
+        cut = pc.split_pattern(column, " ")
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64))
+        coded = cut.flatten().dictionary_encode()
+        words, which = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        goes_on = _goes_on(words)
+        closed = np.flatnonzero(~goes_on)
+        flat, n = self.words.look_up(words.take(pa.array(closed)), self._words)
+        sizes = np.zeros(len(words), np.int64)
+        sizes[closed] = n
+        # A part that is empty or ends with white space makes one run with the parts behind it. The first part of a
+        # text has no space before it.
+        begins = goes_on[which]
+        joined = begins.copy()
+        joined[ends - 1] = False
+        begins[ends[:-1]] = begins[:1] = True
+        begins[1:] &= ~joined[:-1]
+        at, lasts = np.flatnonzero(begins), np.flatnonzero(~joined)
+        n_parts = lasts[np.searchsorted(lasts, at)] + 1 - at
+        inside = np.repeat(at - np.cumsum(n_parts) + n_parts, n_parts) + np.arange(n_parts.sum())
+        parts, first = iter(words.take(pa.array(which[inside])).to_pylist()), set(ends.tolist()) | {0}
+        runs = ["" if i in first else " " for i in at.tolist()]
+        runs = [lead + " ".join(itertools.islice(parts, k)) for lead, k in zip(runs, n_parts.tolist(), strict=True)]
+        numbers = {run: i for i, run in enumerate(dict.fromkeys(runs))}
+        which[inside] = len(words) + len(numbers)
+        which[at] = [len(words) + numbers[run] for run in runs]
+        ids = behind((flat, sizes), self._runs(list(numbers)), (self._array([]), np.zeros(1, np.int64)))
+        flat, n = pick(ids, which)
+        return _cut(flat, np.cumsum(n)[ends - 1] if len(ends) else ends)
+
+    def _runs(self, runs: list[str]) -> Ids:
+        """Ids of stretches of text."""
+        plain = [i for i, run in enumerate(runs) if not NOT_PLAIN.search(run)]
+        others = [i for i, run in enumerate(runs) if NOT_PLAIN.search(run)]
+        cut = [SPLIT.findall(runs[i]) for i in plain]
+        made = [self._whole(runs[i]) for i in others]
+        flat, sizes = self._cut_to(list(itertools.chain.from_iterable(cut)), np.cumsum([len(pieces) for pieces in cut], dtype=np.int64))
+        ids = behind((flat, sizes), (np.concatenate([self._array([]), *made]), np.array([len(m) for m in made], np.int64)))
+        return pick(ids, np.argsort(plain + others))
+
+    def _words(self, words: pa.Array) -> Ids:
+        """Ids of words behind a space each; none ends with white space. Plain ones are cut by one pass of the pattern."""
+        is_plain = _is_plain(words)
+        plain, others = np.flatnonzero(is_plain), np.flatnonzero(~is_plain)
+        ids = self._array([]), np.zeros(0, np.int64)
+        if len(plain):
+            asked = words.take(pa.array(plain))
+            pieces = SPLIT.findall(" " + _join(asked, " "))
+            reached = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            ids = self._cut_to(pieces, np.searchsorted(reached, np.cumsum(pc.utf8_length(asked).to_numpy() + 1, dtype=np.int64)) + 1)
+        lines, spaced = [], []
+        for i, word in zip(others.tolist(), words.take(pa.array(others)).to_pylist(), strict=True):
+            (lines if word.split() == [word] else spaced).append((i, word))
+        made = [self._whole(" " + word) for _, word in spaced]
+        ids = behind(ids, self._lines([word for _, word in lines]), (np.concatenate([self._array([]), *made]), np.array([len(m) for m in made], np.int64)))
+        return pick(ids, np.argsort(np.concatenate([plain, [i for i, _ in lines + spaced]]).astype(np.int64)))
+
+    def _cut_to(self, pieces: list[str], ends: np.ndarray) -> Ids:
+        """Ids of strings that are cut to ``pieces``, each up to its place in ``ends``."""
+        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        flat, n = pick(self.pieces.look_up(coded.dictionary, self._pieces), coded.indices.to_numpy())
+        return flat, np.diff(np.concatenate([[0], np.cumsum(n)])[ends], prepend=0)
+
+    def _pieces(self, pieces: pa.Array) -> Ids:
+        """Ids of pieces by the model alone. Tokens have as many bytes as what they stand for, which tells the ends."""
+        asked = _join(pieces.cast(pa.binary()), b"\xff").decode("latin-1").translate(LETTERS)
+        ids = self._array(self.model.encode_batch_fast([asked], add_special_tokens=False)[0].ids)
+        reached, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(pc.binary_length(pieces).to_numpy().astype(np.int64))
+        places = np.searchsorted(reached, ends)
+        if reached[-1] != ends[-1] or (reached[places] != ends).any():
+            raise ValueError("the vocabulary is not one of bytes")
+        return ids, np.diff(places + 1, prepend=0)
+
+    def _lines(self, words: list[str]) -> Ids:
+        """Ids of words without white space, behind a space each, through the library's own pattern."""
+        if not words:
+            return self._array([]), np.zeros(0, np.int64)
+        ids = self._array(self.library.encode_batch_fast([" " + "\n ".join(words) + "\n"], add_special_tokens=False)[0].ids)
+        return ids[ids != self.line_break], np.diff(np.flatnonzero(ids == self.line_break), prepend=-1) - 1
+
+
+def _join(strings: pa.Array, between: str | bytes) -> str | bytes:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings), between)[0].as_py()
+
+
+def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a string array and the end of each string in them."""
+    lengths = pc.binary_length(words).to_numpy().astype(np.int64)
+    ends, begin = np.cumsum(lengths), np.frombuffer(words.buffers()[1], np.int32, 1, 4 * words.offset)[0] if len(words) else 0
+    total = int(ends[-1]) if len(words) else 0
+    return (np.frombuffer(words.buffers()[2], np.uint8, total, begin) if total else np.zeros(0, np.uint8)), ends
+
+
+def _goes_on(words: pa.Array) -> np.ndarray:
+    """Whether a word is empty or ends with white space."""
+    data, ends = _bytes(words)
+    last = np.where(np.diff(ends, prepend=0) > 0, np.append(data, np.uint8(32))[ends - 1], 32)
+    out = last <= 32
+    wide = np.flatnonzero(last >= 128)
+    out[wide] = [word[-1].isspace() for word in words.take(pa.array(wide)).to_pylist()]
+    return out
+
+
+def _is_plain(words: pa.Array) -> np.ndarray:
+    """Whether all characters of a word are below ``PLAIN``, so that none begins with a byte as high as its first."""
+    data, ends = _bytes(words)
+    high = np.concatenate([[0], np.cumsum(data >= chr(PLAIN).encode()[0])])[ends]
+    return np.diff(high, prepend=0) == 0
+
+
+def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    data, w = ids.tobytes(), ids.itemsize
+    return [data[begin:end] for begin, end in itertools.pairwise([0, *(w * ends).tolist()])]
+
+
+def is_byte_level(path: str) -> bool:
+    """Whether the ids of a text are those of the pieces of the byte-level pattern, one behind the other."""
+    with open(path, encoding="utf-8") as file:
+        state = json.load(file)
+    cutter, model = state.get("pre_tokenizer") or {}, state["model"]
+    return (
+        not any(state.get(name) for name in ("normalizer", "truncation", "padding"))
+        and (cutter.get("type"), cutter.get("add_prefix_space"), cutter.get("use_regex", True)) == ("ByteLevel", False, True)
+        and (model.get("type"), model.get("dropout") or None) == ("BPE", None)
+        and not any(model.get(name) for name in ("continuing_subword_prefix", "end_of_word_suffix"))
+    )
 
 
 @functools.lru_cache(maxsize=1)
@@ -268,7 +431,7 @@ def write(docs: DataFrame, path: str, folder: str, *, id_col: str = "doc_id", te
             )
 
         for batch in batches:
-            encoded_texts = (ids for b, e in common.slices(batch.column(2), TEXT_SLICE) for ids in own.encode_many(common.texts(batch.column(2).slice(b, e - b))))
+            encoded_texts = (ids for b, e in common.slices(batch.column(2), TEXT_SLICE) for ids in own.encode(batch.column(2).slice(b, e - b)))
             for part, key, ids_of_text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoded_texts, strict=True):
                 encoded = ids_of_text + end
                 if keys and (part != shard or size + len(encoded) > BLOCK_BYTES):
@@ -279,6 +442,7 @@ def write(docs: DataFrame, path: str, folder: str, *, id_col: str = "doc_id", te
                 counts.append(len(encoded) // own.width)
                 ids.append(encoded)
                 size += len(encoded)
+            common.give_back()
         if keys:
             yield out()
 

@@ -7,12 +7,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from plumbline.llm import token_store
 from plumbline.llm.common import shared_folder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
 
 
 def documents():
@@ -58,3 +60,44 @@ def test_hash_is_minimal_and_perfect():
     hashed = token_store.key_hash(keys)
     levels = token_store.build_levels(hashed)
     assert sorted(token_store.number_of(hashed, levels).tolist()) == list(range(len(keys)))
+
+
+def library_ids(text):
+    return np.array(LIBRARY.encode(text or "", add_special_tokens=False).ids, "<u2").tobytes()
+
+
+def test_plain_words_pass_the_model_once_and_never_the_pattern_of_the_library():
+    own, asked = token_store.Encoder(PATH), []
+    expected = [library_ids(text) for text in ("the theatre, théâtre.\n\nthe", "theatre's  2 théâtre ", "")]
+    model = own._pieces
+    own._pieces = lambda pieces: asked.extend(pieces.to_pylist()) or model(pieces)
+    own.library = None
+    for _ in range(2):
+        assert own.encode(pa.array(["the theatre, théâtre.\n\nthe", "theatre's  2 théâtre ", None])) == expected
+    assert sorted(asked) == sorted({"the", " the", " theatre", ",", " théâtre", ".", "\n", "theatre", "'s", " ", " 2"})
+
+
+def test_every_low_character_is_cut_as_the_library_cuts_it():
+    own = token_store.Encoder(PATH)
+    texts = [a + chr(c) + b for c in range(0x300) for a in ("", "a", "a ", "'", "1") for b in ("", "a", " b", "s", "\n", "  x")]
+    for text, got in zip(texts, own.encode(pa.array(texts)), strict=True):
+        assert got == library_ids(text), ascii(text)
+
+
+def test_a_full_table_of_words_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(token_store, "KNOWN_BYTES", 300)
+    own = token_store.Encoder(PATH)
+    texts = [text for _, text in documents()[:-1]] * 2
+    for begin in range(0, len(texts), 9):
+        part = texts[begin : begin + 9]
+        assert own.encode(pa.array(part, pa.string())) == [library_ids(text) for text in part]
+    assert own.words.keys.nbytes < 2000
+    assert own.encode(pa.array([], pa.string())) == []
+
+
+def test_other_kinds_of_files_go_to_the_library_whole():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library = token_store.Encoder(path), Tokenizer.from_file(path)
+    texts = ["The theatre, Théâtre.", "a  b\nc", ""]
+    got = [np.frombuffer(ids, f"<u{own.width}").tolist() for ids in own.encode(pa.array(texts))]
+    assert got == [library.encode(text, add_special_tokens=False).ids for text in texts]
