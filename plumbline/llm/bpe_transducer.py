@@ -2,12 +2,13 @@
 
 Rank files give every token the order in which its merge was learned. A sequence of tokens is what those merges make
 of its bytes exactly if every token and every two neighbours are what the merges make of their own bytes. So each
-prefix of a word has one last token, and a machine that reads bytes can follow, for each position at which a token
-may still begin, the tokens chosen up to there. ``Transducer`` runs that machine on sets of such positions: a state
-is the set of open positions (their trie nodes) with the tokens not yet certain. As soon as all open positions agree
-on a token it is emitted; open positions lie at most the longest token behind, so lookahead is bounded. States and
+prefix of a word has one last token, and a machine that reads bytes can find it from the positions at which a token
+may still begin. ``Transducer`` runs that machine on sets of such positions: a state is the set of open positions
+(their trie nodes), each with the token that ends where it begins. A state therefore tells the last token of what was
+read up to there; the ids of a word are those met on the way back from its end, a token's length at a time. States and
 transitions are made when first met and kept; beyond ``most_states`` they are dropped and made again, which bounds
 memory and changes no result. Transitions lie in flat integer arrays, and many words take their next step at once.
+Words and pieces met before are looked up (see ``piece_ids``), so only new pieces pass the machine.
 
 Ids are decoded in pieces of bounded size. ``Utf8Stream`` follows the bytes with a table of states, so that a character
 that is cut by the end of a piece waits for the rest.
@@ -28,19 +29,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import common
+from plumbline.llm.piece_ids import Ids, PieceIds, flat_bytes, join
 
-#: Words kept with their ids by each worker; beyond it the table starts anew.
-MOST_WORDS = 120_000
+#: Bytes of the words, and of the pieces, kept with their ids by each task.
+KNOWN_BYTES = 8 << 20
 MOST_STATES = 200_000
 #: Up to so many words that are still open walk on alone.
 FEW = 4
 #: Bytes of text encoded at a time; a longer text stands alone.
 TEXT_SLICE = 2 << 20
+#: Bytes of new pieces that pass the machine together; a longer piece stands alone.
+PIECE_BYTES = 1 << 19
 #: Ids decoded at a time.
 DECODE_IDS = 65_536
 
@@ -57,6 +62,8 @@ class Transducer:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.most_states = most_states
+        self.lengths = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+        self.lengths[list(ranks.values())] = list(map(len, ranks))
         self.made_of: dict[int, tuple[int, int] | None] = {}
         self.children: list[dict[int, int]] = [{}]
         self.token_at: list[int] = [-1]
@@ -73,16 +80,24 @@ class Transducer:
             self.token_at[node] = rank
         self.restart()
 
-    def restart(self) -> None:
-        start = ((0, (-1,)),)
-        self.states = [start]
-        self.numbers = {start: 0}
+    def restart(self, kept: np.ndarray | tuple = ()) -> np.ndarray:
+        """Drop all states but the start and those in ``kept``; their new numbers."""
+        open_ = [self.states[state] for state in kept]
+        self.states: list[tuple[int, ...]] = []
+        self.numbers: dict[tuple[int, ...], int] = {}
+        self.last = array("i")  # of each state, the token that ends there
         self.steps = Steps()
-        self.outputs = Outputs()  # of each step
-        self.ends = Outputs()  # of each state
-        self.ends.add(())
-        self.shared: dict[tuple, tuple] = {}
         self.pairs: dict[int, bool] = {}
+        self.number((0, -1))
+        return np.array([self.number(state) for state in open_], np.int64)
+
+    def number(self, state: tuple[int, ...]) -> int:
+        number = self.numbers.get(state)
+        if number is None:
+            number = self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.last.append(state[-1])
+        return number
 
     def last_merge(self, token: int) -> tuple[int, int] | None:
         """The two tokens that merging joins last into ``token``; None for single bytes and for tokens it never makes."""
@@ -110,161 +125,121 @@ class Transducer:
         joined if their merge comes before the merge undone last, that is, before one of them was made (of equal
         ranks, the one further left is made first).
         """
-        if left < 0:
-            return len(self.tokens[right]) == 1 or self.last_merge(right) is not None
-        known = self.pairs.get(left << 20 | right)
-        if known is not None:
-            return known
-        a, b, ranks, tokens = left, right, self.ranks, self.tokens
-        valid = (len(tokens[a]) == 1 or self.last_merge(a) is not None) and (len(tokens[b]) == 1 or self.last_merge(b) is not None)
-        until = len(ranks) + 1  # ranks below it would be merged while a and b touch
-        while valid:
-            joined = ranks.get(tokens[a] + tokens[b])
-            if joined is not None and joined < until:
-                valid = False
-                break
-            undo_left, undo_right = len(tokens[a]) > 1, len(tokens[b]) > 1
-            if undo_left and (not undo_right or a > b):
-                until, a = a, self.last_merge(a)[1]
-            elif undo_right:
-                until, b = b + 1, self.last_merge(b)[0]
+        ranks, tokens = self.ranks, self.tokens
+        a, b, right_of, left_of = tokens.get(left, b""), tokens[right], self.last_merge(left) if left >= 0 else None, self.last_merge(right)
+        if (len(a) > 1 and right_of is None) or (len(b) > 1 and left_of is None):
+            return False
+        until = len(self.lengths)  # ranks below it would be merged while a and b touch
+        while a:
+            if ranks.get(a + b, until) < until:
+                return False
+            if right_of is not None and (left_of is None or left > right):
+                until, left = left, right_of[1]
+                a, right_of = tokens[left], self.last_merge(left)
+            elif left_of is not None:
+                until, right = right + 1, left_of[0]
+                b, left_of = tokens[right], self.last_merge(right)
             else:
                 break
-        self.pairs[left << 20 | right] = valid
-        return valid
+        return True
 
     def step(self, state: int, byte: int) -> int:
-        """The state after ``byte``; what is emitted on the way is added to ``outputs``."""
-        nodes, chains, chosen = [], [], None
-        children, token_at = self.children, self.token_at
-        for node, chain in self.states[state]:
-            following = children[node].get(byte)
-            if following is None:
+        """The state after ``byte``. A state is the trie node of each open position, the longest first, and behind each
+        node the token that ends where the position begins; the last position is the place reached."""
+        following, last = [], None
+        children, token_at, pairs = self.children, self.token_at, self.pairs
+        parts = iter(self.states[state])
+        for node, before in zip(parts, parts, strict=True):
+            child = children[node].get(byte)
+            if child is None:
                 continue
-            if chosen is None and (token := token_at[following]) >= 0 and self.neighbours(chain[-1], token):
-                chosen = (*chain, token)
-            if children[following]:
-                nodes.append(following)
-                chains.append(chain)
-        nodes.append(0)
-        chains.append(chosen)
-        certain, first, shortest = 0, chains[0], min(map(len, chains))
-        while certain + 1 < shortest and all(chain[certain + 1] == first[certain + 1] for chain in chains):
-            certain += 1
-        emitted = chosen[1 : certain + 1]
-        if certain + 1 < shortest:  # nothing can begin right after the last token emitted, so it doesn't matter
-            chains = [(-2, *chain[certain + 1 :]) for chain in chains]
-        elif certain:
-            chains = [chain[certain:] for chain in chains]
-        shared = self.shared  # states have most of their parts in common
-        following = tuple([shared.setdefault(part, part) for part in zip(nodes, chains, strict=True)])
-        number = self.numbers.get(following)
-        if number is None:
-            number = self.numbers[following] = len(self.states)
-            self.states.append(following)
-            self.ends.add(chains[-1][1:])
-        self.outputs.add(emitted)
-        return number
+            if last is None and (token := token_at[child]) >= 0:
+                valid = pairs.get(before << 20 | token)
+                if valid is None:
+                    valid = pairs[before << 20 | token] = self.neighbours(before, token)
+                if valid:
+                    last = token
+            if children[child]:
+                following += child, before
+        return self.number((*following, 0, last))
 
     def encode(self, word: bytes) -> list[int]:
         return self.encode_words(word, np.array([len(word)]))[1].tolist()
 
-    def encode_words(self, data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode_words(self, data: bytes | np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, all ids) of words that lie one behind the other in ``data``.
 
         All words that are not at their end take one step together. A long word walks on alone, byte by byte.
         """
-        if len(self.states) > self.most_states:
-            self.restart()
         read = np.frombuffer(data, np.uint8)
-        at = np.cumsum(lengths) - lengths
-        last = np.zeros(len(lengths), np.int64)
-        words, whose, which = np.flatnonzero(lengths), [], []
-        state, done = np.zeros(len(words), np.int64), 0
-        while len(words) > FEW:
-            step = self.follow(state << 8 | read[at[words] + done])
-            told = self.outputs.sizes()[step] > 0
-            whose.append(words[told])
-            which.append(step[told])
-            state, done = self.steps.state_of()[step].astype(np.int64), done + 1
-            last[words] = state
-            more = lengths[words] > done
-            words, state = words[more], state[more]
-        for word, now in zip(words.tolist(), state.tolist(), strict=True):
-            taken = []
-            for byte in data[at[word] + done : at[word] + lengths[word]]:
-                key = now << 8 | byte
-                step = self.steps.get(key)
-                if step < 0:
-                    step = int(self.follow(np.array([key]))[0])
-                now = self.steps.to[step]
-                if self.outputs.size[step]:
-                    taken.append(step)
-            last[word] = now
-            whose.append(np.full(len(taken), word))
-            which.append(np.array(taken, np.int64))
-        # Emissions in the order of their words, then of their steps; the end of a word comes last.
-        ends = np.flatnonzero(lengths)
-        steps, ids = self.outputs, self.ends
-        owner = np.concatenate([*whose, ends])
-        begin = np.concatenate([*(steps.begins()[w] for w in which), ids.begins()[last[ends]] + len(steps.ids)])
-        size = np.concatenate([*(steps.sizes()[w] for w in which), ids.sizes()[last[ends]]]).astype(np.int64)
-        order = np.argsort(owner, kind="stable")
-        begin, size = begin[order], size[order]
-        total = np.cumsum(size)
-        pool = np.concatenate([steps.pool(), ids.pool()])
-        place = np.repeat(begin - total + size, size) + np.arange(total[-1] if len(total) else 0)
-        counts = np.bincount(owner[order], weights=size, minlength=len(lengths)).astype(np.int64)
-        return counts, pool[place].astype("<u4")
+        ends = np.cumsum(lengths)
+        words = np.flatnonzero(lengths)
+        last = np.zeros(len(read), np.int32)  # token of the word's bytes up to each place
+        at, end, state = (ends - lengths)[words], ends[words], np.zeros(len(words), np.int64)
+        while len(at) > FEW:
+            if len(self.states) > self.most_states:
+                state = self.restart(state)
+            state = self.follow(state << 8 | read[at])
+            last[at] = _view(self.last, np.int32)[state]
+            at = at + 1
+            more = at < end
+            at, end, state = at[more], end[more], state[more]
+        reached = [self.states[number] for number in state.tolist()]
+        for place, to, now in zip(at.tolist(), end.tolist(), reached, strict=True):
+            last[place:to] = self._walk(self.number(now), read[place:to].tobytes())
+        # Back from the end of each word. A token is one of the word's if it is the last one where the next begins.
+        chosen = np.zeros(len(read), bool)
+        at, begin = ends[words] - 1, (ends - lengths)[words]
+        while len(at) > FEW:
+            chosen[at] = True
+            at = at - self.lengths[last[at]]
+            more = at >= begin
+            at, begin = at[more], begin[more]
+        for place, to in zip(at.tolist(), begin.tolist(), strict=True):
+            while place >= to:
+                chosen[place] = True
+                place -= self.lengths.item(last.item(place))
+        counts = np.diff(np.concatenate([[0], np.cumsum(chosen)])[ends], prepend=0)
+        return counts, last[chosen].astype("<u4")
+
+    def _walk(self, state: int, data: bytes) -> np.ndarray:
+        """The last token behind each byte of ``data``, read from ``state`` on."""
+        out = array("i")
+        for byte in data:
+            following = self.steps.get(state << 8 | byte)
+            if following < 0:
+                if len(self.states) > self.most_states:
+                    state = int(self.restart((state,))[0])
+                following = int(self.follow(np.array([state << 8 | byte]))[0])
+            state = following
+            out.append(self.last[state])
+        return np.array(out, np.int32)
 
     def follow(self, keys: np.ndarray) -> np.ndarray:
-        """Numbers of the steps for (state, byte) pairs; those never met are made."""
-        step = self.steps.find(keys)
-        new = np.flatnonzero(step < 0)
+        """The states after (state, byte) pairs; those never met are made."""
+        state = self.steps.find(keys)
+        new = np.flatnonzero(state < 0)
         if len(new):
-            made = np.unique(keys[new])
-            self.steps.add(made, [self.step(key >> 8, key & 255) for key in made.tolist()])
-            step[new] = self.steps.find(keys[new])
-        return step
+            made, which = np.unique(keys[new], return_inverse=True)
+            states = np.array([self.step(key >> 8, key & 255) for key in made.tolist()], np.int32)
+            self.steps.add(made, states)
+            state[new] = states[which]
+        return state
 
 
 def _view(numbers: array, kind: type) -> np.ndarray:
     return np.frombuffer(numbers, kind) if len(numbers) else np.zeros(0, kind)
 
 
-class Outputs:
-    """Short lists of token ids, in one flat array. Views are for use at once: the arrays must not grow meanwhile."""
-
-    def __init__(self):
-        self.ids, self.begin, self.size = array("i"), array("q"), array("i")
-
-    def add(self, ids: tuple[int, ...]) -> None:
-        self.begin.append(len(self.ids))
-        self.size.append(len(ids))
-        self.ids.extend(ids)
-
-    def pool(self) -> np.ndarray:
-        return _view(self.ids, np.int32)
-
-    def begins(self) -> np.ndarray:
-        return _view(self.begin, np.int64)
-
-    def sizes(self) -> np.ndarray:
-        return _view(self.size, np.int32)
-
-
 class Steps:
-    """Numbers of steps by (state, byte), in an open hash table of two integer arrays, at most half full."""
+    """States after (state, byte) pairs, in an open hash table of two integer arrays, at most half full."""
 
     def __init__(self):
-        self.to = array("i")
+        self.size = 0
         self._new_table(1 << 12)
 
-    def state_of(self) -> np.ndarray:
-        return _view(self.to, np.int32)
-
     def _new_table(self, size: int) -> None:
-        self.keys, self.numbers, self.mask = np.full(size, -1, np.int64), np.zeros(size, np.int32), size - 1
+        self.keys, self.to, self.mask = np.full(size, -1, np.int64), np.zeros(size, np.int32), size - 1
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys * 0x9E3779B1 >> 12) & self.mask
@@ -275,31 +250,29 @@ class Steps:
             if there < 0:
                 return -1
             slot = (slot + 1) & self.mask
-        return self.numbers.item(slot)
+        return self.to.item(slot)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         slot = self._slot(keys)
         there = self.keys[slot]
-        out = np.where(there == keys, self.numbers[slot], -1).astype(np.int64)
+        out = np.where(there == keys, self.to[slot], -1).astype(np.int64)
         open_ = np.flatnonzero((there != keys) & (there >= 0))
         while len(open_):
             slot[open_] = (slot[open_] + 1) & self.mask
             there = self.keys[slot[open_]]
             same = there == keys[open_]
-            out[open_[same]] = self.numbers[slot[open_[same]]]
+            out[open_[same]] = self.to[slot[open_[same]]]
             open_ = open_[~same & (there >= 0)]
         return out
 
-    def add(self, keys: np.ndarray, states: list[int]) -> None:
-        """Distinct new ``keys``, which get the next numbers."""
-        first = len(self.to)
-        self.to.extend(states)
-        numbers = np.arange(first, len(self.to))
-        if 2 * len(self.to) > len(self.keys):
+    def add(self, keys: np.ndarray, to: np.ndarray) -> None:
+        """Distinct new ``keys``."""
+        self.size += len(keys)
+        if 2 * self.size > len(self.keys):
             old = self.keys >= 0
-            keys, numbers = np.concatenate([self.keys[old], keys]), np.concatenate([self.numbers[old], numbers])
+            keys, to = np.concatenate([self.keys[old], keys]), np.concatenate([self.to[old], to])
             size = len(self.keys)
-            while size < 4 * len(self.to):
+            while size < 4 * self.size:
                 size *= 2
             self._new_table(size)
         slot = self._slot(keys)
@@ -307,47 +280,10 @@ class Steps:
             free = np.flatnonzero(self.keys[slot] < 0)
             _, one = np.unique(slot[free], return_index=True)
             won = free[one]
-            self.keys[slot[won]], self.numbers[slot[won]] = keys[won], numbers[won]
+            self.keys[slot[won]], self.to[slot[won]] = keys[won], to[won]
             rest = np.ones(len(keys), bool)
             rest[won] = False
-            keys, numbers, slot = keys[rest], numbers[rest], (slot[rest] + 1) & self.mask
-
-
-class Recent(dict):
-    """A table of at most about ``2 * most`` entries. Filled once, it keeps what is used again before the next time."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.older = most, {}
-
-    def put(self, key, value):
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-    def old(self, key):
-        value = self.older.get(key)
-        return None if value is None else self.put(key, value)
-
-
-def open_runs(parts: list[str], found: list[bytes | None]) -> Iterator[tuple[int, str]]:
-    """(place, run) of the stretches of a text without ids in ``found``. A part that is empty or ends with white space
-    may go on behind the next space, so it makes one run with the parts behind it, whose own places become empty."""
-    found[0], at = None, 0
-    while True:
-        try:
-            at = found.index(None, at)
-        except ValueError:
-            return
-        last = at
-        while last + 1 < len(parts) and (not parts[last] or parts[last][-1].isspace()):
-            last += 1
-        run = " ".join(parts[at : last + 1])
-        found[at + 1 : last + 1] = [b""] * (last - at)
-        yield at, " " + run if at else run
-        at = last + 1
+            keys, to, slot = keys[rest], to[rest], (slot[rest] + 1) & self.mask
 
 
 class Decoder:
@@ -413,63 +349,47 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-class Codec:
+class Codec(PieceIds):
     """One vocabulary with its split pattern: whole texts to ids (little-endian 32-bit) and back."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
+        super().__init__("<u4", KNOWN_BYTES)
         # Two names of one set; libraries differ in what the short ones mean for a few control characters.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.machine = Transducer(ranks)
-        self.known = Recent(MOST_WORDS)
         self.decoder = Decoder(ranks)
 
-    def _ids(self, pieces: list[str], counts: Iterable[int]) -> list[bytes]:
-        """Ids of runs that are cut to ``pieces``, so many each."""
-        data = [piece.encode() for piece in pieces]
-        sizes, ids = self.machine.encode_words(b"".join(data), np.fromiter(map(len, data), np.int64, len(data)))
-        ends = np.cumsum(np.fromiter(counts, np.int64))
-        places = (4 * np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])]).tolist()
-        whole = ids.tobytes()
-        return [whole[begin:end] for begin, end in itertools.pairwise(places)]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words behind a space, all cut by one pass of the pattern."""
-        pieces = self.split.findall(" " + " ".join(words))
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    def _pieces(self, pieces: pa.Array) -> Ids:
+        data, ends = flat_bytes(pieces)
+        sizes, made, begin, start = [], [self._array([])], 0, 0
+        while begin < len(ends):
+            end = max(begin + 1, int(np.searchsorted(ends, start + PIECE_BYTES, "right")))
+            n, ids = self.machine.encode_words(data[start : ends[end - 1]], np.diff(ends[begin:end], prepend=start))
+            sizes.append(n)
+            made.append(ids)
+            begin, start = end, int(ends[end - 1])
+        return np.concatenate(made), np.concatenate([np.zeros(0, np.int64), *sizes])
+
+    def _words(self, words: pa.Array) -> Ids:
+        if not len(words):
+            return self._array([]), np.zeros(0, np.int64)
+        pieces = self.split.findall(" " + join(words, " "))
+        ends = np.cumsum(pc.utf8_length(words).to_numpy().astype(np.int64) + 1)
         reached = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        return self._ids(pieces, np.diff(np.searchsorted(reached, ends, "right"), prepend=0))
+        return self._cut_to(pieces, np.searchsorted(reached, ends) + 1)
+
+    def _runs(self, runs: list[str]) -> Ids:
+        cut = [self.split.findall(run) for run in runs]
+        return self._cut_to(list(itertools.chain.from_iterable(cut)), np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts. Words between single spaces that were not met before are encoded together."""
-        parts, known = [text.split(" ") for text in texts], self.known
-        table, new = {}, []
-        for word in set(itertools.chain.from_iterable(parts)):
-            ids = known.get(word) or known.old(word)
-            if ids is not None:
-                table[word] = ids
-            elif word and not word[-1].isspace():  # the others belong to longer runs
-                new.append(word)
-        if new:
-            for word, ids in zip(new, self._words(new), strict=True):
-                table[word] = known.put(word, ids)
-        founds, open_, places = [list(map(table.get, p)) for p in parts], [], []
-        for part, found in zip(parts, founds, strict=True):
-            for at, run in open_runs(part, found):
-                open_.append(self.split.findall(run))
-                places.append((found, at))
-        ids_of = self._ids(list(itertools.chain.from_iterable(open_)), map(len, open_))
-        for (found, at), ids in zip(places, ids_of, strict=True):
-            found[at] = ids
-        return [b"".join(found) for found in founds]
-
-    def forget(self) -> None:
-        """Drop the words, which fill again soon."""
-        self.known = Recent(MOST_WORDS)
+        """Ids of whole texts."""
+        return self.of_texts(pa.array(texts, pa.string()))
 
     def decode_stream(self, ids: bytes) -> Iterator[bytes]:
         numbers = np.frombuffer(ids, "<u4")
@@ -500,7 +420,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
         for batch in batches:
             for begin, end in common.slices(batch.column(1), TEXT_SLICE):
                 part = batch.slice(begin, end - begin)
-                ids = pa.array(own.encode_many(common.texts(part.column(1))), pa.binary())
+                ids = pa.array(own.of_texts(pc.fill_null(part.column(1), "")), pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
         del own
         codec.cache_clear()
@@ -542,7 +462,7 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
             for begin, end in common.slices(batch.column(1), TEXT_SLICE):
                 part = batch.slice(begin, end - begin)
                 counts, shas, back = [], [], []
-                for ids in own.encode_many(common.texts(part.column(1))):
+                for ids in own.of_texts(pc.fill_null(part.column(1), "")):
                     counts.append(len(ids) // 4)
                     shas.append(hashlib.sha256(ids).hexdigest())
                     seen, stream = hashlib.sha256(), Utf8Stream()

@@ -26,7 +26,7 @@ import re
 import struct
 import unicodedata
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.llm import common
+from plumbline.llm.piece_ids import Ids, PieceIds, behind, flat_bytes, join, pick
 from plumbline.llm.words import mix
 
 MAGIC = b"TOK1"
@@ -83,48 +84,8 @@ def _byte_letters() -> str:
 
 SPLIT, LETTERS, NOT_PLAIN = _split_plain(), _byte_letters(), re.compile(f"[^\\x00-{chr(PLAIN - 1)}]")
 
-#: Ids of several strings one behind the other, and how many each has.
-Ids = tuple[np.ndarray, np.ndarray]
 
-
-def pick(ids: Ids, which: np.ndarray) -> Ids:
-    """Those of the strings ``which``, in that order."""
-    flat, sizes = ids
-    n = sizes[which]
-    begins, ends = (np.cumsum(sizes) - sizes)[which], np.cumsum(n)
-    return flat[np.repeat(begins - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)], n
-
-
-def behind(*several: Ids) -> Ids:
-    return np.concatenate([flat for flat, _ in several]), np.concatenate([sizes for _, sizes in several])
-
-
-class Known:
-    """Ids of strings met before, in flat arrays. Beyond ``most`` bytes the half that was not used of late is dropped."""
-
-    def __init__(self, most: int, kind: str):
-        self.most, self.turn, self.keys = most, 0, pa.array([], pa.string())
-        self.ids, self.used = (np.zeros(0, kind), np.zeros(0, np.int64)), np.zeros(0, np.int64)
-
-    def look_up(self, keys: pa.Array, encode: Callable[[pa.Array], Ids]) -> Ids:
-        """Ids of distinct ``keys``; those not met before are encoded and kept."""
-        self.turn += 1
-        place = pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            made = keys.take(pa.array(new))
-            place[new] = len(self.keys) + np.arange(len(new))
-            self.ids, self.keys = behind(self.ids, encode(made)), pa.concat_arrays([self.keys, made])
-            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
-        self.used[place] = self.turn
-        out = pick(self.ids, place)
-        if self.keys.nbytes + self.ids[0].nbytes > self.most:
-            kept = np.flatnonzero(self.used > np.median(self.used))
-            self.ids, self.keys, self.used = pick(self.ids, kept), self.keys.take(pa.array(kept)), self.used[kept]
-        return out
-
-
-class Encoder:
+class Encoder(PieceIds):
     """A vocabulary of the tokenizers library. Words and pieces met before are remembered with their ids.
 
     Texts are cut before single spaces, where no piece of the split pattern goes on. Only words not met before are cut
@@ -149,12 +110,9 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
-        self.words, self.pieces = (Known(KNOWN_BYTES, f"<u{self.width}") for _ in range(2))
+        super().__init__(f"<u{self.width}", KNOWN_BYTES)
         self.line_break = vocabulary.get(LETTERS[10])
 
-    def _array(self, ids: list[int]) -> np.ndarray:
-        return np.array(ids, f"<u{self.width}")
-
     def _whole(self, text: str) -> np.ndarray:
         return self._array(self.library.encode(text, add_special_tokens=False).ids)
 
@@ -164,41 +122,11 @@ class Encoder:
         whole = np.full(len(column), not self.byte_level)
         for token in self.added:
             whole |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
-        out = self._texts(pc.if_else(pa.array(whole), "", column) if whole.any() else column)
+        out = self.of_texts(pc.if_else(pa.array(whole), "", column) if whole.any() else column)
         for i in np.flatnonzero(whole).tolist():
             out[i] = self._whole(column[i].as_py()).tobytes()
         return out
 
-    def _texts(self, column: pa.Array) -> list[bytes]:
-        cut = pc.split_pattern(column, " ")
-        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64))
-        coded = cut.flatten().dictionary_encode()
-        words, which = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-        goes_on = _goes_on(words)
-        closed = np.flatnonzero(~goes_on)
-        flat, n = self.words.look_up(words.take(pa.array(closed)), self._words)
-        sizes = np.zeros(len(words), np.int64)
-        sizes[closed] = n
-        # A part that is empty or ends with white space makes one run with the parts behind it. The first part of a
-        # text has no space before it.
-        begins = goes_on[which]
-        joined = begins.copy()
-        joined[ends - 1] = False
-        begins[ends[:-1]] = begins[:1] = True
-        begins[1:] &= ~joined[:-1]
-        at, lasts = np.flatnonzero(begins), np.flatnonzero(~joined)
-        n_parts = lasts[np.searchsorted(lasts, at)] + 1 - at
-        inside = np.repeat(at - np.cumsum(n_parts) + n_parts, n_parts) + np.arange(n_parts.sum())
-        parts, first = iter(words.take(pa.array(which[inside])).to_pylist()), set(ends.tolist()) | {0}
-        runs = ["" if i in first else " " for i in at.tolist()]
-        runs = [lead + " ".join(itertools.islice(parts, k)) for lead, k in zip(runs, n_parts.tolist(), strict=True)]
-        numbers = {run: i for i, run in enumerate(dict.fromkeys(runs))}
-        which[inside] = len(words) + len(numbers)
-        which[at] = [len(words) + numbers[run] for run in runs]
-        ids = behind((flat, sizes), self._runs(list(numbers)), (self._array([]), np.zeros(1, np.int64)))
-        flat, n = pick(ids, which)
-        return _cut(flat, np.cumsum(n)[ends - 1] if len(ends) else ends)
-
     def _runs(self, runs: list[str]) -> Ids:
         """Ids of stretches of text."""
         plain = [i for i, run in enumerate(runs) if not NOT_PLAIN.search(run)]
@@ -216,7 +144,7 @@ class Encoder:
         ids = self._array([]), np.zeros(0, np.int64)
         if len(plain):
             asked = words.take(pa.array(plain))
-            pieces = SPLIT.findall(" " + _join(asked, " "))
+            pieces = SPLIT.findall(" " + join(asked, " "))
             reached = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
             ids = self._cut_to(pieces, np.searchsorted(reached, np.cumsum(pc.utf8_length(asked).to_numpy() + 1, dtype=np.int64)) + 1)
         lines, spaced = [], []
@@ -226,15 +154,9 @@ class Encoder:
         ids = behind(ids, self._lines([word for _, word in lines]), (np.concatenate([self._array([]), *made]), np.array([len(m) for m in made], np.int64)))
         return pick(ids, np.argsort(np.concatenate([plain, [i for i, _ in lines + spaced]]).astype(np.int64)))
 
-    def _cut_to(self, pieces: list[str], ends: np.ndarray) -> Ids:
-        """Ids of strings that are cut to ``pieces``, each up to its place in ``ends``."""
-        coded = pa.array(pieces, pa.string()).dictionary_encode()
-        flat, n = pick(self.pieces.look_up(coded.dictionary, self._pieces), coded.indices.to_numpy())
-        return flat, np.diff(np.concatenate([[0], np.cumsum(n)])[ends], prepend=0)
-
     def _pieces(self, pieces: pa.Array) -> Ids:
         """Ids of pieces by the model alone. Tokens have as many bytes as what they stand for, which tells the ends."""
-        asked = _join(pieces.cast(pa.binary()), b"\xff").decode("latin-1").translate(LETTERS)
+        asked = join(pieces.cast(pa.binary()), b"\xff").decode("latin-1").translate(LETTERS)
         ids = self._array(self.model.encode_batch_fast([asked], add_special_tokens=False)[0].ids)
         reached, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(pc.binary_length(pieces).to_numpy().astype(np.int64))
         places = np.searchsorted(reached, ends)
@@ -250,40 +172,13 @@ class Encoder:
         return ids[ids != self.line_break], np.diff(np.flatnonzero(ids == self.line_break), prepend=-1) - 1
 
 
-def _join(strings: pa.Array, between: str | bytes) -> str | bytes:
-    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings), between)[0].as_py()
-
-
-def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string array and the end of each string in them."""
-    lengths = pc.binary_length(words).to_numpy().astype(np.int64)
-    ends, begin = np.cumsum(lengths), np.frombuffer(words.buffers()[1], np.int32, 1, 4 * words.offset)[0] if len(words) else 0
-    total = int(ends[-1]) if len(words) else 0
-    return (np.frombuffer(words.buffers()[2], np.uint8, total, begin) if total else np.zeros(0, np.uint8)), ends
-
-
-def _goes_on(words: pa.Array) -> np.ndarray:
-    """Whether a word is empty or ends with white space."""
-    data, ends = _bytes(words)
-    last = np.where(np.diff(ends, prepend=0) > 0, np.append(data, np.uint8(32))[ends - 1], 32)
-    out = last <= 32
-    wide = np.flatnonzero(last >= 128)
-    out[wide] = [word[-1].isspace() for word in words.take(pa.array(wide)).to_pylist()]
-    return out
-
-
 def _is_plain(words: pa.Array) -> np.ndarray:
     """Whether all characters of a word are below ``PLAIN``, so that none begins with a byte as high as its first."""
-    data, ends = _bytes(words)
+    data, ends = flat_bytes(words)
     high = np.concatenate([[0], np.cumsum(data >= chr(PLAIN).encode()[0])])[ends]
     return np.diff(high, prepend=0) == 0
 
 
-def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    data, w = ids.tobytes(), ids.itemsize
-    return [data[begin:end] for begin, end in itertools.pairwise([0, *(w * ends).tolist()])]
-
-
 def is_byte_level(path: str) -> bool:
     """Whether the ids of a text are those of the pieces of the byte-level pattern, one behind the other."""
     with open(path, encoding="utf-8") as file:

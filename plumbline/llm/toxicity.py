@@ -29,8 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import common
-from plumbline.llm.bpe_transducer import Recent
-from plumbline.llm.words import word_hashes
+from plumbline.llm.words import Recent, word_hashes
 
 #: Labelled rows used for training at most.
 SAMPLE = 20_000

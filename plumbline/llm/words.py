@@ -1,4 +1,4 @@
-"""Hashes of all words of an Arrow string array, without a Python loop over words."""
+"""Hashes of all words of an Arrow string array, without a Python loop over words; a table of bounded size for what was met before."""
 
 from __future__ import annotations
 
@@ -61,3 +61,22 @@ def word_hashes(array: pa.Array, separators: np.ndarray = ASCII_SPACE, fold: np.
     value = _LETTER[fold[data[begin:]]] * _power(int(spread.max()))[place]
     value *= inside[begin:]
     return per_row, mix(np.add.reduceat(value, starts - begin))
+
+
+class Recent(dict):
+    """A table of at most about ``2 * most`` entries. Filled once, it keeps what is used again before the next time."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def put(self, key, value):
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def old(self, key):
+        value = self.older.get(key)
+        return None if value is None else self.put(key, value)

@@ -92,3 +92,41 @@ def test_digests_of_a_table(spark, library):
     back = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS, PATTERN).collect()
     assert sorted([(r["doc_id"], r["text"], r["n_bytes"]) for r in back], key=str) == sorted([(i, t, len(t.encode())) for i, t, _ in ids], key=str)
     assert bpe.digests(docs.limit(0), RANKS, PATTERN).collect() == []
+
+
+def test_a_piece_passes_the_machine_once_whatever_stands_around_it(library):
+    own, asked = bpe.Codec(bpe.load_ranks(RANKS), PATTERN), []
+    texts = ["the theatre, théâtre.\n\nthe", "theatre's  2 théâtre ", "(théâtre) théâtre! theatre?\tthe", ""]
+    through = own.machine.encode_words
+
+    def watched(data, lengths):
+        ends = np.cumsum(lengths).tolist()
+        asked.extend(bytes(data)[begin:end].decode() for begin, end in zip([0, *ends], ends))
+        return through(data, lengths)
+
+    own.machine.encode_words = watched
+    for _ in range(2):
+        assert own.encode_many(texts) == [np.array(library.encode_ordinary(text), "<u4").tobytes() for text in texts]
+    # Words are looked up as they are behind a space, also the first of a text.
+    assert sorted(asked) == sorted({piece for text in texts for piece in own.split.findall(text) + own.split.findall(" " + text)})
+
+
+def test_full_tables_change_no_ids(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 300)
+    monkeypatch.setattr(bpe, "PIECE_BYTES", 20)
+    texts = hard_texts(300)
+    own = bpe.Codec(bpe.load_ranks(RANKS), PATTERN)
+    own.machine.most_states = 300
+    for begin in range(0, len(texts), 40):
+        part = texts[begin : begin + 40]
+        assert own.encode_many(part) == [np.array(library.encode_ordinary(text), "<u4").tobytes() for text in part]
+    assert own.words.keys.nbytes < 2000
+
+
+def test_waiting_long_words_outlive_a_restart():
+    ranks = bpe.load_ranks(RANKS)
+    random.seed(8)
+    words = ["".join(random.choices("etaoinshr", k=k)).encode() for k in (300, 200, 250)]
+    want = [bpe.Transducer(ranks).encode(word) for word in words]
+    ids = bpe.Transducer(ranks, most_states=20).encode_words(b"".join(words), np.array([len(w) for w in words]))[1]
+    assert ids.tolist() == sum(want, [])
