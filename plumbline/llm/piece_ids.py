@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from plumbline.llm.words import string_hashes
+
 #: Ids of several strings one behind the other, and how many each has.
 Ids = tuple[np.ndarray, np.ndarray]
 
@@ -32,27 +34,49 @@ def behind(*several: Ids) -> Ids:
 
 
 class Known:
-    """Ids of strings met before, in flat arrays. Beyond ``most`` bytes the half that was not used of late is dropped."""
+    """Ids of strings met before, in flat arrays. Beyond ``most`` bytes the half that was not used of late is dropped.
+
+    Strings are found by their sorted hashes and compared in full, so that a look-up costs what is asked and not what is
+    held. Of several that share a hash one is found; the others are encoded again each time.
+    """
 
     def __init__(self, most: int, kind: str):
         self.most, self.turn, self.keys = most, 0, pa.array([], pa.string())
         self.ids, self.used = (np.zeros(0, kind), np.zeros(0, np.int64)), np.zeros(0, np.int64)
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+    def _find(self, keys: pa.Array, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The place of each of ``keys``, -1 if it is not held. ``at`` is where its hash belongs."""
+        place = np.full(len(keys), -1, np.int64)
+        like = np.flatnonzero(at < len(self.hashes))
+        like = like[self.hashes[at[like]] == hashes[like]]
+        held = self.places[at[like]]
+        same = pc.equal(keys.take(pa.array(like)), self.keys.take(pa.array(held))).to_numpy(zero_copy_only=False)
+        place[like[same]] = held[same]
+        return place
 
     def look_up(self, keys: pa.Array, encode: Callable[[pa.Array], Ids]) -> Ids:
         """Ids of distinct ``keys``; those not met before are encoded and kept."""
         self.turn += 1
-        place = pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        hashes = string_hashes(*flat_bytes(keys))
+        order, at = np.argsort(hashes), np.zeros(len(keys), np.int64)
+        at[order] = np.searchsorted(self.hashes, hashes[order])
+        place = self._find(keys, hashes, at)
         new = np.flatnonzero(place < 0)
         if len(new):
             made = keys.take(pa.array(new))
             place[new] = len(self.keys) + np.arange(len(new))
             self.ids, self.keys = behind(self.ids, encode(made)), pa.concat_arrays([self.keys, made])
             self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+            new = order[place[order] >= len(self.keys) - len(new)]
+            self.hashes, self.places = np.insert(self.hashes, at[new], hashes[new]), np.insert(self.places, at[new], place[new])
         self.used[place] = self.turn
         out = pick(self.ids, place)
         if self.keys.nbytes + self.ids[0].nbytes > self.most:
-            kept = np.flatnonzero(self.used > np.median(self.used))
+            stays = self.used > np.median(self.used)
+            kept, still = np.flatnonzero(stays), stays[self.places]
             self.ids, self.keys, self.used = pick(self.ids, kept), self.keys.take(pa.array(kept)), self.used[kept]
+            self.hashes, self.places = self.hashes[still], (np.cumsum(stays) - 1).astype(np.int32)[self.places[still]]
         return out
 
 

@@ -83,6 +83,7 @@ def _byte_letters() -> str:
 
 
 SPLIT, LETTERS, NOT_PLAIN = _split_plain(), _byte_letters(), re.compile(f"[^\\x00-{chr(PLAIN - 1)}]")
+LETTER_CODES = np.array([ord(letter) for letter in LETTERS], "<u4")
 
 
 class Encoder(PieceIds):
@@ -156,7 +157,7 @@ class Encoder(PieceIds):
 
     def _pieces(self, pieces: pa.Array) -> Ids:
         """Ids of pieces by the model alone. Tokens have as many bytes as what they stand for, which tells the ends."""
-        asked = join(pieces.cast(pa.binary()), b"\xff").decode("latin-1").translate(LETTERS)
+        asked = LETTER_CODES[np.frombuffer(join(pieces.cast(pa.binary()), b"\xff"), np.uint8)].tobytes().decode("utf-32-le")
         ids = self._array(self.model.encode_batch_fast([asked], add_special_tokens=False)[0].ids)
         reached, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(pc.binary_length(pieces).to_numpy().astype(np.int64))
         places = np.searchsorted(reached, ends)

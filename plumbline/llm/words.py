@@ -10,6 +10,8 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20240229)
 _LETTER = _random.integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = np.ones(1, np.uint64)
+#: Bytes after which the factors of ``string_hashes`` begin again.
+_CYCLE = 4096
 
 #: The six characters of white space in ASCII separate words; only A to Z are folded.
 ASCII_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -63,6 +65,19 @@ def word_hashes(array: pa.Array, separators: np.ndarray = ASCII_SPACE, fold: np.
     return per_row, mix(np.add.reduceat(value, starts - begin))
 
 
+def string_hashes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of strings that lie one behind the other in ``data``, each up to its place in ``ends``."""
+    sizes = np.diff(ends, prepend=0)
+    out, filled = sizes.astype(np.uint64), np.flatnonzero(sizes)
+    if len(filled):
+        place = np.arange(len(data)) - np.repeat(ends - sizes, sizes)
+        place %= _CYCLE
+        value = _power(_CYCLE)[place]
+        value *= _LETTER[data]
+        out[filled] += np.add.reduceat(value, (ends - sizes)[filled])
+    return mix(out)
+
+
 class Recent(dict):
     """A table of at most about ``2 * most`` entries. Filled once, it keeps what is used again before the next time."""
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from plumbline.llm import token_store
+from plumbline.llm import piece_ids, token_store
 from plumbline.llm.common import shared_folder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,6 +97,40 @@ def test_a_full_table_of_words_changes_no_ids(monkeypatch):
     assert own.encode(pa.array([], pa.string())) == []
 
 
+def lengths(keys):
+    return pc.binary_length(keys).to_numpy().astype("<u2"), np.ones(len(keys), np.int64)
+
+
+def test_a_look_up_costs_what_is_asked_not_what_is_held():
+    held = pa.array([f"word {i}" for i in range(300_000)])
+    known, few = piece_ids.Known(1 << 30, "<u2"), held.slice(150_000, 10)
+    known.look_up(held, lengths)
+
+    def seconds(run):
+        begin = time.process_time()
+        for _ in range(20):
+            run()
+        return time.process_time() - begin
+
+    assert 4 * seconds(lambda: known.look_up(few, lengths)) < seconds(lambda: pc.index_in(few, value_set=held))
+
+
+def test_words_that_share_a_hash_keep_their_own_ids(monkeypatch):
+    monkeypatch.setattr(piece_ids, "string_hashes", lambda data, ends: (ends % 3).astype(np.uint64))
+    test_a_full_table_of_words_changes_no_ids(monkeypatch)
+    known = piece_ids.Known(1 << 20, "<u2")
+    for asked in (["a", "bbb"], ["dddd", "bbb", "a"], ["", "bbb"]):
+        assert known.look_up(pa.array(asked), lengths)[0].tolist() == [len(a) for a in asked]
+
+
+def test_string_hashes_tell_strings_apart():
+    words = ["", "a", "b", "ab", "ba", "a" * 5000, "a" * 5001, "é", "\0", "\0\0", *map(str, range(50_000))]
+    hashes = piece_ids.string_hashes(*piece_ids.flat_bytes(pa.array(words)))
+    assert len(set(hashes.tolist())) == len(words)
+    assert piece_ids.string_hashes(*piece_ids.flat_bytes(pa.array(["x", *words]).slice(1))).tolist() == hashes.tolist()
+    assert len(piece_ids.string_hashes(*piece_ids.flat_bytes(pa.array([], pa.string())))) == 0
+
+
 def test_other_kinds_of_files_go_to_the_library_whole():
     path = public_tokenizers.path("word_bpe_49k.json")
     own, library = token_store.Encoder(path), Tokenizer.from_file(path)
