@@ -150,6 +150,11 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * common_size >= PERCENT * (F.col("n_a") + F.col("n_b") - common_size)).select("a", "b").distinct()
 
 
+def dealt(exploded: DataFrame) -> DataFrame:
+    """``exploded``, joined by a shuffle only: Spark expects no more of it than of the rows before the explode, and would broadcast it."""
+    return exploded.hint("merge")
+
+
 def _sized(n_a: str, n_b: str):
     """Sets whose sizes differ more can't be similar enough."""
     return (100 * F.col(n_a) >= PERCENT * F.col(n_b)) & (100 * F.col(n_b) >= PERCENT * F.col(n_a))
@@ -228,13 +233,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     firsts = classes.select("rep", F.explode("a").alias("ak"))
     shared = firsts.groupBy("ak").count().filter("count > 1")
-    likely = firsts.join(shared, "ak", "left_semi").select("rep").distinct()
+    likely = firsts.join(dealt(shared), "ak", "left_semi").select("rep").distinct()
     likely = common.kept(classes.join(likely, "rep", "left_semi"), "likely")
 
     keys = likely.select("rep", "b", F.explode("a").alias("ak")).select("rep", "ak", F.explode("b").alias("bk")).select("rep", F.xxhash64("ak", "bk").alias("key"))
     tables = keys.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("rep")).alias("who")).filter("c > 1")
     tables = tables.groupBy("c", "who").agg(F.min("key").alias("key"))
-    members = common.kept(keys.join(tables.select("key", "c"), "key"), "members")
+    members = common.kept(keys.join(dealt(tables.select("key", "c")), "key"), "members")
 
     sets = common.kept(full_sets(docs, members.select("rep").distinct(), id_col=id_col, text_col=text_col), "sets")
     sizes = likely.select("rep", "n")

@@ -84,3 +84,16 @@ def test_components_equal_a_plain_search(spark):
     got = {r["node"]: r["label"] for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: top(i) for i in label}
     assert near_dedup.components(spark.createDataFrame([(4, 4)], "a long, b long")).collect() == []
+
+
+def test_what_an_explode_multiplies_is_joined_by_a_shuffle(spark, rows, monkeypatch):
+    plans, kept = {}, near_dedup.common.kept
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, label)
+
+    monkeypatch.setattr(near_dedup.common, "kept", noted)
+    near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "SortMergeJoin [ak#" in plans["likely"]
+    assert "SortMergeJoin [key#" in plans["members"] and "BroadcastHashJoin" not in plans["members"]
