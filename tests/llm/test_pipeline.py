@@ -53,6 +53,19 @@ def test_hard_rows_pass_all_stages(spark):
     assert empty.count() == 0
 
 
+def test_near_duplicates_broadcast_no_table_keys(spark, monkeypatch):
+    plans, kept = {}, near_dedup.common.kept
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, label)
+
+    monkeypatch.setattr(near_dedup.common, "kept", noted)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, FOLDER)
+    assert "Generate" in plans["members"] and "BroadcastExchange" not in plans["members"]
+
+
 def test_without_labels_the_lexicon_decides(spark):
     docs = spark.createDataFrame([(1, "you are an idiot and a moron"), (2, "a kind word"), (None, None), (3, "")], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
